@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import retail as R
 from ledgerlens.operators import sales as S
 from ledgerlens.plans import bindings as B
 from ledgerlens.session import checkpoint_dir
@@ -177,3 +178,101 @@ def q_top_cities(spark, d):
 def q_return_rate(spark, d):
     s = B.sales(spark, d, ["category", "returned"])
     return S.rate_by(s, "category", F.col("returned") == "Yes")
+
+
+# --------------------------------------------------------------------------
+# online-retail notebook (RETAIL)
+# --------------------------------------------------------------------------
+
+def retail_lines(spark, d) -> DataFrame:
+    """Cleaned retail lines (kept lazy; every retail query starts here)."""
+    return R.clean_lines(B.retail_raw(spark, d), B.HOME_COUNTRY)
+
+
+@query("retail_clean")
+def q_retail_clean(spark, d):
+    return R.as_reported(retail_lines(spark, d))
+
+
+@query("high_value_lines")
+def q_high_value_lines(spark, d):
+    return R.as_reported(R.high_value(retail_lines(spark, d), HIGH_VALUE_TOTAL, HIGH_VALUE_QTY))
+
+
+@query("high_value_top")
+def q_high_value_top(spark, d):
+    return R.high_value_top(retail_lines(spark, d), HIGH_VALUE_TOTAL, HIGH_VALUE_QTY, 50)
+
+
+@query("product_stats")
+def q_product_stats(spark, d):
+    return R.product_stats(retail_lines(spark, d))
+
+
+@query("product_stats_top")
+def q_product_stats_top(spark, d):
+    return R.product_stats_top(retail_lines(spark, d), 20)
+
+
+@query("customer_country_distinct")
+def q_customer_country_distinct(spark, d):
+    return R.distinct_customers(retail_lines(spark, d))
+
+
+@query("customer_country_top")
+def q_customer_country_top(spark, d):
+    return R.distinct_customers(retail_lines(spark, d)).orderBy("CustomerID", "Country").limit(50)
+
+
+@query("customer_transactions")
+def q_customer_transactions(spark, d):
+    lines = retail_lines(spark, d)
+    return R.as_reported(R.customer_transactions(lines, R.distinct_customers(lines)))
+
+
+@query("customer_transactions_preview")
+def q_customer_transactions_preview(spark, d):
+    return R.transactions_preview(retail_lines(spark, d), 50)
+
+
+@query("customer_summary")
+def q_customer_summary(spark, d):
+    lines = retail_lines(spark, d)
+    return R.customer_summary(lines, R.distinct_customers(lines))
+
+
+@query("customer_summary_top")
+def q_customer_summary_top(spark, d):
+    return R.customer_summary_top(retail_lines(spark, d), 20)
+
+
+@query("bulk_orders")
+def q_bulk_orders(spark, d):
+    return R.bulk_orders(retail_lines(spark, d), BULK_QTY)
+
+
+@query("country_summary")
+def q_country_summary(spark, d):
+    lines = retail_lines(spark, d)
+    return R.country_summary(lines, lines)
+
+
+@query("country_summary_top10")
+def q_country_summary_top10(spark, d):
+    lines = retail_lines(spark, d)
+    return R.country_summary(lines, lines).orderBy(F.col("total_revenue").desc(), "Country").limit(10)
+
+
+@query("country_summary_direct")
+def q_country_summary_direct(spark, d):
+    return R.country_summary(retail_lines(spark, d))
+
+
+@query("customer_patterns")
+def q_customer_patterns(spark, d):
+    return R.customer_patterns(retail_lines(spark, d), MIN_PRODUCTS)
+
+
+@query("monthly_revenue")
+def q_monthly_revenue(spark, d):
+    return R.monthly_revenue(retail_lines(spark, d))

@@ -186,3 +186,140 @@ SELECT category, COUNT(*) AS total_orders,
        {round_ratio("100 * COUNT(*) FILTER (WHERE returned = 'Yes')", 'COUNT(*)', 2)} AS return_rate_percent
 FROM sales GROUP BY category
 """
+
+# -- online-retail notebook --------------------------------------------------
+
+RETAIL_CTE = r"""
+retail_raw AS (
+  SELECT
+    l.l_orderkey AS InvoiceNo, l.l_partkey AS StockCode, p.p_name AS Description,
+    CAST(l.l_quantity AS INTEGER) AS Quantity,
+    strftime(o.o_orderdate, '%-d/%-m/%Y %-H:%M') AS InvoiceDate,
+    CAST(p.p_retailprice AS DECIMAL(18,2)) AS UnitPrice,
+    CASE WHEN c.c_acctbal >= 0 THEN o.o_custkey END AS CustomerID,
+    n.n_name AS Country,
+    l.l_linenumber AS LineNo, l.l_suppkey AS SupplierNo, l.l_extendedprice AS LineAmount,
+    l.l_shipdate AS ShipDate
+  FROM lineitem l
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
+),
+retail AS (
+  SELECT InvoiceNo, StockCode, Description, Quantity,
+    try_strptime(regexp_replace(InvoiceDate, '^(\d+)/(\d+)/', '\2/\1/'), '%m/%d/%Y %H:%M') AS InvoiceDate,
+    UnitPrice, CustomerID, Country, Quantity * UnitPrice AS TotalPrice,
+    CASE WHEN Country = 'NATION_0' THEN 1 ELSE 0 END AS IsUK,
+    LineNo, SupplierNo, LineAmount, ShipDate
+  FROM retail_raw WHERE CustomerID IS NOT NULL
+)"""
+
+RETAIL_ORDER = "InvoiceNo, LineNo, StockCode, SupplierNo, LineAmount, ShipDate"
+RETAIL_OUT = """InvoiceNo, StockCode, Description, Quantity, InvoiceDate,
+  CAST(UnitPrice AS DOUBLE) AS UnitPrice, CustomerID, Country,
+  CAST(TotalPrice AS DOUBLE) AS TotalPrice, IsUK"""
+
+ORACLES["retail_clean"] = _with(RETAIL_CTE) + f"SELECT {RETAIL_OUT} FROM retail"
+
+ORACLES["high_value_lines"] = _with(RETAIL_CTE) + f"""
+SELECT {RETAIL_OUT} FROM retail WHERE TotalPrice > 20000 AND Quantity > 10
+"""
+
+ORACLES["high_value_top"] = _with(RETAIL_CTE) + f"""
+SELECT InvoiceNo, StockCode, Description, Quantity, CAST(UnitPrice AS DOUBLE) AS UnitPrice,
+       CAST(ROUND(TotalPrice, 2) AS DOUBLE) AS TotalPrice, CustomerID, Country
+FROM retail WHERE TotalPrice > 20000 AND Quantity > 10
+ORDER BY retail.TotalPrice DESC, {RETAIL_ORDER} LIMIT 50
+"""
+
+ORACLES["product_stats"] = _with(RETAIL_CTE) + """
+SELECT StockCode, Description, CAST(SUM(Quantity) AS BIGINT) AS total_quantity,
+       CAST(SUM(TotalPrice) AS DOUBLE) / COUNT(TotalPrice) AS avg_price,
+       COUNT(InvoiceNo) AS transaction_count
+FROM retail GROUP BY StockCode, Description
+"""
+
+ORACLES["product_stats_top"] = _with(RETAIL_CTE) + f"""
+SELECT StockCode, Description, CAST(SUM(Quantity) AS BIGINT) AS total_quantity,
+       {round_ratio('SUM(TotalPrice) * 100', 'COUNT(TotalPrice) * 100', 2)} AS avg_price,
+       COUNT(InvoiceNo) AS transaction_count
+FROM retail GROUP BY StockCode, Description
+ORDER BY total_quantity DESC, StockCode, Description LIMIT 20
+"""
+
+ORACLES["customer_country_distinct"] = _with(RETAIL_CTE) + """
+SELECT DISTINCT CustomerID, Country FROM retail
+"""
+
+ORACLES["customer_country_top"] = _with(RETAIL_CTE) + """
+SELECT DISTINCT CustomerID, Country FROM retail ORDER BY CustomerID, Country LIMIT 50
+"""
+
+ORACLES["customer_transactions"] = _with(RETAIL_CTE, """
+customers AS (SELECT DISTINCT CustomerID, Country FROM retail)
+""") + """
+SELECT r.InvoiceNo, r.StockCode, r.Description, r.Quantity, r.InvoiceDate,
+       CAST(r.UnitPrice AS DOUBLE) AS UnitPrice, r.CustomerID, r.Country,
+       CAST(r.TotalPrice AS DOUBLE) AS TotalPrice, r.IsUK
+FROM retail r JOIN customers c ON r.CustomerID = c.CustomerID
+"""
+
+ORACLES["customer_transactions_preview"] = _with(RETAIL_CTE) + f"""
+SELECT CustomerID, InvoiceNo, StockCode, Description, Quantity,
+       CAST(ROUND(UnitPrice, 2) AS DOUBLE) AS UnitPrice,
+       CAST(ROUND(TotalPrice, 2) AS DOUBLE) AS TotalPrice, Country
+FROM retail ORDER BY CustomerID, {RETAIL_ORDER} LIMIT 50
+"""
+
+ORACLES["customer_summary"] = _with(RETAIL_CTE, """
+customers AS (SELECT DISTINCT CustomerID, Country FROM retail)
+""") + """
+SELECT r.CustomerID, r.Country, CAST(SUM(r.TotalPrice) AS DOUBLE) AS total_spent,
+       COUNT(r.InvoiceNo) AS purchase_count
+FROM retail r JOIN customers c ON r.CustomerID = c.CustomerID
+GROUP BY r.CustomerID, r.Country
+"""
+
+ORACLES["customer_summary_top"] = _with(RETAIL_CTE) + """
+SELECT CustomerID, Country, CAST(ROUND(SUM(TotalPrice), 2) AS DOUBLE) AS total_spent,
+       COUNT(InvoiceNo) AS purchase_count
+FROM retail GROUP BY CustomerID, Country
+ORDER BY SUM(TotalPrice) DESC, CustomerID, Country LIMIT 20
+"""
+
+ORACLES["bulk_orders"] = _with(RETAIL_CTE) + """
+SELECT CustomerID, Description, Quantity, CAST(UnitPrice AS DOUBLE) AS UnitPrice
+FROM retail WHERE Quantity > 48 ORDER BY Quantity DESC
+"""
+
+# literal self-join, as the reference writes it (fan-out kept, D13)
+_COUNTRY_SUMMARY = """
+SELECT c.Country, COUNT(DISTINCT r.InvoiceNo) AS invoice_count,
+       CAST(ROUND(SUM(r.Quantity * r.UnitPrice), 2) AS DOUBLE) AS total_revenue
+FROM retail r JOIN retail c ON r.CustomerID = c.CustomerID
+GROUP BY c.Country
+"""
+
+ORACLES["country_summary"] = _with(RETAIL_CTE) + _COUNTRY_SUMMARY
+
+ORACLES["country_summary_top10"] = _with(RETAIL_CTE) + f"""
+SELECT * FROM ({_COUNTRY_SUMMARY}) ORDER BY total_revenue DESC, Country LIMIT 10
+"""
+
+ORACLES["country_summary_direct"] = _with(RETAIL_CTE) + """
+SELECT Country, COUNT(DISTINCT InvoiceNo) AS invoice_count,
+       CAST(ROUND(SUM(Quantity * UnitPrice), 2) AS DOUBLE) AS total_revenue
+FROM retail GROUP BY Country
+"""
+
+ORACLES["customer_patterns"] = _with(RETAIL_CTE) + """
+SELECT CustomerID, COUNT(DISTINCT StockCode) AS unique_products, AVG(Quantity) AS avg_quantity
+FROM retail GROUP BY CustomerID HAVING COUNT(DISTINCT StockCode) > 10
+"""
+
+ORACLES["monthly_revenue"] = _with(RETAIL_CTE) + """
+SELECT CAST(YEAR(InvoiceDate) AS BIGINT) AS year, CAST(MONTH(InvoiceDate) AS BIGINT) AS month,
+       CAST(SUM(TotalPrice) AS DOUBLE) AS monthly_revenue
+FROM retail GROUP BY 1, 2
+"""
