@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import retail as R
 from ledgerlens.operators import sales as S
+from ledgerlens.operators import text as X
+from ledgerlens.functions import text as T
 from ledgerlens.plans import bindings as B
 from ledgerlens.session import checkpoint_dir
 from ledgerlens.sources import sinks
@@ -276,3 +278,142 @@ def q_customer_patterns(spark, d):
 @query("monthly_revenue")
 def q_monthly_revenue(spark, d):
     return R.monthly_revenue(retail_lines(spark, d))
+
+
+# --------------------------------------------------------------------------
+# text notebooks and the web app's text endpoints (documents)
+# --------------------------------------------------------------------------
+
+def _docs(spark, d):
+    return B.documents(spark, d)
+
+
+@query("sentences_dot")
+def q_sentences_dot(spark, d):
+    return X.sentences(_docs(spark, d), "dot")
+
+
+@query("sentence_count")
+def q_sentence_count(spark, d):
+    return X.sentences(_docs(spark, d), "dot").agg(F.count(F.lit(1)).alias("sentence_count"))
+
+
+@query("sentences_containing")
+def q_sentences_containing(spark, d):
+    return X.containing(X.sentences(_docs(spark, d), "dot"), TERM)
+
+
+@query("sentences_upper")
+def q_sentences_upper(spark, d):
+    return X.sentences(_docs(spark, d), "dot").select(
+        "doc_id", "pos", F.upper("sentence").alias("uppercase_sentence"))
+
+
+@query("sentences_total_length")
+def q_sentences_total_length(spark, d):
+    return X.sentences(_docs(spark, d), "dot").agg(
+        F.sum(F.length("sentence")).cast("bigint").alias("total_length"))
+
+
+@query("word_count_ws")
+def q_word_count_ws(spark, d):
+    sents = X.sentences(_docs(spark, d), "dot").select(
+        "doc_id", T.whitespace_words(F.col("sentence")).alias("words"))
+    return X.word_counts(sents, "Word", "Count")
+
+
+@query("line_count")
+def q_line_count(spark, d):
+    return X.lines(_docs(spark, d)).agg(F.count(F.lit(1)).alias("total_lines"))
+
+
+@query("corpus_stats")
+def q_corpus_stats(spark, d):
+    return X.corpus_stats(_docs(spark, d))
+
+
+@query("corpus_totals")
+def q_corpus_totals(spark, d):
+    return X.corpus_totals(_docs(spark, d))
+
+
+@query("word_freq")
+def q_word_freq(spark, d):
+    return X.word_counts(X.tokens(_docs(spark, d), "strip"))
+
+
+@query("token_totals")
+def q_token_totals(spark, d):
+    return X.token_totals(X.tokens(_docs(spark, d), "strip"))
+
+
+@query("sentence_stats")
+def q_sentence_stats(spark, d):
+    return X.sentence_stats(_docs(spark, d))
+
+
+@query("first_sentences")
+def q_first_sentences(spark, d):
+    return X.first_sentences(_docs(spark, d), 3, "punct")
+
+
+def _kept_alpha(spark, d):
+    lowered = X.tokens(_docs(spark, d), "alpha", lower=True)
+    return X.remove_stopwords(lowered, T.NOTEBOOK_STOPWORDS, 2)
+
+
+@query("top_words")
+def q_top_words(spark, d):
+    return X.top_counts(X.word_counts(_kept_alpha(spark, d)), 20, ["word"])
+
+
+@query("kept_vs_raw")
+def q_kept_vs_raw(spark, d):
+    return X.kept_vs_raw(X.tokens(_docs(spark, d), "alpha", lower=True), T.NOTEBOOK_STOPWORDS, 2)
+
+
+@query("top_bigrams")
+def q_top_bigrams(spark, d):
+    top = X.top_counts(X.bigram_counts(_kept_alpha(spark, d)), 15, ["w1", "w2"])
+    return top.select("w1", "w2", F.concat_ws(" ", "w1", "w2").alias("bigram"), "count")
+
+
+@query("word_length_hist")
+def q_word_length_hist(spark, d):
+    return X.length_histogram(X.tokens(_docs(spark, d), "alpha", lower=True))
+
+
+@query("longest_words")
+def q_longest_words(spark, d):
+    return X.longest_words(X.tokens(_docs(spark, d), "alpha", lower=True), 15)
+
+
+def _web_kept(spark, d):
+    raw = X.tokens(_docs(spark, d), "strip", unicode=True)
+    return X.remove_stopwords(raw, T.WEB_STOPWORDS, 2)
+
+
+@query("web_text_stats")
+def q_web_text_stats(spark, d):
+    return X.web_text_stats(_docs(spark, d), TERM)
+
+
+@query("web_top_words")
+def q_web_top_words(spark, d):
+    return X.top_counts(X.word_counts(_web_kept(spark, d)), 30, ["word"])
+
+
+@query("web_top_bigrams")
+def q_web_top_bigrams(spark, d):
+    top = X.top_counts(X.bigram_counts(_web_kept(spark, d)), 15, ["w1", "w2"])
+    return top.select(F.concat_ws(" ", "w1", "w2").alias("phrase"), "count")
+
+
+@query("web_word_length_hist")
+def q_web_word_length_hist(spark, d):
+    return X.length_histogram(_web_kept(spark, d), below=15)
+
+
+@query("web_word_export")
+def q_web_word_export(spark, d):
+    return X.word_counts(_web_kept(spark, d))

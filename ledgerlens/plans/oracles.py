@@ -323,3 +323,207 @@ SELECT CAST(YEAR(InvoiceDate) AS BIGINT) AS year, CAST(MONTH(InvoiceDate) AS BIG
        CAST(SUM(TotalPrice) AS DOUBLE) AS monthly_revenue
 FROM retail GROUP BY 1, 2
 """
+
+# -- text ---------------------------------------------------------------------
+
+from ledgerlens.functions.text import NOTEBOOK_STOPWORDS, WEB_STOPWORDS  # noqa: E402  (fixed word lists)
+
+
+def _sql_list(words) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+_WS = r"[ \t\n\x0B\f\r]"
+
+DOC_CTE = r"""
+doc_lines AS (
+  SELECT doc_id, text,
+    CASE WHEN text = '' THEN CAST([] AS VARCHAR[])
+         ELSE string_split_regex(regexp_replace(text, '(\r\n|\r|\n)\z', ''), '\r\n|\r|\n') END AS lines
+  FROM documents
+),
+doc_joined AS (SELECT doc_id, text, lines, array_to_string(lines, ' ') AS joined FROM doc_lines)"""
+
+DOT_CTE = r"""
+dot_lists AS (
+  SELECT doc_id,
+    list_filter(flatten(list_transform(lines, lambda l: string_split_regex(l, '\.'))),
+                lambda s: trim(s) <> '') AS sentences
+  FROM doc_lines
+),
+dot_rows AS (
+  SELECT doc_id, generate_subscripts(sentences, 1) AS pos, unnest(sentences) AS sentence FROM dot_lists
+)"""
+
+
+def _punct(expr: str) -> str:
+    marked = f"regexp_replace({expr}, '([.!?]){_WS}+', '\\1' || chr(1), 'g')"
+    stripped = f"lambda s: regexp_replace(s, '^{_WS}+|{_WS}+$', '', 'g')"
+    return f"list_filter(list_transform(string_split({marked}, chr(1)), {stripped}), lambda s: s <> '')"
+
+
+PUNCT_CTE = f"""
+punct_lists AS (SELECT doc_id, {_punct('joined')} AS sentences FROM doc_joined),
+punct_rows AS (
+  SELECT doc_id, generate_subscripts(sentences, 1) AS pos, unnest(sentences) AS sentence FROM punct_lists
+)"""
+
+ALPHA_CTE = """
+alpha AS (SELECT doc_id, regexp_extract_all(joined, '[A-Za-z'']+') AS words FROM doc_joined),
+alpha_lower AS (SELECT doc_id, list_transform(words, lambda w: lower(w)) AS words FROM alpha)"""
+
+KEPT_CTE = f"""
+kept AS (
+  SELECT doc_id, list_filter(words, lambda w: NOT list_contains({_sql_list(NOTEBOOK_STOPWORDS)}, w)
+                                             AND length(w) >= 2) AS words
+  FROM alpha_lower
+)"""
+
+STRIP_CTE = f"""
+strip AS (
+  SELECT doc_id,
+    list_filter(string_split_regex(lower(regexp_replace(text, '[^A-Za-z0-9_ \\t\\n\\x0B\\f\\r]', ' ', 'g')),
+                                   '{_WS}+'), lambda w: length(w) > 0) AS words
+  FROM documents
+)"""
+
+WEB_CTE = f"""
+web_words AS (
+  SELECT doc_id,
+    list_filter(string_split_regex(
+        regexp_replace(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Nl}}_ \\t\\n\\x0B\\f\\r]', ' ', 'g'),
+        '{_WS}+'), lambda w: length(w) > 0) AS words
+  FROM documents
+),
+web_kept AS (
+  SELECT doc_id, list_filter(words, lambda w: NOT list_contains({_sql_list(WEB_STOPWORDS)}, w)
+                                             AND length(w) >= 2) AS words
+  FROM web_words
+)"""
+
+
+def _bigrams(src: str) -> str:
+    return f"""
+{src}_rows AS (SELECT doc_id, generate_subscripts(words, 1) AS pos, unnest(words) AS w FROM {src}),
+{src}_pairs AS (
+  SELECT w AS w1, lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS w2 FROM {src}_rows
+)"""
+
+
+ORACLES["sentences_dot"] = _with(DOC_CTE, DOT_CTE) + "SELECT doc_id, pos, sentence FROM dot_rows"
+
+ORACLES["sentence_count"] = _with(DOC_CTE, DOT_CTE) + "SELECT COUNT(*) AS sentence_count FROM dot_rows"
+
+ORACLES["sentences_containing"] = _with(DOC_CTE, DOT_CTE) + """
+SELECT doc_id, pos, sentence FROM dot_rows WHERE contains(sentence, 'the')
+"""
+
+ORACLES["sentences_upper"] = _with(DOC_CTE, DOT_CTE) + """
+SELECT doc_id, pos, upper(replace(sentence, 'ß', 'ss')) AS uppercase_sentence FROM dot_rows
+"""
+
+ORACLES["sentences_total_length"] = _with(DOC_CTE, DOT_CTE) + """
+SELECT CAST(SUM(length(sentence)) AS BIGINT) AS total_length FROM dot_rows
+"""
+
+ORACLES["word_count_ws"] = _with(DOC_CTE, DOT_CTE) + f"""
+SELECT Word, COUNT(*) AS Count FROM (
+  SELECT unnest(list_filter(string_split_regex(lower(trim(sentence)), '{_WS}+'), lambda w: w <> '')) AS Word
+  FROM dot_rows
+) GROUP BY Word
+"""
+
+ORACLES["line_count"] = _with(DOC_CTE) + "SELECT CAST(SUM(len(lines)) AS BIGINT) AS total_lines FROM doc_lines"
+
+ORACLES["corpus_stats"] = _with(DOC_CTE, ALPHA_CTE) + """
+SELECT d.doc_id, CAST(length(d.joined) AS BIGINT) AS characters, CAST(len(d.lines) AS BIGINT) AS lines,
+       CAST(len(a.words) AS BIGINT) AS words,
+       CAST(len(list_distinct(list_transform(a.words, lambda w: lower(w)))) AS BIGINT) AS unique_words,
+       CAST(COALESCE(list_sum(list_transform(a.words, lambda w: length(w))), 0) AS DOUBLE)
+         / CAST(greatest(len(a.words), 1) AS DOUBLE) AS avg_word_length
+FROM doc_joined d JOIN alpha a ON d.doc_id = a.doc_id
+"""
+
+ORACLES["corpus_totals"] = _with(DOC_CTE, ALPHA_CTE) + """
+SELECT COUNT(*) AS documents, CAST(SUM(length(d.joined)) AS BIGINT) AS characters,
+       CAST(SUM(len(d.lines)) AS BIGINT) AS lines, CAST(SUM(len(a.words)) AS BIGINT) AS words,
+       (SELECT COUNT(DISTINCT w) FROM (SELECT unnest(words) AS w FROM alpha_lower)) AS unique_words,
+       CAST(COALESCE((SELECT SUM(length(w)) FROM (SELECT unnest(words) AS w FROM alpha_lower)), 0) AS DOUBLE)
+         / CAST(greatest(SUM(len(a.words)), 1) AS DOUBLE) AS avg_word_length
+FROM doc_joined d JOIN alpha a ON d.doc_id = a.doc_id
+"""
+
+ORACLES["word_freq"] = _with(STRIP_CTE) + """
+SELECT word, COUNT(*) AS count FROM (SELECT unnest(words) AS word FROM strip) GROUP BY word
+"""
+
+ORACLES["token_totals"] = _with(STRIP_CTE) + """
+SELECT COUNT(*) AS total_tokens, COUNT(DISTINCT word) AS unique_words
+FROM (SELECT unnest(words) AS word FROM strip)
+"""
+
+ORACLES["sentence_stats"] = _with(DOC_CTE, PUNCT_CTE) + """
+SELECT COUNT(*) AS sentences,
+       CAST(COALESCE(SUM(n), 0) AS DOUBLE) / CAST(greatest(COUNT(*), 1) AS DOUBLE) AS avg_words_per_sentence,
+       CAST(MIN(n) AS BIGINT) AS min_words, CAST(MAX(n) AS BIGINT) AS max_words
+FROM (SELECT len(regexp_extract_all(sentence, '[A-Za-z'']+')) AS n FROM punct_rows)
+"""
+
+ORACLES["first_sentences"] = _with(DOC_CTE, PUNCT_CTE) + """
+SELECT doc_id, pos AS n, sentence FROM punct_rows WHERE pos <= 3
+"""
+
+ORACLES["top_words"] = _with(DOC_CTE, ALPHA_CTE, KEPT_CTE) + """
+SELECT word, COUNT(*) AS count FROM (SELECT unnest(words) AS word FROM kept)
+GROUP BY word ORDER BY count DESC, word LIMIT 20
+"""
+
+ORACLES["kept_vs_raw"] = _with(DOC_CTE, ALPHA_CTE, KEPT_CTE) + """
+SELECT (SELECT CAST(SUM(len(words)) AS BIGINT) FROM kept) AS kept_tokens,
+       (SELECT CAST(SUM(len(words)) AS BIGINT) FROM alpha_lower) AS raw_tokens
+"""
+
+ORACLES["top_bigrams"] = _with(DOC_CTE, ALPHA_CTE, KEPT_CTE, _bigrams("kept")) + """
+SELECT w1, w2, w1 || ' ' || w2 AS bigram, COUNT(*) AS count FROM kept_pairs WHERE w2 IS NOT NULL
+GROUP BY w1, w2 ORDER BY count DESC, w1, w2 LIMIT 15
+"""
+
+ORACLES["word_length_hist"] = _with(DOC_CTE, ALPHA_CTE) + """
+SELECT CAST(length(w) AS BIGINT) AS length, COUNT(*) AS count
+FROM (SELECT unnest(words) AS w FROM alpha_lower) GROUP BY 1
+"""
+
+ORACLES["longest_words"] = _with(DOC_CTE, ALPHA_CTE) + """
+SELECT word, CAST(length(word) AS BIGINT) AS length
+FROM (SELECT DISTINCT unnest(words) AS word FROM alpha_lower)
+ORDER BY length DESC, word LIMIT 15
+"""
+
+ORACLES["web_text_stats"] = _with(WEB_CTE, f"""
+s AS (SELECT doc_id, text, {_punct('text')} AS sentences FROM documents)
+""") + """
+SELECT s.doc_id, CAST(length(s.text) AS BIGINT) AS total_characters,
+       CAST(len(w.words) AS BIGINT) AS total_words,
+       CAST(len(s.sentences) AS BIGINT) AS total_sentences,
+       CAST(len(list_filter(s.sentences, lambda x: contains(x, 'the'))) AS BIGINT) AS term_sentences
+FROM s JOIN web_words w ON s.doc_id = w.doc_id
+"""
+
+ORACLES["web_top_words"] = _with(WEB_CTE) + """
+SELECT word, COUNT(*) AS count FROM (SELECT unnest(words) AS word FROM web_kept)
+GROUP BY word ORDER BY count DESC, word LIMIT 30
+"""
+
+ORACLES["web_top_bigrams"] = _with(WEB_CTE, _bigrams("web_kept")) + """
+SELECT w1 || ' ' || w2 AS phrase, COUNT(*) AS count FROM web_kept_pairs WHERE w2 IS NOT NULL
+GROUP BY w1, w2 ORDER BY count DESC, w1, w2 LIMIT 15
+"""
+
+ORACLES["web_word_length_hist"] = _with(WEB_CTE) + """
+SELECT CAST(length(w) AS BIGINT) AS length, COUNT(*) AS count
+FROM (SELECT unnest(words) AS w FROM web_kept) WHERE length(w) < 15 GROUP BY 1
+"""
+
+ORACLES["web_word_export"] = _with(WEB_CTE) + """
+SELECT word, COUNT(*) AS count FROM (SELECT unnest(words) AS word FROM web_kept) GROUP BY word
+"""
