@@ -417,3 +417,87 @@ def q_web_word_length_hist(spark, d):
 @query("web_word_export")
 def q_web_word_export(spark, d):
     return X.word_counts(_web_kept(spark, d))
+
+
+# --------------------------------------------------------------------------
+# lenient loading, date parts, catalogue, preview, chart data, explicit schema
+# --------------------------------------------------------------------------
+
+@query("clean_orders_lenient")
+def q_clean_orders_lenient(spark, d):
+    from ledgerlens.operators.cleaning import lenient_orders
+    return lenient_orders(B.messy_sales_text(spark, d))
+
+
+def order_date_text(spark, d) -> DataFrame:
+    """Order dates as hand-kept text: pending orders say 'not a date', orders of
+    unspecified priority have an empty cell."""
+    o = B.table(spark, d, "orders")
+    return o.select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", F.lit("not a date"))
+        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(""))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date_text"),
+    )
+
+
+@query("lenient_date_parts")
+def q_lenient_date_parts(spark, d):
+    from ledgerlens.operators.cleaning import lenient_date_parts
+    return lenient_date_parts(order_date_text(spark, d), "date_text")
+
+
+# A data set the web catalogue lists but the driver does not ship.
+MISSING_DATASET = "online_retail"
+
+
+@query("dataset_catalog")
+def q_dataset_catalog(spark, d):
+    from ledgerlens.operators.catalog import dataset_catalog
+    sets = {t: f"{d.rstrip('/')}/{t}.parquet" for t in B.TABLES}
+    sets[MISSING_DATASET] = f"{d.rstrip('/')}/{MISSING_DATASET}.parquet"
+    return dataset_catalog(spark, sets)
+
+
+@query("dataset_row_counts")
+def q_dataset_row_counts(spark, d):
+    cat = q_dataset_catalog(spark, d)
+    return cat.select("name", "row_count", F.size("columns").cast("bigint").alias("column_count"),
+                      F.array_join("columns", ",").alias("column_list"), "status")
+
+
+@query("preview_with_count")
+def q_preview_with_count(spark, d):
+    orders = B.table(spark, d, "orders")
+    return sinks.preview_with_total(orders, [F.col("o_orderkey").asc()], 1000)
+
+
+@query("chart_series")
+def q_chart_series(spark, d):
+    return sinks.chart_series(q_category_summary(spark, d), "category", "total_sales_krw")
+
+
+PEOPLE_SCHEMA_FIELDS = (
+    ("customerID", "int"), ("first_name", "string"), ("last_name", "string"),
+    ("email_address", "string"), ("phone_number", "string"), ("address", "string"),
+    ("city", "string"), ("state", "string"), ("zip_code", "string"), ("country", "string"),
+    ("gender", "string"), ("birth_date", "string"),
+)
+
+
+def people_schema():
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+    types = {"int": IntegerType(), "string": StringType()}
+    return StructType([StructField(n, types[t], True) for n, t in PEOPLE_SCHEMA_FIELDS])
+
+
+@query("people_from_customers")
+def q_people_from_customers(spark, d):
+    from ledgerlens.sources import conform
+    cust = _customers_with_country(spark, d).select(
+        F.col("c_custkey").alias("customerID"), F.col("c_name").alias("first_name"),
+        F.col("country"))
+    for name, _ in PEOPLE_SCHEMA_FIELDS:
+        if name not in cust.columns:
+            cust = cust.withColumn(name, F.lit(None).cast("string"))
+    return conform(cust, people_schema())

@@ -527,3 +527,94 @@ FROM (SELECT unnest(words) AS w FROM web_kept) WHERE length(w) < 15 GROUP BY 1
 ORACLES["web_word_export"] = _with(WEB_CTE) + """
 SELECT word, COUNT(*) AS count FROM (SELECT unnest(words) AS word FROM web_kept) GROUP BY word
 """
+
+# -- lenient loading, date parts, catalogue, preview, chart, schema -------------
+
+ORACLES["clean_orders_lenient"] = _with(SALES_CTE, """
+messy AS (
+  SELECT order_id, line_number, product_id, supplier_id, ext_price, ship_date, category,
+    CASE WHEN channel = '5-LOW' THEN 'unknown' ELSE strftime(order_date, '%Y-%m-%d') END AS order_date,
+    CASE WHEN payment_method = 'O' THEN CAST(quantity AS VARCHAR) || ' pcs'
+         ELSE CAST(quantity AS VARCHAR) END AS quantity,
+    CASE WHEN returned = 'Yes' THEN '' ELSE CAST(unit_price AS VARCHAR) END AS unit_price,
+    CASE WHEN discount_rate = 0 THEN 'none' ELSE CAST(discount_rate AS VARCHAR) END AS discount_rate,
+    CAST(sales_amount AS VARCHAR) AS sales_amount,
+    CASE WHEN return_flag <> 'A' THEN returned END AS returned,
+    COALESCE(CAST(rating AS VARCHAR), '') AS rating
+  FROM sales
+)""") + """
+SELECT order_id, line_number, product_id, supplier_id, ext_price, ship_date, category,
+  strftime(TRY_CAST(order_date AS TIMESTAMP), '%Y-%m-%d') AS order_date,
+  COALESCE(TRY_CAST(quantity AS INTEGER), 0) AS quantity,
+  COALESCE(TRY_CAST(unit_price AS DOUBLE), 0.0) AS unit_price,
+  COALESCE(TRY_CAST(discount_rate AS DOUBLE), 0.0) AS discount_rate,
+  COALESCE(TRY_CAST(sales_amount AS DOUBLE), 0.0) AS sales_amount,
+  COALESCE(returned, 'No') AS returned,
+  TRY_CAST(rating AS INTEGER) AS rating
+FROM messy
+"""
+
+ORACLES["lenient_date_parts"] = """
+WITH t AS (
+  SELECT o_orderkey,
+    CASE WHEN o_orderstatus = 'P' THEN 'not a date'
+         WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''
+         ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date_text
+  FROM orders
+), p AS (SELECT o_orderkey, date_text, TRY_CAST(date_text AS TIMESTAMP) AS ts FROM t)
+SELECT o_orderkey, date_text, CAST(year(ts) AS BIGINT) AS year, CAST(month(ts) AS BIGINT) AS month,
+       CAST(date_trunc('month', ts) AS TIMESTAMP) AS month_start,
+       CAST(date_trunc('year', ts) AS TIMESTAMP) AS year_start,
+       CAST(date_trunc('day', ts) AS TIMESTAMP) AS day_start
+FROM p
+"""
+
+
+def _count_row(t: str, cols: str) -> str:
+    return (f"SELECT '{t}' AS name, (SELECT COUNT(*) FROM {t}) AS row_count, "
+            f"CAST({len(cols.split(','))} AS BIGINT) AS column_count, '{cols}' AS column_list, "
+            "'Ready' AS status")
+
+
+_TABLE_COLUMNS = {
+    "region": "r_regionkey,r_name",
+    "nation": "n_nationkey,n_name,n_regionkey",
+    "customer": "c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment",
+    "supplier": "s_suppkey,s_name,s_nationkey,s_acctbal",
+    "part": "p_partkey,p_name,p_brand,p_type,p_size,p_retailprice",
+    "orders": "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority",
+    "lineitem": ("l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,"
+                 "l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate"),
+    "events": "event_id,ts,user_id,event_type,value,props",
+    "documents": "doc_id,text,lang,source,n_chars",
+    "embeddings": "vec_id,embedding,label",
+    "pages": "page_id,url,html",
+    "benchmark": "item_id,text",
+    "labels": "doc_id,quality,toxic",
+    "conversations": "conv_id,turn,role,text",
+}
+
+ORACLES["dataset_row_counts"] = "\nUNION ALL\n".join(
+    [_count_row(t, c) for t, c in _TABLE_COLUMNS.items()]
+    + ["SELECT 'online_retail' AS name, CAST(0 AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS column_count, "
+       "'' AS column_list, 'Missing' AS status"])
+
+ORACLES["preview_with_count"] = """
+SELECT o.*, (SELECT COUNT(*) FROM orders) AS total_rows FROM orders o ORDER BY o_orderkey LIMIT 1000
+"""
+
+ORACLES["chart_series"] = _with(SALES_CTE) + """
+SELECT COALESCE(CAST(category AS VARCHAR), 'NULL') AS label,
+       COALESCE(TRY_CAST(CAST(ROUND(SUM(sales_amount), 0) AS DOUBLE) AS DOUBLE), 0.0) AS value
+FROM sales GROUP BY category
+"""
+
+ORACLES["people_from_customers"] = """
+SELECT CAST(c.c_custkey AS INTEGER) AS customerID, c.c_name AS first_name,
+       CAST(NULL AS VARCHAR) AS last_name, CAST(NULL AS VARCHAR) AS email_address,
+       CAST(NULL AS VARCHAR) AS phone_number, CAST(NULL AS VARCHAR) AS address,
+       CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS state,
+       CAST(NULL AS VARCHAR) AS zip_code, n.n_name AS country,
+       CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS VARCHAR) AS birth_date
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
