@@ -17,11 +17,37 @@ No function collects, caches or uses a Python UDF.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import text as T
 
+# ---------------------------------------------------------------------------
+# Exploding arrays
+# ---------------------------------------------------------------------------
+#
+# A plain ``explode`` of a computed array makes the optimizer infer a
+# ``size(array) > 0`` filter and push it below the projection (even below a
+# repartition), so the whole tokenizer would run twice.  The ``_outer``
+# generators are exempt; the NULL row they emit for an empty array is
+# filtered right after, which gives exactly the rows of ``explode``.
+
+
+def explode_values(df: DataFrame, array: Column | str, name: str, *keep: str) -> DataFrame:
+    """One row per array element (``explode`` without the inferred pre-filter)."""
+    arr = F.col(array) if isinstance(array, str) else array
+    return df.select(*keep, F.explode_outer(arr).alias(name)).filter(F.col(name).isNotNull())
+
+
+def explode_positions(df: DataFrame, array_col: str, value_name: str) -> DataFrame:
+    """``(doc_id, pos, value)`` from an array column, ``pos`` counted from 1."""
+    return (
+        df.select("doc_id", F.posexplode_outer(array_col).alias("p", value_name))
+        .filter(F.col("p").isNotNull())
+        .select("doc_id", (F.col("p") + 1).cast("bigint").alias("pos"), value_name)
+    )
+
+
 # ---------------------------------------------------------------------------
 # Sequences per document
 # ---------------------------------------------------------------------------
@@ -29,8 +55,8 @@ from ledgerlens.functions import text as T
 
 def lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per line: ``(doc_id, line_no, line)``, ``line_no`` from 1."""
-    return docs.select("doc_id", F.posexplode(T.lines_of(F.col(text_col))).alias("p", "line")).select(
-        "doc_id", (F.col("p") + 1).cast("bigint").alias("line_no"), "line")
+    arr = docs.select("doc_id", T.lines_of(F.col(text_col)).alias("lines"))
+    return explode_positions(arr, "lines", "line").withColumnRenamed("pos", "line_no")
 
 
 def sentence_lists(docs: DataFrame, mode: str = "dot", text_col: str = "text") -> DataFrame:
@@ -57,12 +83,6 @@ def sentences(docs: DataFrame, mode: str = "dot", text_col: str = "text") -> Dat
     return explode_positions(sentence_lists(docs, mode, text_col), "sentences", "sentence")
 
 
-def explode_positions(df: DataFrame, array_col: str, value_name: str) -> DataFrame:
-    """``(doc_id, pos, value)`` from an array column, ``pos`` counted from 1."""
-    return df.select("doc_id", F.posexplode(array_col).alias("p", value_name)).select(
-        "doc_id", (F.col("p") + 1).cast("bigint").alias("pos"), value_name)
-
-
 def tokens(docs: DataFrame, mode: str = "strip", unicode: bool = False, lower: bool = False,
            text_col: str = "text") -> DataFrame:
     """``(doc_id, words)``: the token array of each document.
@@ -103,15 +123,13 @@ def explode_words(token_lists: DataFrame) -> DataFrame:
 
 def word_counts(token_lists: DataFrame, word_name: str = "word", count_name: str = "count") -> DataFrame:
     """Occurrences per word over all documents."""
-    return (
-        token_lists.select(F.explode("words").alias(word_name))
-        .groupBy(word_name).agg(F.count(F.lit(1)).alias(count_name))
-    )
+    return explode_values(token_lists, "words", word_name).groupBy(word_name).agg(
+        F.count(F.lit(1)).alias(count_name))
 
 
 def bigram_counts(token_lists: DataFrame) -> DataFrame:
     """Occurrences per adjacent pair within a document (W3 + A16)."""
-    pairs = token_lists.select(F.explode(T.adjacent_pairs(F.col("words"))).alias("b"))
+    pairs = explode_values(token_lists, T.adjacent_pairs(F.col("words")), "b")
     return pairs.groupBy(F.col("b.w1").alias("w1"), F.col("b.w2").alias("w2")).agg(
         F.count(F.lit(1)).alias("count"))
 
@@ -123,7 +141,7 @@ def top_counts(counts: DataFrame, n: int, keys: list[str], count_name: str = "co
 
 def length_histogram(token_lists: DataFrame, below: int | None = None) -> DataFrame:
     """Words per length, bin width 1 (A17); lengths ``< below`` only when given."""
-    lengths = token_lists.select(F.explode("words").alias("w")).select(
+    lengths = explode_values(token_lists, "words", "w").select(
         F.length("w").cast("bigint").alias("length"))
     if below is not None:
         lengths = lengths.filter(F.col("length") < below)
@@ -132,7 +150,7 @@ def length_histogram(token_lists: DataFrame, below: int | None = None) -> DataFr
 
 def longest_words(token_lists: DataFrame, n: int = 15) -> DataFrame:
     """The ``n`` longest distinct words; ties by word ascending."""
-    distinct = token_lists.select(F.explode("words").alias("word")).distinct()
+    distinct = explode_values(token_lists, "words", "word").distinct()
     return (
         distinct.select("word", F.length("word").cast("bigint").alias("length"))
         .orderBy(F.col("length").desc(), F.col("word").asc()).limit(n)
@@ -196,7 +214,7 @@ def corpus_totals(docs: DataFrame, text_col: str = "text") -> DataFrame:
     per_doc = corpus_stats(docs, text_col)
     lowered = tokens(docs, "alpha", lower=True, text_col=text_col)
     distinct = word_counts(lowered).agg(F.count(F.lit(1)).alias("unique_words"))
-    lengths = lowered.select(F.explode("words").alias("w")).agg(
+    lengths = explode_values(lowered, "words", "w").agg(
         F.sum(F.length("w")).cast("bigint").alias("_total_len"))
     sums = per_doc.agg(
         F.sum("characters").cast("bigint").alias("characters"),
