@@ -14,10 +14,11 @@ gives exactly the same numbers (the sums are decimal) with no fan-out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.cleaning import flag, flip_day_month, mean_of, parse_ts, round_mean
+from ledgerlens.session import materialize
 
 RETAIL_KEY = ("InvoiceNo", "LineNo", "StockCode", "SupplierNo", "LineAmount", "ShipDate")
 
@@ -115,8 +116,9 @@ def customer_summary(lines: DataFrame, customers: DataFrame | None = None) -> Da
     With ``customers`` this equals aggregating ``customer_transactions`` (each
     line counted once per listed country of its customer), computed as
     per-(customer, country) aggregates multiplied by the customer's number of
-    listed countries - no line is repeated.  Without it, lines are aggregated
-    directly (the display variant).
+    listed countries - no line is repeated.  Without ``customers``, lines are
+    aggregated directly (the display variant).  When ``customers`` is the
+    distinct pairs of the same lines, use ``customer_summary_fanned``.
     """
     agg = lines.groupBy("CustomerID", "Country").agg(
         F.sum("TotalPrice").alias("_spent"), F.count("InvoiceNo").alias("_n"))
@@ -131,6 +133,25 @@ def customer_summary(lines: DataFrame, customers: DataFrame | None = None) -> Da
     )
 
 
+def customer_summary_fanned(lines: DataFrame) -> DataFrame:
+    """``customer_summary(lines, distinct_customers(lines))`` from a single pass.
+
+    The per-(customer, country) aggregate is computed once; its pairs are
+    exactly the distinct pairs, so the number of countries of a customer is a
+    window count over that aggregate.  A window group holds one row per
+    country of the customer - bounded by the number of countries, however
+    many lines a hot customer has.
+    """
+    agg = lines.groupBy("CustomerID", "Country").agg(
+        F.sum("TotalPrice").alias("_spent"), F.count("InvoiceNo").alias("_n"))
+    per_customer = Window.partitionBy("CustomerID")
+    return agg.withColumn("_k", F.count(F.lit(1)).over(per_customer)).select(
+        "CustomerID", "Country",
+        (F.col("_spent") * F.col("_k")).cast("double").alias("total_spent"),
+        (F.col("_n") * F.col("_k")).alias("purchase_count"),
+    )
+
+
 def customer_summary_top(lines: DataFrame, n: int = 20) -> DataFrame:
     """Customers by spend rounded to cents, top ``n`` (A3 + O5)."""
     agg = lines.groupBy("CustomerID", "Country").agg(
@@ -167,12 +188,34 @@ def country_summary(lines: DataFrame, customers: DataFrame | None = None) -> Dat
             F.count_distinct("InvoiceNo").alias("invoice_count"),
             F.round(F.sum(amount), 2).cast("double").alias("total_revenue"))
     rev = lines.groupBy("CustomerID").agg(F.sum(amount).alias("_r"))
+    inv = lines.select("CustomerID", "InvoiceNo").distinct()
     n = customers.groupBy("CustomerID", "Country").agg(F.count(F.lit(1)).alias("_n"))
+    return _country_summary_from(rev, inv, n)
+
+
+def country_summary_self(lines: DataFrame) -> DataFrame:
+    """``country_summary(lines, lines)`` with the lines read and shuffled once.
+
+    One aggregate per (customer, country, invoice) carries revenue and line
+    count; revenue per customer, line count per (customer, country) and the
+    distinct (customer, invoice) pairs are all re-aggregations of it.  It is
+    written once to the shared checkpoint folder (``materialize``), so the
+    lines are scanned, joined and shuffled once instead of once per branch.
+    """
+    amount = F.col("Quantity") * F.col("UnitPrice")
+    base = materialize(lines.groupBy("CustomerID", "Country", "InvoiceNo").agg(
+        F.sum(amount).alias("_r"), F.count(F.lit(1)).alias("_c")), "country-summary-base")
+    rev = base.groupBy("CustomerID").agg(F.sum("_r").alias("_r"))
+    inv = base.select("CustomerID", "InvoiceNo").distinct()
+    n = base.groupBy("CustomerID", "Country").agg(F.sum("_c").alias("_n"))
+    return _country_summary_from(rev, inv, n)
+
+
+def _country_summary_from(rev: DataFrame, inv: DataFrame, n: DataFrame) -> DataFrame:
     revenue = n.join(rev, "CustomerID", "inner").groupBy("Country").agg(
         F.round(F.sum(F.col("_n") * F.col("_r")), 2).cast("double").alias("total_revenue"))
     invoices = (
-        lines.select("CustomerID", "InvoiceNo").distinct()
-        .join(n.select("CustomerID", "Country"), "CustomerID", "inner")
+        inv.join(n.select("CustomerID", "Country"), "CustomerID", "inner")
         .groupBy("Country").agg(F.count_distinct("InvoiceNo").alias("invoice_count"))
     )
     return invoices.join(revenue, "Country", "inner").select("Country", "invoice_count", "total_revenue")

@@ -239,8 +239,7 @@ def q_customer_transactions_preview(spark, d):
 
 @query("customer_summary")
 def q_customer_summary(spark, d):
-    lines = retail_lines(spark, d)
-    return R.customer_summary(lines, R.distinct_customers(lines))
+    return R.customer_summary_fanned(retail_lines(spark, d))
 
 
 @query("customer_summary_top")
@@ -255,14 +254,13 @@ def q_bulk_orders(spark, d):
 
 @query("country_summary")
 def q_country_summary(spark, d):
-    lines = retail_lines(spark, d)
-    return R.country_summary(lines, lines)
+    return R.country_summary_self(retail_lines(spark, d))
 
 
 @query("country_summary_top10")
 def q_country_summary_top10(spark, d):
-    lines = retail_lines(spark, d)
-    return R.country_summary(lines, lines).orderBy(F.col("total_revenue").desc(), "Country").limit(10)
+    return R.country_summary_self(retail_lines(spark, d)).orderBy(
+        F.col("total_revenue").desc(), "Country").limit(10)
 
 
 @query("country_summary_direct")

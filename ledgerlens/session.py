@@ -83,3 +83,20 @@ def _cores_of(master: str) -> int:
         except ValueError:
             return 8
     return 8
+
+
+def materialize(df, label: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Used where one intermediate result feeds several branches of a plan and
+    recomputing it per branch would re-read the input (Spark reuses an
+    exchange only between identical subplans, and column pruning makes the
+    branches differ).  The write cuts lineage, so a lost executor does not
+    force the upstream stages to rerun.  This runs a job immediately.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tables/{label}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
