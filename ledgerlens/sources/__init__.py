@@ -23,7 +23,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
     With ``schema`` the types are fixed and no inference pass runs (the right
     choice at scale); without it Spark infers types with one extra pass.
     """
-    reader = spark.read.option("header", header).option("encoding", encoding)
+    reader = (spark.read.option("header", header).option("encoding", encoding)
+              .option("escape", '"').option("multiLine", False))
     if schema is not None:
         reader = reader.schema(schema)
     else:

@@ -15,10 +15,11 @@ def write_csv(df: DataFrame, path: str, header: bool = True, null_value: str | N
               mode: str = "overwrite") -> None:
     """Write a CSV directory (K1, K2, K5, K6).
 
-    Spark quotes cells containing the separator and escapes embedded quotes;
-    ``null_value="NULL"`` writes NULL as that text.
+    Cells containing the separator are quoted and embedded quotes are doubled
+    (RFC 4180, readable by any CSV reader); ``null_value="NULL"`` writes NULL
+    as that text.
     """
-    writer = df.write.mode(mode).option("header", header)
+    writer = df.write.mode(mode).option("header", header).option("escape", '"')
     if null_value is not None:
         writer = writer.option("nullValue", null_value)
     writer.csv(path)
