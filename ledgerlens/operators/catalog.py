@@ -35,15 +35,13 @@ def dataset_catalog(spark: SparkSession, datasets: dict[str, str], fmt: str = "p
             missing.append(name)
             continue
         size = spark.read.format("binaryFile").load(path).agg(
-            F.sum("length").alias("_bytes"))
+            F.sum("length").alias("_bytes")).scalar()
         rows = data.agg(F.count(F.lit(1)).alias("row_count"))
         cols = F.array(*[F.lit(c) for c in data.columns]).cast("array<string>")
         present.append(
-            rows.withColumn("_one", F.lit(1))
-            .join(F.broadcast(size.withColumn("_one", F.lit(1))), "_one")
-            .select(
+            rows.select(
                 F.lit(name).alias("name"),
-                F.round(F.col("_bytes") / F.lit(1024 * 1024), 2).cast("double").alias("size_mb"),
+                F.round(size / F.lit(1024 * 1024), 2).cast("double").alias("size_mb"),
                 F.col("row_count").cast("bigint").alias("row_count"),
                 cols.alias("columns"),
                 F.lit("Ready").alias("status"),

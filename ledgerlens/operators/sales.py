@@ -134,17 +134,15 @@ def share_of_total(df: DataFrame, key: str, value: str, value_name: str = "reven
                    share_name: str = "revenue_share_percent") -> DataFrame:
     """Sum per key and its percentage of the grand total.
 
-    The grand total is a one-row aggregate of the (small) per-key aggregate,
-    attached through a broadcast equi-join on a constant key: one row is
-    broadcast, nothing is sorted or gathered.
+    The grand total is the sum of the (small) per-key aggregate, attached as a
+    scalar subquery: no join, and the per-key exchange is shared by the
+    subquery and the main plan under AQE.
     """
-    per_key = df.groupBy(key).agg(F.sum(value).alias("_v"))
-    total = per_key.agg(F.sum("_v").alias("_t")).withColumn("_one", F.lit(1))
-    joined = per_key.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
+    per_key = df.groupBy(key).agg(F.sum(value).cast("decimal(24,4)").alias("_v"))
+    total = per_key.agg(F.sum("_v").cast("decimal(24,4)").alias("_t")).scalar()
     # decimal(24,4) operands keep 10 exact decimals in the quotient before rounding
-    share = F.round(F.lit(100).cast("decimal(3,0)") * F.col("_v").cast("decimal(24,4)")
-                    / F.col("_t").cast("decimal(24,4)"), 2)
-    return joined.select(
+    share = F.round(F.lit(100).cast("decimal(3,0)") * F.col("_v") / total, 2)
+    return per_key.select(
         key,
         F.round("_v", 0).cast("double").alias(value_name),
         share.cast("double").alias(share_name),

@@ -208,28 +208,37 @@ def corpus_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def corpus_totals(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The same statistics over the whole collection, one row.
 
-    Each document is its own text (lines joined within it); distinct words
-    are counted across documents via a grouped shuffle, not a global set.
+    One chain, tokenizing once: each document's distinct lower-cased words are
+    exploded, the document's own statistics ride on its first row, the rows
+    are aggregated by word (partial + final, so hot words cost nothing), and
+    one global aggregate counts the words and adds the statistics.
     """
-    per_doc = corpus_stats(docs, text_col)
-    lowered = tokens(docs, "alpha", lower=True, text_col=text_col)
-    distinct = word_counts(lowered).agg(F.count(F.lit(1)).alias("unique_words"))
-    lengths = explode_values(lowered, "words", "w").agg(
-        F.sum(F.length("w")).cast("bigint").alias("_total_len"))
-    sums = per_doc.agg(
+    text = F.col(text_col)
+    line_arr = T.lines_of(text)
+    joined = F.array_join(line_arr, " ")
+    words = T.alpha_words(joined)
+    per_doc = docs.select(
+        F.length(joined).cast("bigint").alias("characters"),
+        F.size(line_arr).cast("bigint").alias("lines"),
+        F.size(words).cast("bigint").alias("words"),
+        F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc + F.length(w)).alias("letters"),
+        F.array_distinct(F.transform(words, F.lower)).alias("distinct_words"),
+    )
+    stats = ("characters", "lines", "words", "letters")
+    first = F.col("p").isNull() | (F.col("p") == 0)
+    rows = per_doc.select(F.posexplode_outer("distinct_words").alias("p", "word"), *stats).select(
+        "word", F.when(first, 1).otherwise(0).alias("documents"),
+        *[F.when(first, F.col(c)).otherwise(0).alias(c) for c in stats])
+    by_word = rows.groupBy("word").agg(
+        *[F.sum(c).alias(c) for c in ("documents", *stats)])
+    return by_word.agg(
+        F.sum("documents").cast("bigint").alias("documents"),
         F.sum("characters").cast("bigint").alias("characters"),
         F.sum("lines").cast("bigint").alias("lines"),
         F.sum("words").cast("bigint").alias("words"),
-        F.count(F.lit(1)).alias("documents"),
-    )
-    one = F.lit(1)
-    out = (sums.withColumn("_one", one)
-           .join(F.broadcast(distinct.withColumn("_one", one)), "_one")
-           .join(F.broadcast(lengths.withColumn("_one", one)), "_one"))
-    return out.select(
-        "documents", "characters", "lines", "words", "unique_words",
-        (F.coalesce(F.col("_total_len"), F.lit(0)).cast("double")
-         / F.greatest(F.col("words"), F.lit(1)).cast("double")).alias("avg_word_length"),
+        F.count("word").alias("unique_words"),
+        (F.coalesce(F.sum("letters"), F.lit(0)).cast("double")
+         / F.greatest(F.coalesce(F.sum("words"), F.lit(0)), F.lit(1)).cast("double")).alias("avg_word_length"),
     )
 
 

@@ -48,12 +48,11 @@ def preview(df: DataFrame, n: int = 1000) -> tuple[DataFrame, int]:
 def preview_with_total(df: DataFrame, order, n: int = 1000) -> DataFrame:
     """The first ``n`` rows by ``order`` with the full row count as a column (K7).
 
-    The count is a one-row global aggregate attached by a broadcast equi-join
-    on a constant key; the rows are a ``TakeOrderedAndProject``.
+    The count is a scalar subquery (one global aggregate, no join); the rows
+    are a ``TakeOrderedAndProject``.
     """
-    total = df.agg(F.count(F.lit(1)).alias("total_rows")).withColumn("_one", F.lit(1))
-    head = df.orderBy(*order).limit(n).withColumn("_one", F.lit(1))
-    return head.join(F.broadcast(total), "_one").drop("_one")
+    total = df.agg(F.count(F.lit(1)).alias("total_rows")).scalar()
+    return df.orderBy(*order).limit(n).withColumn("total_rows", total)
 
 
 def chart_series(df: DataFrame, label: str, value: str) -> DataFrame:
