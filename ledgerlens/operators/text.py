@@ -116,6 +116,26 @@ def explode_words(token_lists: DataFrame) -> DataFrame:
     return explode_positions(token_lists, "words", "word")
 
 
+def exclude_words(word_rows: DataFrame, stopwords: DataFrame, col: str = "word") -> DataFrame:
+    """Word rows minus a stopword table, by left anti join on the word.
+
+    For stopword lists supplied as data (any size): the planner broadcasts the
+    list when it is under the broadcast threshold and shuffles otherwise.
+    Fixed lists are better applied in-row with ``remove_stopwords``.
+    """
+    stop = stopwords.select(F.col(stopwords.columns[0]).alias(col)).distinct()
+    return word_rows.join(stop, col, "left_anti")
+
+
+def first_in_text_order(rows_: DataFrame, n: int, pos_col: str = "pos") -> DataFrame:
+    """The first ``n`` rows of the collection in text order (doc, then position).
+
+    A ``TakeOrderedAndProject``: each task keeps its first ``n``, then ``n``
+    rows per task are merged.
+    """
+    return rows_.orderBy(F.col("doc_id").asc(), F.col(pos_col).asc()).limit(n)
+
+
 # ---------------------------------------------------------------------------
 # Corpus-wide counts
 # ---------------------------------------------------------------------------
@@ -134,6 +154,11 @@ def bigram_counts(token_lists: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("count"))
 
 
+def ranked(counts: DataFrame, keys: list[str], count_name: str = "count") -> DataFrame:
+    """The whole count list, most frequent first, ties by key (the exported ranking, K5)."""
+    return counts.orderBy(F.col(count_name).desc(), *[F.col(k).asc() for k in keys])
+
+
 def top_counts(counts: DataFrame, n: int, keys: list[str], count_name: str = "count") -> DataFrame:
     """The ``n`` most frequent keys; ties by key ascending."""
     return counts.orderBy(F.col(count_name).desc(), *[F.col(k).asc() for k in keys]).limit(n)

@@ -18,8 +18,7 @@ columns need: a per-category summary is ``lineitem LEFT JOIN part`` and never
 shuffles the fact on the order or customer key.  Join sides are left to the
 planner and AQE, which broadcast a side only below
 ``spark.sql.autoBroadcastJoinThreshold`` (static estimate) or its adaptive
-twin (measured shuffle size); ``nation`` is explicitly broadcast because TPC-H
-fixes it at 25 rows.
+twin (measured shuffle size); no side is broadcast by hint.
 """
 
 from __future__ import annotations
@@ -56,12 +55,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     partition count is explicit, so AQE keeps it, and hash partitioning needs
     no sort (unlike round-robin) and stays deterministic on retries.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    target = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(target, cores), key)
+    return df.repartition(2 * cores, key)
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -143,7 +140,7 @@ def sales(spark: SparkSession, sf_dir: str, cols: Iterable[str] | None = None) -
         if "c" in dims:
             cust = table(spark, sf_dir, "customer")
             if "n" in dims:
-                nation = F.broadcast(table(spark, sf_dir, "nation"))  # 25 rows by definition
+                nation = table(spark, sf_dir, "nation")
                 cust = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
             order_dim = order_dim.join(cust, order_dim.o_custkey == cust.c_custkey, "left")
         fact = fact.join(order_dim, fact.l_orderkey == order_dim.o_orderkey, "left")
@@ -209,7 +206,7 @@ def retail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = fact_table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer")
-    nation = F.broadcast(table(spark, sf_dir, "nation"))  # 25 rows by definition
+    nation = table(spark, sf_dir, "nation")
     part = table(spark, sf_dir, "part")
     cust = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
     order_dim = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")

@@ -51,7 +51,7 @@ def query(name: str):
 
 def _customers_with_country(spark, d):
     cust = B.table(spark, d, "customer")
-    nation = F.broadcast(B.table(spark, d, "nation"))  # 25 rows by definition
+    nation = B.table(spark, d, "nation")
     return cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left").select(
         "c_custkey", "c_name", "c_mktsegment", "c_acctbal", F.col("n_name").alias("country"))
 
@@ -317,7 +317,7 @@ def q_sentences_total_length(spark, d):
 def q_word_count_ws(spark, d):
     sents = X.sentences(_docs(spark, d), "dot").select(
         "doc_id", T.whitespace_words(F.col("sentence")).alias("words"))
-    return X.word_counts(sents, "Word", "Count")
+    return X.ranked(X.word_counts(sents, "Word", "Count"), ["Word"], "Count")
 
 
 @query("line_count")
@@ -337,7 +337,7 @@ def q_corpus_totals(spark, d):
 
 @query("word_freq")
 def q_word_freq(spark, d):
-    return X.word_counts(X.tokens(_docs(spark, d), "strip"))
+    return X.ranked(X.word_counts(X.tokens(_docs(spark, d), "strip")), ["word"])
 
 
 @query("token_totals")
@@ -414,7 +414,7 @@ def q_web_word_length_hist(spark, d):
 
 @query("web_word_export")
 def q_web_word_export(spark, d):
-    return X.word_counts(_web_kept(spark, d))
+    return X.ranked(X.word_counts(_web_kept(spark, d)), ["word"])
 
 
 # --------------------------------------------------------------------------

@@ -163,3 +163,12 @@ def test_tokenizers_match_python_on_random_text(spark, texts):
         i: py_punct_sentences(t) for i, t in enumerate(texts)}
     assert as_lists(X.sentence_lists(df, "dot"), "sentences") == {
         i: py_dot_sentences(t) for i, t in enumerate(texts)}
+
+
+def test_exclude_words_and_text_order(spark, docs):
+    words = X.explode_words(X.tokens(docs, "strip"))
+    stop = spark.createDataFrame([(w,) for w in T.WEB_STOPWORDS], "w string")
+    left = {r.word for r in X.exclude_words(words, stop).collect()}
+    assert left == {w for _, t in DOCS for w in py_strip(t)} - set(T.WEB_STOPWORDS)
+    first = [(r.doc_id, r.sentence) for r in X.first_in_text_order(X.sentences(docs, "dot"), 3).collect()]
+    assert first == [(d, s) for d, t in DOCS for s in py_dot_sentences(t)][:3]
