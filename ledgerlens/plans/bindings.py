@@ -46,7 +46,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SPREAD_KEYS = {"lineitem": "l_orderkey", "documents": "doc_id"}
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, key: str, splits: int | None = None) -> DataFrame:
     """Hash-partition a scan by ``key`` when it yields fewer splits than cores.
 
     A large input arrives in thousands of splits and is returned unchanged.  A
@@ -56,16 +56,67 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     no sort (unlike round-robin) and stays deterministic on retries.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if splits is None:
+        splits = df.rdd.getNumPartitions()
+    if splits >= cores:
         return df
     return df.repartition(2 * cores, key)
 
 
+# Number of input splits per path: planning metadata, fixed for a session, so
+# it is looked up once (each lookup plans the scan, about 0.4 s).
+_SPLITS: dict[tuple[int, str], int] = {}
+
+
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan a fact table, spread over the cores when its input is one split."""
     df = table(spark, sf_dir, name)
     key = SPREAD_KEYS.get(name)
-    return spread(df, key) if key else df
+    if not key:
+        return df
+    memo = (id(spark.sparkContext), f"{sf_dir.rstrip('/')}/{name}")
+    if memo not in _SPLITS:
+        _SPLITS[memo] = df.rdd.getNumPartitions()
+    return spread(df, key, _SPLITS[memo])
+
+
+def is_small_input(spark: SparkSession, sf_dir: str, name: str) -> bool:
+    """True when the table arrives in fewer splits than the cluster has cores."""
+    memo = (id(spark.sparkContext), f"{sf_dir.rstrip('/')}/{name}")
+    if memo not in _SPLITS:
+        _SPLITS[memo] = table(spark, sf_dir, name).rdd.getNumPartitions()
+    return _SPLITS[memo] < spark.sparkContext.defaultParallelism
+
+
+def join_order_dims(spark: SparkSession, sf_dir: str, fact: DataFrame, with_customer: bool,
+                    with_nation: bool) -> DataFrame:
+    """LEFT-join orders (and customer, nation) onto the lineitem fact.
+
+    Two orders with identical results (every join is on a unique key):
+
+    * large input: dimensions first - ``orders ⋈ customer ⋈ nation`` is built
+      (shuffling orders, a quarter of the fact, by customer) and joined to the
+      fact once, so the fact is shuffled by the order key only;
+    * small input (fewer splits than cores): fact first, each dimension joined
+      directly so Spark's size check can broadcast every one of them (a
+      joined dimension's size estimate is the product of its inputs, which
+      would make the planner broadcast the fact instead).
+    """
+    orders = table(spark, sf_dir, "orders")
+    cust = table(spark, sf_dir, "customer") if with_customer else None
+    nation = table(spark, sf_dir, "nation") if with_nation else None
+    if is_small_input(spark, sf_dir, "lineitem"):
+        out = fact.join(orders, fact.l_orderkey == orders.o_orderkey, "left")
+        if cust is not None:
+            out = out.join(cust, out.o_custkey == cust.c_custkey, "left")
+            if nation is not None:
+                out = out.join(nation, out.c_nationkey == nation.n_nationkey, "left")
+        return out
+    if cust is not None:
+        if nation is not None:
+            cust = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
+        orders = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
+    return fact.join(orders, fact.l_orderkey == orders.o_orderkey, "left")
 
 
 # --------------------------------------------------------------------------
@@ -136,14 +187,7 @@ def sales(spark: SparkSession, sf_dir: str, cols: Iterable[str] | None = None) -
 
     fact = fact_table(spark, sf_dir, "lineitem")
     if "o" in dims:
-        order_dim = table(spark, sf_dir, "orders")
-        if "c" in dims:
-            cust = table(spark, sf_dir, "customer")
-            if "n" in dims:
-                nation = table(spark, sf_dir, "nation")
-                cust = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
-            order_dim = order_dim.join(cust, order_dim.o_custkey == cust.c_custkey, "left")
-        fact = fact.join(order_dim, fact.l_orderkey == order_dim.o_orderkey, "left")
+        fact = join_order_dims(spark, sf_dir, fact, "c" in dims, "n" in dims)
     if "p" in dims:
         part = table(spark, sf_dir, "part")
         fact = fact.join(part, fact.l_partkey == part.p_partkey, "left")
@@ -203,14 +247,8 @@ def retail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     (``c_acctbal < 0``) - the anonymous lines the reference drops first.
     ``InvoiceDate`` is the day-first text ``d/M/yyyy H:mm`` of the source.
     """
-    li = fact_table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    cust = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
+    fact = join_order_dims(spark, sf_dir, fact_table(spark, sf_dir, "lineitem"), True, True)
     part = table(spark, sf_dir, "part")
-    cust = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
-    order_dim = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
-    fact = li.join(order_dim, li.l_orderkey == order_dim.o_orderkey, "left")
     fact = fact.join(part, fact.l_partkey == part.p_partkey, "left")
     return fact.select(
         F.col("l_orderkey").alias("InvoiceNo"),
