@@ -52,6 +52,7 @@ ASCII_SPACE = r"[ \t\n\x0B\f\r]"
 SENTENCE_BREAK = r"(?<=[.!?])" + ASCII_SPACE + "+"
 # Sentence split of the text-processing notebook: every dot.
 DOT = r"\."
+ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _unique(text: str) -> tuple[str, ...]:
@@ -97,11 +98,46 @@ def punct_sentences(text: Column) -> Column:
     return F.filter(parts, lambda s: s != "")
 
 
-def alpha_words(text: Column) -> Column:
-    """Runs of ASCII letters/apostrophes, case kept."""
+def alpha_words(text: Column, lower: bool = False) -> Column:
+    """Runs of ASCII letters/apostrophes, case kept unless ``lower``.
+
+    Line breaks and spaces are outside the class, so the words of a text equal
+    the words of its space-joined lines.  Lower-casing maps A-Z to a-z on the
+    whole text first (one pass, no per-token lambda): on ASCII tokens that is
+    exactly ``lower`` of each token, and it moves no token boundary.
+    """
+    if lower:
+        text = F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
     return F.regexp_extract_all(text, F.lit(ALPHA_WORD), F.lit(0))
 
 
+def without_final_break(text: Column) -> Column:
+    """The text without one final line terminator (plain string functions)."""
+    n = F.length(text)
+    return (
+        F.when(text.endswith("\r\n"), text.substr(F.lit(1), n - 2))
+        .when(text.endswith("\n") | text.endswith("\r"), text.substr(F.lit(1), n - 1))
+        .otherwise(text)
+    )
+
+
+def _occurrences(text: Column, piece: str) -> Column:
+    return ((F.length(text) - F.length(F.replace(text, F.lit(piece), F.lit("")))) / len(piece)).cast("bigint")
+
+
+def line_count(text: Column) -> Column:
+    """Number of lines (``size(lines_of(text))``) by counting terminators."""
+    t = without_final_break(text)
+    breaks = _occurrences(t, "\r") + _occurrences(t, "\n") - _occurrences(t, "\r\n")
+    return F.when(text == "", F.lit(0).cast("bigint")).otherwise(breaks + 1)
+
+
+def joined_length(text: Column) -> Column:
+    """``length(joined_lines(text))``: every terminator becomes one space, the last is dropped."""
+    t = without_final_break(text)
+    return (F.length(t) - _occurrences(t, "\r\n")).cast("bigint")
+
+
 def strip_words(text: Column, unicode: bool = False) -> Column:
     """Punctuation to spaces, lower case, split on whitespace, empties dropped.
 

@@ -88,17 +88,15 @@ def tokens(docs: DataFrame, mode: str = "strip", unicode: bool = False, lower: b
     """``(doc_id, words)``: the token array of each document.
 
     ``strip``: punctuation to spaces, lower case, whitespace split (A15).
-    ``alpha``: runs of ``[A-Za-z']`` on the space-joined lines, case kept
-    unless ``lower`` (A18-A20).
+    ``alpha``: runs of ``[A-Za-z']`` (the same on the text or its space-joined
+    lines), case kept unless ``lower`` (A18-A20).
     ``whitespace``: lower case, whitespace split, punctuation kept.
     """
     text = F.col(text_col)
     if mode == "strip":
         arr = T.strip_words(text, unicode)
     elif mode == "alpha":
-        arr = T.alpha_words(T.joined_lines(text))
-        if lower:
-            arr = F.transform(arr, F.lower)
+        arr = T.alpha_words(text, lower=lower)
     elif mode == "whitespace":
         arr = T.whitespace_words(text)
     else:
@@ -213,17 +211,22 @@ def corpus_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Per document: characters, lines, words, distinct words, mean word length.
 
     The text is the lines joined by one space; words are ``[A-Za-z']+`` runs;
-    distinct words are counted case-insensitively; the mean is 0-safe.
+    distinct words are counted case-insensitively; the mean is 0-safe.  The
+    word array is built in its own projection: expressions with lambdas are
+    not shared by common-subexpression elimination, so every further use
+    reads the column instead of re-running the regex.
     """
     text = F.col(text_col)
-    line_arr = T.lines_of(text)
-    joined = F.array_join(line_arr, " ")
-    words = T.alpha_words(joined)
-    total_len = F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc + F.length(w))
-    return docs.select(
+    step = docs.select(
         "doc_id",
-        F.length(joined).cast("bigint").alias("characters"),
-        F.size(line_arr).cast("bigint").alias("lines"),
+        T.joined_length(text).alias("characters"),
+        T.line_count(text).alias("lines"),
+        T.alpha_words(text).alias("_w"),
+    )
+    words = F.col("_w")
+    total_len = F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc + F.length(w))
+    return step.select(
+        "doc_id", "characters", "lines",
         F.size(words).cast("bigint").alias("words"),
         F.size(F.array_distinct(F.transform(words, F.lower))).cast("bigint").alias("unique_words"),
         (total_len.cast("double") / F.greatest(F.size(words), F.lit(1)).cast("double")).alias("avg_word_length"),
@@ -239,15 +242,17 @@ def corpus_totals(docs: DataFrame, text_col: str = "text") -> DataFrame:
     one global aggregate counts the words and adds the statistics.
     """
     text = F.col(text_col)
-    line_arr = T.lines_of(text)
-    joined = F.array_join(line_arr, " ")
-    words = T.alpha_words(joined)
-    per_doc = docs.select(
-        F.length(joined).cast("bigint").alias("characters"),
-        F.size(line_arr).cast("bigint").alias("lines"),
+    step = docs.select(
+        T.joined_length(text).alias("characters"),
+        T.line_count(text).alias("lines"),
+        T.alpha_words(text, lower=True).alias("_w"),
+    )
+    words = F.col("_w")
+    per_doc = step.select(
+        "characters", "lines",
         F.size(words).cast("bigint").alias("words"),
         F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc + F.length(w)).alias("letters"),
-        F.array_distinct(F.transform(words, F.lower)).alias("distinct_words"),
+        F.array_distinct(words).alias("distinct_words"),
     )
     stats = ("characters", "lines", "words", "letters")
     first = F.col("p").isNull() | (F.col("p") == 0)
@@ -295,11 +300,14 @@ def containing(sentence_rows: DataFrame, term: str, col: str = "sentence") -> Da
 def web_text_stats(docs: DataFrame, term: str, text_col: str = "text") -> DataFrame:
     """Per document: characters, Unicode words, sentences, sentences with ``term``."""
     text = F.col(text_col)
-    sents = T.punct_sentences(text)
-    return docs.select(
+    step = docs.select(
         "doc_id",
         F.length(text).cast("bigint").alias("total_characters"),
         F.size(T.strip_words(text, unicode=True)).cast("bigint").alias("total_words"),
-        F.size(sents).cast("bigint").alias("total_sentences"),
-        F.size(F.filter(sents, lambda s: s.contains(term))).cast("bigint").alias("term_sentences"),
+        T.punct_sentences(text).alias("_s"),
+    )
+    return step.select(
+        "doc_id", "total_characters", "total_words",
+        F.size("_s").cast("bigint").alias("total_sentences"),
+        F.size(F.filter("_s", lambda s: s.contains(term))).cast("bigint").alias("term_sentences"),
     )

@@ -23,6 +23,7 @@ DOCS = [
     (6, "word"),
     (7, "b a. a b. c c. d d."),
     (8, "Line one\nline two.\n"),
+    (9, "Dos\r\nLineas.\rTres\r\n"),
 ]
 
 
@@ -150,7 +151,7 @@ def test_web_stats(docs):
         assert r.term_sentences == sum("cat" in s for s in sents)
 
 
-ALPHABET = "abcXYZ '.,!?-_\n\t0é"
+ALPHABET = "abcXYZ '.,!?-_\n\r\t0é"
 
 
 @settings(max_examples=3, deadline=None)
@@ -163,6 +164,8 @@ def test_tokenizers_match_python_on_random_text(spark, texts):
         i: py_punct_sentences(t) for i, t in enumerate(texts)}
     assert as_lists(X.sentence_lists(df, "dot"), "sentences") == {
         i: py_dot_sentences(t) for i, t in enumerate(texts)}
+    got = {r.doc_id: (r.characters, r.lines) for r in X.corpus_stats(df).collect()}
+    assert got == {i: (len(" ".join(py_lines(t))), len(py_lines(t))) for i, t in enumerate(texts)}
 
 
 def test_exclude_words_and_text_order(spark, docs):
