@@ -46,6 +46,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SPREAD_KEYS = {"lineitem": "l_orderkey", "documents": "doc_id"}
 
 
+def _cores(spark: SparkSession) -> int | None:
+    """Default parallelism, or None where the session exposes no SparkContext."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        return None
+
+
+def _splits(spark: SparkSession, sf_dir: str, name: str) -> int | None:
+    """Input splits of a table (planning metadata, memoized); None if unknown."""
+    memo = (id(spark), f"{sf_dir.rstrip('/')}/{name}")
+    if memo not in _SPLITS:
+        try:
+            _SPLITS[memo] = table(spark, sf_dir, name).rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
+            _SPLITS[memo] = None
+    return _SPLITS[memo]
+
+
 def spread(df: DataFrame, key: str, splits: int | None = None) -> DataFrame:
     """Hash-partition a scan by ``key`` when it yields fewer splits than cores.
 
@@ -55,17 +74,17 @@ def spread(df: DataFrame, key: str, splits: int | None = None) -> DataFrame:
     partition count is explicit, so AQE keeps it, and hash partitioning needs
     no sort (unlike round-robin) and stays deterministic on retries.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if splits is None:
+    cores = _cores(df.sparkSession)
+    if splits is None and cores is not None:
         splits = df.rdd.getNumPartitions()
-    if splits >= cores:
+    if cores is None or splits is None or splits >= cores:
         return df
     return df.repartition(2 * cores, key)
 
 
 # Number of input splits per path: planning metadata, fixed for a session, so
 # it is looked up once (each lookup plans the scan, about 0.4 s).
-_SPLITS: dict[tuple[int, str], int] = {}
+_SPLITS: dict[tuple[int, str], int | None] = {}
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,18 +93,15 @@ def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = SPREAD_KEYS.get(name)
     if not key:
         return df
-    memo = (id(spark.sparkContext), f"{sf_dir.rstrip('/')}/{name}")
-    if memo not in _SPLITS:
-        _SPLITS[memo] = df.rdd.getNumPartitions()
-    return spread(df, key, _SPLITS[memo])
+    splits = _splits(spark, sf_dir, name)
+    return df if splits is None else spread(df, key, splits)
 
 
 def is_small_input(spark: SparkSession, sf_dir: str, name: str) -> bool:
-    """True when the table arrives in fewer splits than the cluster has cores."""
-    memo = (id(spark.sparkContext), f"{sf_dir.rstrip('/')}/{name}")
-    if memo not in _SPLITS:
-        _SPLITS[memo] = table(spark, sf_dir, name).rdd.getNumPartitions()
-    return _SPLITS[memo] < spark.sparkContext.defaultParallelism
+    """True when the table arrives in fewer splits than the cluster has cores
+    (False when that cannot be known: the plan for large inputs is the safe one)."""
+    cores, splits = _cores(spark), _splits(spark, sf_dir, name)
+    return cores is not None and splits is not None and splits < cores
 
 
 def join_order_dims(spark: SparkSession, sf_dir: str, fact: DataFrame, with_customer: bool,

@@ -63,16 +63,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local tests, a fresh local folder is created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
-        spark.sparkContext.setCheckpointDir(configured)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
+        configured = _LOCAL_DIRS.setdefault(id(spark), tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+    elif sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+# Local fallback folders, one per session (only used when nothing is configured).
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def _cores_of(master: str) -> int:
     if master.startswith("local[") and master.endswith("]"):
         inner = master[6:-1].split(",")[0]

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is batch-only - no stream sources or sinks, watermarks, time
+windows or state anywhere in it - so there is nothing to re-express with
+Structured Streaming.  Every operator here is a DataFrame-to-DataFrame
+function, so it can be applied inside ``foreachBatch`` of a stream unchanged.
+"""

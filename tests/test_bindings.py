@@ -11,7 +11,7 @@ from conftest import SF_SMALL, rows
 
 @pytest.fixture()
 def force_splits(spark):
-    key = (id(spark.sparkContext), f"{SF_SMALL}/lineitem")
+    key = (id(spark), f"{SF_SMALL}/lineitem")
     saved = B._SPLITS.get(key)
 
     def set_splits(n):
