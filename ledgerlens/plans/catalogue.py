@@ -315,9 +315,9 @@ def q_sentences_total_length(spark, d):
 
 @query("word_count_ws")
 def q_word_count_ws(spark, d):
-    sents = X.sentences(_docs(spark, d), "dot").select(
-        "doc_id", T.whitespace_words(F.col("sentence")).alias("words"))
-    return X.ranked(X.word_counts(sents, "Word", "Count"), ["Word"], "Count")
+    words = X.sentence_lists(_docs(spark, d), "dot").select(
+        "doc_id", F.flatten(F.transform("sentences", T.whitespace_words)).alias("words"))
+    return X.ranked(X.word_counts(words, "Word", "Count"), ["Word"], "Count")
 
 
 @query("line_count")
