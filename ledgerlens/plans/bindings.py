@@ -172,7 +172,9 @@ def _sales_columns() -> dict[str, tuple[str, Column]]:
         "payment_method": ("", F.col("l_linestatus")),
         "returned": ("", F.when(F.col("l_returnflag") == "R", "Yes").otherwise("No")),
         "return_flag": ("", F.col("l_returnflag")),
-        "rating": ("p", F.expr("nullif(p_size % 5, 0)")),
+        # rating 3/4/5 by part size band; parts above size 40 are unrated (NULL)
+        "rating": ("p", F.when(F.col("p_size") <= 15, 3).when(F.col("p_size") <= 30, 4)
+                   .when(F.col("p_size") <= 40, 5)),
     }
 
 

@@ -24,7 +24,7 @@ sales AS (
     o.o_orderpriority AS channel, l.l_linestatus AS payment_method,
     CASE WHEN l.l_returnflag = 'R' THEN 'Yes' ELSE 'No' END AS returned,
     l.l_returnflag AS return_flag,
-    NULLIF(p.p_size % 5, 0) AS rating
+    CASE WHEN p.p_size <= 15 THEN 3 WHEN p.p_size <= 30 THEN 4 WHEN p.p_size <= 40 THEN 5 END AS rating
   FROM lineitem l
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
