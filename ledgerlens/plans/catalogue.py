@@ -499,3 +499,15 @@ def q_people_from_customers(spark, d):
         if name not in cust.columns:
             cust = cust.withColumn(name, F.lit(None).cast("string"))
     return conform(cust, people_schema())
+
+
+@query("web_term_sentences")
+def q_web_term_sentences(spark, d):
+    sents = X.sentences(_docs(spark, d), "punct_raw")
+    return X.first_in_text_order(X.containing(sents, TERM), 10)
+
+
+@query("web_upper_sentences")
+def q_web_upper_sentences(spark, d):
+    first = X.first_in_text_order(X.sentences(_docs(spark, d), "punct_raw"), 10)
+    return first.select("doc_id", "pos", F.upper("sentence").alias("uppercase_sentence"))

@@ -618,3 +618,18 @@ SELECT CAST(c.c_custkey AS INTEGER) AS customerID, c.c_name AS first_name,
        CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS VARCHAR) AS birth_date
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
+
+RAW_PUNCT_CTE = f"""
+raw_lists AS (SELECT doc_id, {_punct('text')} AS sentences FROM documents),
+raw_rows AS (
+  SELECT doc_id, generate_subscripts(sentences, 1) AS pos, unnest(sentences) AS sentence FROM raw_lists
+)"""
+
+ORACLES["web_term_sentences"] = _with(RAW_PUNCT_CTE) + """
+SELECT doc_id, pos, sentence FROM raw_rows WHERE contains(sentence, 'the') ORDER BY doc_id, pos LIMIT 10
+"""
+
+ORACLES["web_upper_sentences"] = _with(RAW_PUNCT_CTE) + """
+SELECT doc_id, pos, upper(replace(sentence, 'ß', 'ss')) AS uppercase_sentence
+FROM raw_rows ORDER BY doc_id, pos LIMIT 10
+"""
