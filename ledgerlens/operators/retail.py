@@ -193,7 +193,7 @@ def country_summary(lines: DataFrame, customers: DataFrame | None = None) -> Dat
     return _country_summary_from(rev, inv, n)
 
 
-def country_summary_self(lines: DataFrame) -> DataFrame:
+def country_summary_self(lines: DataFrame, share_base: bool = True) -> DataFrame:
     """``country_summary(lines, lines)`` with the lines read and shuffled once.
 
     One aggregate per (customer, country, invoice) carries revenue and line
@@ -201,10 +201,14 @@ def country_summary_self(lines: DataFrame) -> DataFrame:
     distinct (customer, invoice) pairs are all re-aggregations of it.  It is
     written once to the shared checkpoint folder (``materialize``), so the
     lines are scanned, joined and shuffled once instead of once per branch.
+    ``share_base=False`` skips the write and lets each branch recompute it -
+    cheaper only when the input is small.
     """
     amount = F.col("Quantity") * F.col("UnitPrice")
-    base = materialize(lines.groupBy("CustomerID", "Country", "InvoiceNo").agg(
-        F.sum(amount).alias("_r"), F.count(F.lit(1)).alias("_c")), "country-summary-base")
+    base = lines.groupBy("CustomerID", "Country", "InvoiceNo").agg(
+        F.sum(amount).alias("_r"), F.count(F.lit(1)).alias("_c"))
+    if share_base:
+        base = materialize(base, "country-summary-base")
     rev = base.groupBy("CustomerID").agg(F.sum("_r").alias("_r"))
     inv = base.select("CustomerID", "InvoiceNo").distinct()
     n = base.groupBy("CustomerID", "Country").agg(F.sum("_c").alias("_n"))
