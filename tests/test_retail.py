@@ -89,3 +89,73 @@ def test_customer_patterns_having(lines):
 def test_monthly_revenue_skips_nothing_but_null_dates(lines):
     got = rows(R.monthly_revenue(lines), "year", "month", "monthly_revenue")
     assert got == sorted([(2010, 12, 13.0), (2011, 2, 29.25), (None, None, 7.25)], key=repr)
+
+
+# -- E1 equals the literal join on random data, and survives a hot customer -----
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+LINE = st.tuples(
+    st.integers(1, 6),                     # invoice
+    st.integers(1, 4),                     # customer
+    st.sampled_from(["UK", "FR", "DE"]),   # country
+    st.integers(1, 5),                     # quantity
+    st.sampled_from([Decimal("1.25"), Decimal("2.50"), Decimal("9.99")]),
+)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(LINE, min_size=1, max_size=25))
+def test_e1_rewrites_equal_literal_joins(spark, data):
+    df = spark.createDataFrame(
+        [(inv, cust, country, q, p, q * p) for inv, cust, country, q, p in data],
+        "InvoiceNo long, CustomerID long, Country string, Quantity int, UnitPrice decimal(18,2), "
+        "TotalPrice decimal(29,2)")
+    r, c = df.alias("r"), df.alias("c")
+    literal_country = (
+        r.join(c, F.col("r.CustomerID") == F.col("c.CustomerID"))
+        .groupBy(F.col("c.Country").alias("Country"))
+        .agg(F.count_distinct(F.col("r.InvoiceNo")).alias("invoice_count"),
+             F.round(F.sum(F.col("r.Quantity") * F.col("r.UnitPrice")), 2).cast("double").alias("total_revenue")))
+    assert rows(R.country_summary_self(df, share_base=False)) == rows(literal_country)
+    literal_customer = (R.customer_transactions(df, R.distinct_customers(df))
+                        .groupBy("CustomerID", "Country")
+                        .agg(F.sum("TotalPrice").cast("double").alias("total_spent"),
+                             F.count("InvoiceNo").alias("purchase_count")))
+    assert rows(R.customer_summary_fanned(df)) == rows(literal_customer)
+
+
+def test_hot_customer_third_of_lines(spark, scratch):
+    """A third of all lines on one customer: E1 stays linear and exact.
+
+    The literal self-join would emit (lines of the hot customer)^2 rows (about
+    400 million here); the rewrite is checked against a DuckDB closed form.
+    """
+    import duckdb
+
+    from ledgerlens.plans import catalogue as C
+
+    lines = C.retail_lines(spark, "/root/testdata/sf0.01")
+    hot_countries = [f"NATION_{i}" for i in range(8)]
+    skewed = lines.withColumn(
+        "CustomerID", F.when(F.col("Country").isin(hot_countries), F.lit(-1)).otherwise(F.col("CustomerID")))
+    total = skewed.count()
+    hot = skewed.filter(F.col("CustomerID") == -1).count()
+    assert hot * 4 > total  # the hot customer holds over a quarter of all lines
+    path = f"{scratch}/skewed.parquet"
+    skewed.select("InvoiceNo", "CustomerID", "Country", "Quantity", "UnitPrice").write.parquet(path)
+    got = rows(R.country_summary_self(spark.read.parquet(path)))
+    con = duckdb.connect()
+    want = con.execute(f"""
+        WITH l AS (SELECT * FROM read_parquet('{path}/*.parquet')),
+        rev AS (SELECT CustomerID, SUM(Quantity * UnitPrice) AS r FROM l GROUP BY 1),
+        n AS (SELECT CustomerID, Country, COUNT(*) AS n FROM l GROUP BY 1, 2),
+        inv AS (SELECT DISTINCT CustomerID, InvoiceNo FROM l)
+        SELECT a.Country, a.invoice_count, b.total_revenue FROM
+          (SELECT n.Country, COUNT(DISTINCT inv.InvoiceNo) AS invoice_count
+           FROM n JOIN inv ON n.CustomerID = inv.CustomerID GROUP BY 1) a
+        JOIN (SELECT n.Country, CAST(ROUND(SUM(n.n * rev.r), 2) AS DOUBLE) AS total_revenue
+              FROM n JOIN rev ON n.CustomerID = rev.CustomerID GROUP BY 1) b ON a.Country = b.Country
+    """).fetchall()
+    assert got == sorted(want, key=repr)
