@@ -1,7 +1,10 @@
 """The query catalogue: one entry per reference query, bound to the driver tables.
 
 Each entry is ``fn(spark, sf_dir) -> DataFrame`` and is lazy except
-``category_revenue``, whose point is to save a table and read it back.
+``category_revenue`` (whose point is to save a table and read it back) and
+``country_summary*`` (which writes one shared intermediate).  Where the
+reference orders a result, the entry orders it the same way (with a key as
+tie-break); the operators themselves return unordered frames.
 Parameters the reference hard-codes for its own data (thresholds, a country,
 a search term) are re-chosen for the driver tables and kept here, together.
 """
@@ -72,17 +75,19 @@ def q_customers_in_country_count(spark, d):
 
 @query("category_summary")
 def q_category_summary(spark, d):
-    return S.category_summary(B.sales(spark, d, ["category", "quantity", "sales_amount"]))
+    out = S.category_summary(B.sales(spark, d, ["category", "quantity", "sales_amount"]))
+    return out.orderBy(F.col("total_sales_krw").desc(), "category")
 
 
 @query("segment_channel")
 def q_segment_channel(spark, d):
-    return S.segment_channel(B.sales(spark, d, ["customer_segment", "channel", "sales_amount"]))
+    out = S.segment_channel(B.sales(spark, d, ["customer_segment", "channel", "sales_amount"]))
+    return out.orderBy("customer_segment", F.col("revenue_krw").desc(), "channel")
 
 
 @query("monthly_trend")
 def q_monthly_trend(spark, d):
-    return S.monthly_trend(B.sales(spark, d, ["order_date", "sales_amount"]))
+    return S.monthly_trend(B.sales(spark, d, ["order_date", "sales_amount"])).orderBy("order_month")
 
 
 @query("sales_typed")
@@ -153,12 +158,13 @@ def q_star_join(spark, d):
 @query("category_share")
 def q_category_share(spark, d):
     s = B.sales(spark, d, ["category", "sales_amount", "returned"]).filter(F.col("returned") == "No")
-    return S.share_of_total(s, "category", "sales_amount")
+    return S.share_of_total(s, "category", "sales_amount").orderBy(F.col("revenue_krw").desc(), "category")
 
 
 @query("rank_in_category")
 def q_rank_in_category(spark, d):
-    return S.rank_in_category(B.sales(spark, d, ["category", "product_name", "sales_amount"]), 3)
+    out = S.rank_in_category(B.sales(spark, d, ["category", "product_name", "sales_amount"]), 3)
+    return out.orderBy("category", "rank_within_category", "order_id")
 
 
 @query("category_revenue")
@@ -179,7 +185,8 @@ def q_top_cities(spark, d):
 @query("return_rate")
 def q_return_rate(spark, d):
     s = B.sales(spark, d, ["category", "returned"])
-    return S.rate_by(s, "category", F.col("returned") == "Yes")
+    return S.rate_by(s, "category", F.col("returned") == "Yes").orderBy(
+        F.col("return_rate_percent").desc(), "category")
 
 
 # --------------------------------------------------------------------------
@@ -208,7 +215,8 @@ def q_high_value_top(spark, d):
 
 @query("product_stats")
 def q_product_stats(spark, d):
-    return R.product_stats(retail_lines(spark, d))
+    return R.product_stats(retail_lines(spark, d)).orderBy(
+        F.col("total_quantity").desc(), "StockCode", "Description")
 
 
 @query("product_stats_top")
@@ -239,7 +247,8 @@ def q_customer_transactions_preview(spark, d):
 
 @query("customer_summary")
 def q_customer_summary(spark, d):
-    return R.customer_summary_fanned(retail_lines(spark, d))
+    return R.customer_summary_fanned(retail_lines(spark, d)).orderBy(
+        F.col("total_spent").desc(), "CustomerID", "Country")
 
 
 @query("customer_summary_top")
@@ -254,7 +263,7 @@ def q_bulk_orders(spark, d):
 
 @query("country_summary")
 def q_country_summary(spark, d):
-    return R.country_summary_self(retail_lines(spark, d))
+    return R.country_summary_self(retail_lines(spark, d)).orderBy(F.col("total_revenue").desc(), "Country")
 
 
 @query("country_summary_top10")
@@ -265,17 +274,18 @@ def q_country_summary_top10(spark, d):
 
 @query("country_summary_direct")
 def q_country_summary_direct(spark, d):
-    return R.country_summary(retail_lines(spark, d))
+    return R.country_summary(retail_lines(spark, d)).orderBy(F.col("total_revenue").desc(), "Country")
 
 
 @query("customer_patterns")
 def q_customer_patterns(spark, d):
-    return R.customer_patterns(retail_lines(spark, d), MIN_PRODUCTS)
+    return R.customer_patterns(retail_lines(spark, d), MIN_PRODUCTS).orderBy(
+        F.col("unique_products").desc(), "CustomerID")
 
 
 @query("monthly_revenue")
 def q_monthly_revenue(spark, d):
-    return R.monthly_revenue(retail_lines(spark, d))
+    return R.monthly_revenue(retail_lines(spark, d)).orderBy("year", "month")
 
 
 # --------------------------------------------------------------------------
@@ -378,7 +388,7 @@ def q_top_bigrams(spark, d):
 
 @query("word_length_hist")
 def q_word_length_hist(spark, d):
-    return X.length_histogram(X.tokens(_docs(spark, d), "alpha", lower=True))
+    return X.length_histogram(X.tokens(_docs(spark, d), "alpha", lower=True)).orderBy("length")
 
 
 @query("longest_words")
@@ -409,7 +419,7 @@ def q_web_top_bigrams(spark, d):
 
 @query("web_word_length_hist")
 def q_web_word_length_hist(spark, d):
-    return X.length_histogram(_web_kept(spark, d), below=15)
+    return X.length_histogram(_web_kept(spark, d), below=15).orderBy("length")
 
 
 @query("web_word_export")
