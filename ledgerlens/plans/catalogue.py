@@ -485,6 +485,7 @@ def q_chart_series(spark, d):
     return sinks.chart_series(q_category_summary(spark, d), "category", "total_sales_krw")
 
 
+# Field names and types of the reference's explicit people schema.
 PEOPLE_SCHEMA_FIELDS = (
     ("customerID", "int"), ("first_name", "string"), ("last_name", "string"),
     ("email_address", "string"), ("phone_number", "string"), ("address", "string"),

@@ -45,7 +45,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     ``read_lines`` (every operator here also accepts a lines frame).
     """
     return spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("doc_id"), F.col("value").alias("text"))
+        F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
 
 
 def inline(spark: SparkSession, rows, schema) -> DataFrame:
