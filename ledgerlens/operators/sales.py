@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.cleaning import money_sum, round_mean, round_sum, value_band
 
+# Unique key of an order line: (order_id, line_number) alone repeats in the driver data.
 LINE_KEY = ("order_id", "line_number", "product_id", "supplier_id", "ext_price", "ship_date")
 
 

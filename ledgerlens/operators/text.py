@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import text as T
+from ledgerlens.functions.cleaning import safe_ratio
 
 # ---------------------------------------------------------------------------
 # Exploding arrays
@@ -229,7 +230,7 @@ def corpus_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "doc_id", "characters", "lines",
         F.size(words).cast("bigint").alias("words"),
         F.size(F.array_distinct(F.transform(words, F.lower))).cast("bigint").alias("unique_words"),
-        (total_len.cast("double") / F.greatest(F.size(words), F.lit(1)).cast("double")).alias("avg_word_length"),
+        safe_ratio(total_len, F.size(words)).alias("avg_word_length"),
     )
 
 
@@ -267,8 +268,8 @@ def corpus_totals(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.sum("lines").cast("bigint").alias("lines"),
         F.sum("words").cast("bigint").alias("words"),
         F.count("word").alias("unique_words"),
-        (F.coalesce(F.sum("letters"), F.lit(0)).cast("double")
-         / F.greatest(F.coalesce(F.sum("words"), F.lit(0)), F.lit(1)).cast("double")).alias("avg_word_length"),
+        safe_ratio(F.coalesce(F.sum("letters"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0)))
+        .alias("avg_word_length"),
     )
 
 
@@ -278,8 +279,7 @@ def sentence_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.size(T.alpha_words(F.col("sentence"))).alias("n"))
     return per_sentence.agg(
         F.count(F.lit(1)).alias("sentences"),
-        (F.coalesce(F.sum("n"), F.lit(0)).cast("double")
-         / F.greatest(F.count(F.lit(1)), F.lit(1)).cast("double")).alias("avg_words_per_sentence"),
+        safe_ratio(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).alias("avg_words_per_sentence"),
         F.min("n").cast("bigint").alias("min_words"),
         F.max("n").cast("bigint").alias("max_words"),
     )

@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.cleaning import money
+from ledgerlens.operators.retail import RETAIL_KEY
+from ledgerlens.operators.sales import LINE_KEY
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -139,9 +141,9 @@ def join_order_dims(spark: SparkSession, sf_dir: str, fact: DataFrame, with_cust
 # SALES: the orders data set of the reference, one row per order line
 # --------------------------------------------------------------------------
 
-# Line key: (l_orderkey, l_linenumber) is not unique in the driver data; these
-# six lineitem columns together are.  Every top-k / limit orders by them last.
-LINE_KEY = ("order_id", "line_number", "product_id", "supplier_id", "ext_price", "ship_date")
+# Line key (LINE_KEY): (l_orderkey, l_linenumber) is not unique in the driver
+# data; the six lineitem columns of LINE_KEY together are.  Every top-k / limit
+# orders by them last.
 
 # dimension -> dimensions it needs first
 _DIM_PARENT = {"o": None, "c": "o", "n": "c", "p": None}
@@ -284,8 +286,7 @@ def retail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Line key of RETAIL, the deterministic order for every limit on it.
-RETAIL_KEY = ("InvoiceNo", "LineNo", "StockCode", "SupplierNo", "LineAmount", "ShipDate")
+# RETAIL_KEY (imported) is the line key of RETAIL, the order of every limit on it.
 
 # The country flagged by IsUK (the reference's "United Kingdom").
 HOME_COUNTRY = "NATION_0"
