@@ -153,6 +153,18 @@ def strip_words(text: Column, unicode: bool = False) -> Column:
     return F.filter(parts, lambda w: F.length(w) > 0)
 
 
+def dot_sentence_words(text: Column) -> Column:
+    """``whitespace_words`` of every dot-sentence of the text, in order, in one pass.
+
+    Dot-sentences break at every ``.`` and line terminator, and whitespace
+    tokenizing (after trimming spaces) breaks at every whitespace run, so the
+    tokens are exactly the maximal runs of characters that are neither ``.``
+    nor ASCII whitespace.  Each token is lower-cased on its own, which equals
+    lower-casing its sentence: whitespace and dots end any case context.
+    """
+    return F.transform(F.regexp_extract_all(text, F.lit(r"[^.\s]+"), F.lit(0)), F.lower)
+
+
 def whitespace_words(text: Column) -> Column:
     """Lower-cased, space-trimmed text split on whitespace; punctuation kept."""
     return F.filter(F.split(F.lower(F.trim(text)), WHITESPACE), lambda w: w != "")

@@ -325,8 +325,7 @@ def q_sentences_total_length(spark, d):
 
 @query("word_count_ws")
 def q_word_count_ws(spark, d):
-    words = X.sentence_lists(_docs(spark, d), "dot").select(
-        "doc_id", F.flatten(F.transform("sentences", T.whitespace_words)).alias("words"))
+    words = _docs(spark, d).select("doc_id", T.dot_sentence_words(F.col("text")).alias("words"))
     return X.ranked(X.word_counts(words, "Word", "Count"), ["Word"], "Count")
 
 

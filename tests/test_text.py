@@ -9,6 +9,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from ledgerlens.functions import text as T
 from ledgerlens.operators import text as X
 
@@ -59,6 +61,14 @@ def py_strip(text, unicode=False):
     return re.sub(r"[^\w\s]", " ", text, flags=re.ASCII).lower().split()
 
 
+def py_ws_words(text):
+    """Whitespace tokens of every dot-sentence, as the text-processing notebook does."""
+    out = []
+    for s in py_dot_sentences(text):
+        out += [w for w in re.split(r"[ \t\n\x0b\f\r]+", s.strip(" ").lower()) if w != ""]
+    return out
+
+
 def kept(words, stop=T.NOTEBOOK_STOPWORDS):
     s = set(stop)
     return [w for w in words if w not in s and len(w) > 1]
@@ -79,6 +89,11 @@ def test_lines_and_sentences(docs):
     assert got == want
 
 
+def test_dot_sentence_words(docs):
+    got = {r.doc_id: list(r.w) for r in docs.select("doc_id", T.dot_sentence_words(F.col("text")).alias("w")).collect()}
+    assert got == {d: py_ws_words(t) for d, t in DOCS}
+
+
 def test_tokenizers(docs):
     assert as_lists(X.tokens(docs, "alpha"), "words") == {d: py_alpha(t) for d, t in DOCS}
     assert as_lists(X.tokens(docs, "strip"), "words") == {d: py_strip(t) for d, t in DOCS}
@@ -164,6 +179,9 @@ def test_tokenizers_match_python_on_random_text(spark, texts):
         i: py_punct_sentences(t) for i, t in enumerate(texts)}
     assert as_lists(X.sentence_lists(df, "dot"), "sentences") == {
         i: py_dot_sentences(t) for i, t in enumerate(texts)}
+    got_ws = {r.doc_id: list(r.w) for r in df.select(
+        "doc_id", T.dot_sentence_words(F.col("text")).alias("w")).collect()}
+    assert got_ws == {i: py_ws_words(t) for i, t in enumerate(texts)}
     got = {r.doc_id: (r.characters, r.lines) for r in X.corpus_stats(df).collect()}
     assert got == {i: (len(" ".join(py_lines(t))), len(py_lines(t))) for i, t in enumerate(texts)}
 
