@@ -50,7 +50,7 @@ def segment_channel(df: DataFrame) -> DataFrame:
 
 def monthly_trend(df: DataFrame) -> DataFrame:
     """Orders and revenue per calendar month (A13); the month is a timestamp."""
-    month = F.date_trunc("month", F.col("order_date").cast("timestamp_ntz")).cast("timestamp_ntz")
+    month = F.date_trunc("month", F.col("order_date").cast("timestamp_ntz")).cast("timestamp_ntz")  # date or timestamp input
     return df.groupBy(month.alias("order_month")).agg(
         F.count(F.lit(1)).alias("orders"),
         round_sum("sales_amount", 0).alias("monthly_revenue_krw"),

@@ -160,7 +160,8 @@ def _sales_columns() -> dict[str, tuple[str, Column]]:
         "supplier_id": ("", F.col("l_suppkey")),
         "ext_price": ("", F.col("l_extendedprice")),
         "ship_date": ("", F.col("l_shipdate")),
-        "order_date": ("o", F.col("o_orderdate").cast("date")),
+        # the source keeps order dates as timestamps at midnight; kept as such
+        "order_date": ("o", F.col("o_orderdate")),
         "customer_id": ("o", F.col("o_custkey")),
         "city": ("n", F.col("n_name")),
         "customer_segment": ("c", F.col("c_mktsegment")),
@@ -218,7 +219,8 @@ def sales_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SALES rendered as strings, the way a header-only CSV read would give it."""
     s = sales(spark, sf_dir)
     out = [F.col(c) for c in LINE_KEY]
-    for c in ("order_date", "customer_id", "city", "customer_segment", "product_id",
+    out.append(F.date_format("order_date", "yyyy-MM-dd").alias("order_date"))
+    for c in ("customer_id", "city", "customer_segment", "product_id",
               "product_name", "category", "quantity", "unit_price", "discount_rate",
               "sales_amount", "channel", "payment_method", "returned", "rating"):
         if c in LINE_KEY:

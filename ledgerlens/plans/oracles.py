@@ -14,7 +14,7 @@ sales AS (
   SELECT
     l.l_orderkey AS order_id, l.l_linenumber AS line_number, l.l_partkey AS product_id,
     l.l_suppkey AS supplier_id, l.l_extendedprice AS ext_price, l.l_shipdate AS ship_date,
-    CAST(o.o_orderdate AS DATE) AS order_date, o.o_custkey AS customer_id, n.n_name AS city,
+    o.o_orderdate AS order_date, o.o_custkey AS customer_id, n.n_name AS city,
     c.c_mktsegment AS customer_segment, p.p_name AS product_name, p.p_type AS category,
     CAST(l.l_quantity AS INTEGER) AS quantity,
     CAST(p.p_retailprice AS DECIMAL(18,2)) AS unit_price,
@@ -93,7 +93,7 @@ FROM sales GROUP BY 1
 
 ORACLES["sales_typed"] = _with(SALES_CTE) + """
 SELECT order_id, line_number, product_id, supplier_id, ext_price, ship_date,
-       order_date, CAST(customer_id AS VARCHAR) AS customer_id, city, customer_segment,
+       CAST(order_date AS DATE) AS order_date, CAST(customer_id AS VARCHAR) AS customer_id, city, customer_segment,
        product_name, category, quantity,
        CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount_rate AS DOUBLE) AS discount_rate,
        CAST(sales_amount AS DOUBLE) AS sales_amount, channel, payment_method, returned, rating
