@@ -3,8 +3,9 @@
 ``typed_orders`` is the notebook's refinement of a text-typed load (P6): plain
 casts, which fail loudly under ANSI mode on malformed input.  ``lenient_orders``
 is the forgiving variant (P11-P14): malformed numbers become 0 (or NULL for
-the rating), a missing returned flag becomes ``"No"`` and dates are normalised
-to ``yyyy-MM-dd`` with unparsable text as NULL.
+the rating, which stays a floating-point column as in the web app's loader),
+a missing returned flag becomes ``"No"`` and dates are normalised to
+``yyyy-MM-dd`` with unparsable text as NULL.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def lenient_orders(df: DataFrame) -> DataFrame:
         to_number("discount_rate", "double", 0.0).alias("discount_rate"),
         to_number("sales_amount", "double", 0.0).alias("sales_amount"),
         F.col("returned"),
-        to_number("rating", "int").alias("rating"),
+        to_number("rating", "double").alias("rating"),  # numeric or NULL, like a float column
     )
     return fill_default(out, {"returned": "No"})
 

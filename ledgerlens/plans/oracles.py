@@ -550,7 +550,7 @@ SELECT order_id, line_number, product_id, supplier_id, ext_price, ship_date, cat
   COALESCE(TRY_CAST(discount_rate AS DOUBLE), 0.0) AS discount_rate,
   COALESCE(TRY_CAST(sales_amount AS DOUBLE), 0.0) AS sales_amount,
   COALESCE(returned, 'No') AS returned,
-  TRY_CAST(rating AS INTEGER) AS rating
+  TRY_CAST(rating AS DOUBLE) AS rating
 FROM messy
 """
 
