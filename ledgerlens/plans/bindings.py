@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.cleaning import money
-from ledgerlens.operators.retail import RETAIL_KEY
+from ledgerlens.operators.retail import RETAIL_KEY  # noqa: F401  (re-exported with LINE_KEY)
 from ledgerlens.operators.sales import LINE_KEY
 
 TABLES = (
