@@ -28,8 +28,8 @@ from ledgerlens.sources import sinks
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
-# Parameters bound to the driver tables (the reference's own values are for
-# its CSV: 'Japan', 'Electronics', 1,000,000 / 200,000 KRW, 'Sejong').
+# Parameters bound to the driver tables (the reference's own values - a
+# country, a category, KRW thresholds, a search term - fit only its sample data).
 COUNTRY = "NATION_7"
 CATEGORY = "PROMO"
 VALUE_BANDS = ((40000, "High value"), (10000, "Medium value"))
