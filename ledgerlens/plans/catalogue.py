@@ -22,7 +22,7 @@ from ledgerlens.operators import sales as S
 from ledgerlens.operators import text as X
 from ledgerlens.functions import text as T
 from ledgerlens.plans import bindings as B
-from ledgerlens.session import checkpoint_dir
+from ledgerlens.session import checkpoint_dir, materialize
 from ledgerlens.sources import sinks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -236,7 +236,12 @@ def q_customer_country_top(spark, d):
 
 @query("customer_transactions")
 def q_customer_transactions(spark, d):
+    # the cleaned lines feed both sides of the join.  On large inputs they are
+    # written once (shared checkpoint folder) instead of scanning and joining
+    # the fact twice; on small ones recomputing is cheaper than the write.
     lines = retail_lines(spark, d)
+    if not B.is_small_input(spark, d, "lineitem"):
+        lines = materialize(lines, "retail-lines")
     return R.as_reported(R.customer_transactions(lines, R.distinct_customers(lines)))
 
 
