@@ -42,3 +42,13 @@ def test_sales_joins_only_needed_dimensions(spark):
     plan = buf.getvalue()
     assert "part.parquet" in plan
     assert "orders.parquet" not in plan and "customer.parquet" not in plan
+
+
+def test_shared_lines_path_agrees(spark, force_splits):
+    import __spark_entry__ as E
+    q = E.queries()["customer_transactions"]
+    force_splits(1)
+    small = rows(q(spark, SF_SMALL))
+    force_splits(10 ** 6)  # large input: the cleaned lines are written once and read twice
+    large = rows(q(spark, SF_SMALL))
+    assert small == large and len(small) > 0
