@@ -44,7 +44,8 @@ def dataset_catalog(spark: SparkSession, datasets: dict[str, str], fmt: str = "p
         files = spark.read.format("binaryFile").load(list(paths.values())).select("path", "length")
         which = None
         for name, path in paths.items():
-            cond = F.col("path").contains(path.rstrip("/"))
+            root = path.rstrip("/")
+            cond = F.col("path").endswith(root) | F.col("path").contains(root + "/")
             which = F.when(cond, F.lit(name)) if which is None else which.when(cond, F.lit(name))
         sizes = files.groupBy(which.alias("name")).agg(F.sum("length").alias("_bytes"))
         counts = reduce(lambda a, b: a.unionByName(b), [

@@ -58,10 +58,20 @@ def test_preview_and_chart_series(spark):
 
 def test_dataset_catalog_reports_missing(spark, scratch):
     path = os.path.join(scratch, "t.parquet")
+    longer = os.path.join(scratch, "t.parquet2")  # a name with the first one as prefix
     spark.range(7).withColumn("y", F.lit("a")).write.parquet(path)
-    cat = {r.name: r for r in dataset_catalog(spark, {"t": path, "gone": os.path.join(scratch, "nope")}).collect()}
+    spark.range(3000).withColumn("z", F.sha2(F.col("id").cast("string"), 512)).repartition(3).write.parquet(longer)
+    cat = {r.name: r for r in dataset_catalog(
+        spark, {"t": path, "t2": longer, "gone": os.path.join(scratch, "nope")}).collect()}
     assert cat["t"].status == "Ready" and cat["t"].row_count == 7 and cat["t"].columns == ["id", "y"]
-    assert cat["t"].size_mb >= 0.0
+    assert (cat["t2"].row_count, cat["t2"].columns) == (3000, ["id", "z"])
+
+    def mb(p):
+        files = [f for f in glob.glob(os.path.join(p, "*")) if not os.path.basename(f).startswith(("_", "."))]
+        return round(sum(os.path.getsize(f) for f in files) / (1024 * 1024), 2)
+
+    assert (cat["t"].size_mb, cat["t2"].size_mb) == (mb(path), mb(longer))
+    assert cat["t2"].size_mb > 0.1 and cat["t"].size_mb < 0.1  # nothing of t2 counted under t
     assert cat["gone"].status == "Missing" and cat["gone"].row_count == 0
 
 
