@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from ledgerlens.llm.bottomk import op9_bottomk_near_dedup
+from ledgerlens.llm.decontam import op10_decontamination
 from ledgerlens.llm.suffix_dedup import op7_suffix_dedup
 from ledgerlens.llm.superkmer import op6_superkmer_dedup
 
-QUERIES = {f.__name__: f for f in (op6_superkmer_dedup, op7_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op6_superkmer_dedup, op7_suffix_dedup, op9_bottomk_near_dedup, op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
