@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes handled together in one numpy pass.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Word separators: space and the ASCII controls 9-13.
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])

@@ -90,7 +90,7 @@ def minimiser_runs(seeds: np.ndarray, per_window: int, valid: np.ndarray):
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=5).compress(b"".join(a.tobytes() for a in arrays))
 
 
 def _unpack(blob: bytes, n: int, *kinds) -> list[np.ndarray]:
@@ -121,12 +121,12 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _span_rows(ids, tags, starts, stops, n_parts: int) -> list[tuple]:
-    """Spans packed by the home partition of their document."""
+    """Spans packed by the home partition of their document, as differences of sorted ids."""
     home = home_of(ids, n_parts)
-    order = np.argsort(home, kind="stable")
+    order = np.lexsort((starts, tags, ids, home))
     edges = np.flatnonzero(K.group_starts(home[order]))
     return [
-        (int(home[at[0]]), len(at), _pack(ids[at], tags[at], starts[at].astype(np.int32), stops[at].astype(np.int32)), None)
+        (int(home[at[0]]), len(at), _pack(np.diff(ids[at], prepend=0), tags[at], starts[at].astype(np.int32), (stops - starts)[at].astype(np.int32)), None)
         for at in np.split(order, edges[1:])
         if len(at)
     ]
@@ -223,13 +223,18 @@ def _resolve_part(method: Method, n_parts: int):
             yield _rows(ready)
         if not held:
             return
-        values = np.concatenate([h[1] for h in held])
-        shift = np.cumsum([0] + [len(h[1]) for h in held[:-1]])
-        first = np.concatenate([h[2] + d for h, d in zip(held, shift)])
         seed, name, other = (np.concatenate([h[k] for h in held]) for k in (3, 4, 5))
         s = Strings(*(np.concatenate([getattr(h[0], k) for h in held]) for k in ("id", "tag", "start", "windows", "seed_at")))
-        del held
-        for found in _resolve(method, s, values, first, seed, name, other):
+        number = np.cumsum([0] + [len(h[0].id) for h in held])
+
+        def tokens(wanted: np.ndarray):
+            """The tokens of the wanted strings (sorted), one string after another."""
+            cuts = np.searchsorted(wanted, number)
+            return np.concatenate(
+                [h[1][K.ragged(h[2][at], h[0].windows[at] + method.window - 1)] for h, low, a, b in zip(held, number, cuts, cuts[1:]) for at in [wanted[a:b] - low]]
+            )
+
+        for found in _resolve(method, s, tokens, seed, name, other):
             for i in range(0, len(found[0]), 1 << 20):
                 rows = _span_rows(*(f[i : i + (1 << 20)] for f in found), n_parts)
                 if rows:
@@ -242,7 +247,7 @@ def _as_values(values: np.ndarray, which: int) -> np.ndarray:
     return K.BYTE_NAMES[which][values] if values.dtype == np.uint8 else values
 
 
-def _resolve(method: Method, s: Strings, values, first, seed, name, other):
+def _resolve(method: Method, s: Strings, tokens, seed, name, other):
     """Spans (ids, tags, starts, stops) of the windows that a smaller id has too."""
     cover = method.window - 1
     # 1. seeds of one document only repeat nothing
@@ -283,7 +288,11 @@ def _resolve(method: Method, s: Strings, values, first, seed, name, other):
         a = seed_edge[begin]
         b = seed_edge[stop] if stop < len(seed_edge) else len(stands)
         m = stands[a:b]
-        least_of[before[a] : before[b]] = method.least(values, first[m], s.windows[m], s.id[m], seed[m])
+        wanted = np.argsort(m)
+        length = s.windows[m] + method.window - 1
+        first = np.empty(len(m), np.int64)
+        first[wanted] = np.cumsum(length[wanted]) - length[wanted]
+        least_of[before[a] : before[b]] = method.least(tokens(m[wanted]), first, s.windows[m], s.id[m], seed[m])
         begin = stop
     # the rest that belongs to open groups: every string with its group's windows
     which = number[group]
@@ -332,7 +341,7 @@ class _Held:
     def __init__(self, blobs: list[tuple[int, bytes]]):
         cols = [_unpack(m, n, np.int64, np.int32, np.int32, np.int32) for n, m in blobs]
         if cols:
-            self.id, self.tag, self.start, self.stop = (np.concatenate(c) for c in zip(*cols))
+            self.id, self.tag, self.start, self.stop = (np.concatenate(c) for c in zip(*((np.cumsum(i), t, a, a + d) for i, t, a, d in cols)))
         else:
             self.id, (self.tag, self.start, self.stop) = np.zeros(0, np.int64), (np.zeros(0, np.int32),) * 3
         order = np.lexsort((self.tag, self.id))

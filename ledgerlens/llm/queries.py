@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from ledgerlens.llm.bottomk import op9_bottomk_near_dedup
 from ledgerlens.llm.decontam import op10_decontamination
+from ledgerlens.llm.mixing import op3_source_mixing
 from ledgerlens.llm.quality import op2_quality_classifier
 from ledgerlens.llm.suffix_dedup import op7_suffix_dedup
 from ledgerlens.llm.superkmer import op6_superkmer_dedup
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op6_superkmer_dedup, op7_suffix_dedup, op9_bottomk_near_dedup, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_source_mixing, op6_superkmer_dedup, op7_suffix_dedup, op9_bottomk_near_dedup, op10_decontamination)}
 
 ORACLES: dict[str, str] = {}

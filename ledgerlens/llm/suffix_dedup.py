@@ -125,11 +125,21 @@ def _least(window: int):
     return least
 
 
-def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
+def _whole_characters(buf: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """The mask without characters of which a byte is kept."""
+    if not len(buf):
+        return mask
+    first = np.flatnonzero((buf & 0xC0) != 0x80)
+    size = np.diff(np.append(first, len(buf)))
+    return np.repeat(np.logical_and.reduceat(mask, first), size)
+
+
+def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, as_text: bool = False) -> DataFrame:
     """``docs`` with ``n_bytes``, ``spans`` (removed runs of bytes) and ``kept`` (binary).
 
     A byte is removed if a ``window``-byte string covering it also starts in a
-    document with a smaller id.  ``kept`` is what remains, in order.
+    document with a smaller id.  ``kept`` is what remains, in order.  With ``as_text``
+    only whole characters go and ``kept`` is a string.
     """
     if not 24 <= window <= 63 + SEED:
         raise ValueError(f"window must be 24 to {63 + SEED} bytes")
@@ -137,15 +147,24 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def finish(buf, offsets, cover):
         mask = cover(offsets)
+        if as_text:
+            mask = _whole_characters(buf, mask)
         kept = P.per_doc(~mask, offsets)
         ends = np.concatenate([[0], np.cumsum(kept)])
         data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(kept), [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(buf[~mask].tobytes())])
-        return [pa.array(np.diff(offsets), pa.int64()), P.span_lists(mask, offsets), data.cast(pa.binary())]
+        return [pa.array(np.diff(offsets), pa.int64()), P.span_lists(mask, offsets), data.cast(pa.string() if as_text else pa.binary())]
 
-    fields = [T.StructField("n_bytes", T.LongType()), T.StructField("spans", P.SPANS), T.StructField("kept", T.BinaryType())]
+    fields = [T.StructField("n_bytes", T.LongType()), T.StructField("spans", P.SPANS), T.StructField("kept", T.StringType() if as_text else T.BinaryType())]
     return P.repeated_spans(docs, method, id_col, text_col, finish, fields)
 
 
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
+    """``docs`` with the repeated passages cut out of their texts (null stays null)."""
+    found = repeated_bytes(docs, id_col, text_col, window, as_text=True)
+    text = F.when(F.col(text_col).isNotNull(), F.col("kept"))
+    return found.withColumn(text_col, text).select(docs.columns)
+
+
 def removed_count(spans="spans"):
     """Tokens in a list of spans."""
     return F.aggregate(F.transform(spans, lambda s: s["stop"] - s["start"]), F.lit(0).cast("long"), lambda a, x: a + x)
