@@ -3,12 +3,30 @@
 from __future__ import annotations
 
 from ledgerlens.llm.bottomk import op9_bottomk_near_dedup
+from ledgerlens.llm.chat_format import op1_chat_formatting
 from ledgerlens.llm.decontam import op10_decontamination
+from ledgerlens.llm.html_extract import op8_html_extraction
+from ledgerlens.llm.imatch import op4_imatch_fingerprints
 from ledgerlens.llm.mixing import op3_source_mixing
 from ledgerlens.llm.quality import op2_quality_classifier
 from ledgerlens.llm.suffix_dedup import op7_suffix_dedup
 from ledgerlens.llm.superkmer import op6_superkmer_dedup
+from ledgerlens.llm.url_filter import op5_url_filter
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_source_mixing, op6_superkmer_dedup, op7_suffix_dedup, op9_bottomk_near_dedup, op10_decontamination)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_chat_formatting,
+        op2_quality_classifier,
+        op3_source_mixing,
+        op4_imatch_fingerprints,
+        op5_url_filter,
+        op6_superkmer_dedup,
+        op7_suffix_dedup,
+        op8_html_extraction,
+        op9_bottomk_near_dedup,
+        op10_decontamination,
+    )
+}
 
 ORACLES: dict[str, str] = {}
