@@ -314,25 +314,47 @@ def partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def repeated_spans(docs: DataFrame, method: Method, id_col: str, text_col: str, finish, fields: list[T.StructField]) -> DataFrame:
+def _compress_texts(batches):
+    """Documents on the way to their partition: texts packed one by one (null: null)."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = [t.as_buffer() for t in batch.column("text")]
+        packed = pa.array([t if t is None else press.compress(t) for t in packed], pa.binary())
+        yield pa.RecordBatch.from_arrays([packed if c == "text" else batch.column(c) for c in batch.schema.names], names=batch.schema.names)
+
+
+def repeated_spans(
+    docs: DataFrame, method: Method, id_col: str, text_col: str, finish, fields: list[T.StructField], keep_text: bool = True
+) -> DataFrame:
     """``docs`` with the columns that ``finish`` makes of each chunk's texts and spans.
 
-    ``finish(buffer, offsets, cover)`` returns one Arrow array per field; ``cover(n)``
-    turns per-chunk token bases into a mask of removed tokens.
+    ``finish(buffer, offsets, cover)`` returns one Arrow array per field; ``cover(base)``
+    gives a mask of removed tokens from the first token of each document.  Without
+    ``keep_text`` the text column is left out of the result.
     """
     n = partitions(docs.sparkSession)
+    names = [f.name for f in fields]
+    others = [c for c in docs.columns if c not in names and c != text_col]
     ids = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    keyed = docs.select(ids.alias("id"), F.coalesce(F.hash(F.col(text_col)), F.lit(0)).alias("tag"), F.col(text_col).alias("text"))
-    parts = keyed.mapInArrow(_cut_chunks(method, n), _PARTS)
+    keyed = docs.select(
+        home_column(ids, n).alias("home"),
+        F.lit(-1).alias("n"),
+        ids.alias("id"),
+        F.coalesce(F.hash(F.col(text_col)), F.lit(0)).alias("tag"),
+        F.col(text_col).cast("string").alias("text"),
+        F.struct(*[F.col(c) for c in others]).alias("row"),
+    )
+    parts = keyed.select("id", "tag", "text").mapInArrow(_cut_chunks(method, n), _PARTS)
     spans = parts.repartitionById(n, "part").mapInArrow(_resolve_part(method, n), _PARTS)
-    names = {f.name for f in fields}
-    others = [c for c in docs.columns if c not in names]
-    row = F.struct(*[F.col(c) for c in others]).alias("row")
-    left = spans.select(F.col("part").alias("home"), "n", "meta", *[F.lit(None).cast(t).alias(c) for c, t in (("id", "long"), ("tag", "int"), ("text", "string"))], F.lit(None).cast(T.StructType([docs.schema[c] for c in others])).alias("row"))
-    right = docs.select(home_column(ids, n).alias("home"), F.lit(-1).alias("n"), F.lit(None).cast("binary").alias("meta"), ids.alias("id"), F.coalesce(F.hash(F.col(text_col)), F.lit(0)).alias("tag"), F.col(text_col).alias("text"), row)
-    joined = left.unionByName(right).repartitionById(n, "home").sortWithinPartitions(F.col("n") < 0)
-    out = T.StructType([T.StructField("row", T.StructType([docs.schema[c] for c in others])), *fields])
-    return joined.mapInArrow(_apply_spans(finish, [f.name for f in fields]), out).select("row.*", *[f.name for f in fields])
+    schema = T.StructType([T.StructField(f.name, T.BinaryType() if f.name == "text" else f.dataType) for f in keyed.schema])
+    packed = keyed.mapInArrow(_compress_texts, schema)
+    left = spans.select(F.col("part").alias("home"), "n", F.col("meta").alias("text"))
+    joined = packed.unionByName(left, allowMissingColumns=True).repartitionById(n, "home").sortWithinPartitions(F.col("n") < 0)
+    kept = [T.StructField(text_col, T.StringType())] if keep_text and text_col not in names else []
+    out = T.StructType([T.StructField("row", schema["row"].dataType), *kept, *fields])
+    result = joined.mapInArrow(_apply_spans(finish, out.names, bool(kept)), out)
+    columns = [text_col if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c in others or c == text_col and kept]
+    return result.select(*columns, *names)
 
 
 class _Held:
@@ -360,7 +382,14 @@ class _Held:
         return np.cumsum(change[:-1]) > 0
 
 
-def _apply_spans(finish, names: list[str]):
+def _texts(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with its texts unpacked."""
+    press = zstandard.ZstdDecompressor()
+    texts = pa.array([t if t is None else press.decompress(t) for t in batch.column("text").to_pylist()], pa.binary())
+    return batch.set_column(batch.schema.get_field_index("text"), "text", texts.cast(pa.string()))
+
+
+def _apply_spans(finish, names: list[str], with_text: bool):
     def run(batches):
         blobs: list[tuple[int, bytes]] = []
         held = None
@@ -368,15 +397,17 @@ def _apply_spans(finish, names: list[str]):
             is_doc = np.asarray(batch.column("n").to_numpy(zero_copy_only=False)) < 0
             if not is_doc.all():
                 side = batch.filter(pa.array(~is_doc))
-                blobs += zip(side.column("n").to_pylist(), side.column("meta").to_pylist())
+                blobs += zip(side.column("n").to_pylist(), side.column("text").to_pylist())
                 batch = batch.filter(pa.array(is_doc))
             if batch.num_rows and held is None:
                 held, blobs = _Held(blobs), []
-            for piece in K.chunks([batch], "text"):
-                buf, offsets = K.text_buffer(piece.column("text"))
-                ids, tags = (piece.column(c).to_numpy(zero_copy_only=False) for c in ("id", "tag"))
-                arrays = finish(buf, offsets, lambda base: held.cover(ids, tags, base))
-                yield pa.RecordBatch.from_arrays([piece.column("row"), *arrays], names=["row", *names])
+            for part in range(0, batch.num_rows, 256):
+                for piece in K.chunks([_texts(batch.slice(part, 256))], "text"):
+                    buf, offsets = K.text_buffer(piece.column("text"))
+                    ids, tags = (piece.column(c).to_numpy(zero_copy_only=False) for c in ("id", "tag"))
+                    arrays = finish(buf, offsets, lambda base: held.cover(ids, tags, base))
+                    text = [piece.column("text")] if with_text else []
+                    yield pa.RecordBatch.from_arrays([piece.column("row"), *text, *arrays], names=names)
 
     return run
 

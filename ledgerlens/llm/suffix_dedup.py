@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerlens.llm import kernels as K, passages as P, query
 
-#: Bytes of the first rank.
-SEED = 12
+#: Bytes of the first rank (one 64-bit number).
+SEED = 8
 
 
 def _eights(buf: np.ndarray) -> np.ndarray:
@@ -48,19 +48,10 @@ def _eights(buf: np.ndarray) -> np.ndarray:
     return x
 
 
-def _seed_names(eights: np.ndarray, at) -> np.ndarray:
-    a, b = eights[at], eights[at + (SEED - 8)]
-    return K.mix(K.mix(a) + b)
-
-
 def _cut(window: int):
     def cut(buf, offsets):
         n = len(buf)
-        eights = _eights(buf)
-        a = K.mix(eights[:n])
-        a += eights[SEED - 8 : n + SEED - 8]
-        seeds = K.mix(a)
-        del a, eights
+        seeds = K.mix(_eights(buf)[:n])
         valid = np.ones(n, bool)
         for e, b in zip(offsets[1:], offsets[:-1]):
             valid[max(b, e - window + 1) : e] = False
@@ -76,14 +67,9 @@ def _read(raw, offsets):
 
 
 def _seed(raw, at):
-    a, b = (_number(raw, at + d) for d in (0, SEED - 8))
-    return K.mix(K.mix(a) + b)
-
-
-def _number(raw, at, width: int = 8):
     x = np.zeros(len(at), np.uint64)
-    for k in range(width):
-        x = (x << np.uint64(8)) | raw[at + k].astype(np.uint64)
+    for k in range(SEED):
+        x = (x << np.uint64(8)) | raw[at + k]
     return x
 
 
@@ -134,7 +120,7 @@ def _whole_characters(buf: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return np.repeat(np.logical_and.reduceat(mask, first), size)
 
 
-def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, as_text: bool = False) -> DataFrame:
+def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, as_text: bool = False, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_bytes``, ``spans`` (removed runs of bytes) and ``kept`` (binary).
 
     A byte is removed if a ``window``-byte string covering it also starts in a
@@ -155,14 +141,13 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return [pa.array(np.diff(offsets), pa.int64()), P.span_lists(mask, offsets), data.cast(pa.string() if as_text else pa.binary())]
 
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("spans", P.SPANS), T.StructField("kept", T.StringType() if as_text else T.BinaryType())]
-    return P.repeated_spans(docs, method, id_col, text_col, finish, fields)
+    return P.repeated_spans(docs, method, id_col, text_col, finish, fields, keep_text)
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
-    """``docs`` with the repeated passages cut out of their texts (null stays null)."""
-    found = repeated_bytes(docs, id_col, text_col, window, as_text=True)
-    text = F.when(F.col(text_col).isNotNull(), F.col("kept"))
-    return found.withColumn(text_col, text).select(docs.columns)
+    """``docs`` with the repeated passages cut out of their texts (null becomes empty)."""
+    found = repeated_bytes(docs, id_col, text_col, window, as_text=True, keep_text=False)
+    return found.select(*[F.col("kept").alias(c) if c == text_col else c for c in docs.columns])
 
 
 def removed_count(spans="spans"):
@@ -174,7 +159,7 @@ def removed_count(spans="spans"):
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document's size, removed bytes, runs and the digest of what it keeps."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return repeated_bytes(docs).select(
+    return repeated_bytes(docs, keep_text=False).select(
         "doc_id",
         "n_bytes",
         removed_count().alias("n_removed"),
