@@ -48,7 +48,7 @@ MAPPINGS: list[dict] = [
     {"kind": "fields", "id": "id", "fields": [["user", "prompt"], ["assistant", "response"]]},
     {"kind": "fields", "id": "id", "fields": [["user", "question"], ["assistant", "answer"]]},
 ]
-#: Names of roles in other layouts.
+#: Names of roles in layouts of one record per conversation.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -115,7 +115,7 @@ def canonical(df: DataFrame) -> DataFrame:
         raise ValueError(f"no mapping for the field paths {schema_paths(df.schema)}")
     key = F.col(f"`{mapping['id']}`").cast("string") if mapping["id"] in df.columns else F.lit(None).cast("string")
     if mapping["kind"] == "rows":
-        turn = F.struct(F.col(mapping["order"]).alias("turn"), _role(F.col(mapping["role"])).alias("role"), F.coalesce(F.col(mapping["text"]), F.lit("")).alias("text"))
+        turn = F.struct(F.col(mapping["order"]).alias("turn"), F.coalesce(F.col(mapping["role"]), F.lit("")).alias("role"), F.coalesce(F.col(mapping["text"]), F.lit("")).alias("text"))
         turns = df.select(key.alias("conv_id"), turn.alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
         return turns.select("conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
     if mapping["kind"] == "list":
