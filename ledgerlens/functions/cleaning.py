@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -24,13 +26,25 @@ def flip_day_month(c: ColumnOrName) -> Column:
 
 
 def parse_ts(c: ColumnOrName, fmt: str = "M/d/yyyy H:mm") -> Column:
-    """Lenient timestamp parse: unparsable text becomes NULL (ANSI-safe)."""
-    return F.try_to_timestamp(_col(c), F.lit(fmt))
+    """Lenient parse to ``timestamp_ntz``: unparsable text becomes NULL (ANSI-safe).
+
+    Times without a zone are read without one: a local time that a clock change
+    skips stays as written.
+    """
+    instant = F.try_to_timestamp(F.concat(_col(c), F.lit(" +00:00")), F.lit(f"{fmt} XXX"))
+    since = F.call_function("make_dt_interval", F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(instant).cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
 
 
 def to_number(c: ColumnOrName, dtype: str = "double", default=None) -> Column:
-    """Lenient numeric coercion: ``try_cast``; bad or missing -> ``default`` (NULL if None)."""
+    """Lenient numeric coercion: bad or missing -> ``default`` (NULL if None).
+
+    Integer targets read any number (``12.7``, ``1e2``) and cut off its fraction, like a
+    parse to a number followed by a conversion to an integer.
+    """
     out = _col(c).try_cast(dtype)
+    if dtype in _INTEGERS:
+        out = F.coalesce(out, _col(c).try_cast("double").try_cast(dtype))
     if default is not None:
         out = F.coalesce(out, F.lit(default).cast(dtype))
     return out

@@ -7,9 +7,9 @@ bigrams) are arrays built in that row: no shuffle and no sort is needed to keep
 text order.
 
 Regex dialect notes (Java): ``\\w``/``\\s`` are ASCII-only unless the pattern
-starts with ``(?U)``; the notebook's tokenizers are ASCII, the web app's are
-Unicode (``unicode=True``).  Whitespace for sentence splitting is the explicit
-ASCII class so every engine reads it the same way.
+starts with ``(?U)``, whose classes differ from other languages'.  The notebook's
+tokenizers are ASCII, the web app's are Unicode (``unicode=True``).  Unicode classes
+are spelled out so that every engine reads them the same way.
 """
 
 from __future__ import annotations
@@ -41,15 +41,17 @@ from table select order group by limit where into from"""
 ALPHA_WORD = "[A-Za-z']+"
 # Characters replaced by a space before whitespace tokenizing.
 NON_WORD = r"[^\w\s]"
-NON_WORD_UNICODE = r"(?U)[^\w\s]"
+# Unicode white space, as Python's str.isspace and its regular expressions know it.
+UNICODE_SPACE = r"\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+# Neither a word character (letter, any kind of number, underscore) nor white space.
+NON_WORD_UNICODE = rf"[^\p{{L}}\p{{N}}_{UNICODE_SPACE}]"
 # Whitespace runs that separate tokens.
 WHITESPACE = r"\s+"
-WHITESPACE_UNICODE = r"(?U)\s+"
+WHITESPACE_UNICODE = rf"[{UNICODE_SPACE}]+"
 # Line terminators of text files (as line-oriented text readers split them).
 LINE_BREAK = r"\r\n|\r|\n"
 # Sentence split of the statistics cells: whitespace after . ! or ?
-ASCII_SPACE = r"[ \t\n\x0B\f\r]"
-SENTENCE_BREAK = r"(?<=[.!?])" + ASCII_SPACE + "+"
+SENTENCE_BREAK = rf"(?<=[.!?])[{UNICODE_SPACE}]+"
 # Sentence split of the text-processing notebook: every dot.
 DOT = r"\."
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -80,8 +82,8 @@ def joined_lines(text: Column) -> Column:
 
 
 def py_strip(c: Column) -> Column:
-    """Strip leading/trailing whitespace (all ASCII whitespace, like ``str.strip``)."""
-    return F.regexp_replace(c, f"^{ASCII_SPACE}+|{ASCII_SPACE}+$", "")
+    """Strip leading/trailing whitespace (all Unicode whitespace, like ``str.strip``)."""
+    return F.regexp_replace(c, rf"\A[{UNICODE_SPACE}]+|[{UNICODE_SPACE}]+\z", "")
 
 
 def dot_sentences(text: Column) -> Column:

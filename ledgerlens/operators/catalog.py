@@ -27,43 +27,31 @@ CATALOG_SCHEMA = StructType([
 def dataset_catalog(spark: SparkSession, datasets: dict[str, str], fmt: str = "parquet") -> DataFrame:
     """One row per dataset: ``name, size_mb, row_count, columns, status``.
 
-    Two jobs whatever the number of datasets: one ``binaryFile`` listing of
-    all present paths (``length`` only), summed per dataset, and one union of
-    per-dataset ``count`` aggregates; they are joined on the dataset name.
+    Each dataset is one global aggregate (its count, answered from file footers)
+    with the size of its own files as a scalar subquery: no dataset sees another's
+    files, however their paths relate.  Nothing is joined.
     """
-    present: dict[str, DataFrame] = {}
+    rows: list[DataFrame] = []
     missing: list[str] = []
     for name, path in datasets.items():
         try:
-            present[name] = spark.read.format(fmt).load(path)
-        except AnalysisException:
+            data = spark.read.format(fmt).load(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             missing.append(name)
-    parts: list[DataFrame] = []
-    if present:
-        paths = {name: datasets[name] for name in present}
-        files = spark.read.format("binaryFile").load(list(paths.values())).select("path", "length")
-        which = None
-        for name, path in paths.items():
-            root = path.rstrip("/")
-            cond = F.col("path").endswith(root) | F.col("path").contains(root + "/")
-            which = F.when(cond, F.lit(name)) if which is None else which.when(cond, F.lit(name))
-        sizes = files.groupBy(which.alias("name")).agg(F.sum("length").alias("_bytes"))
-        counts = reduce(lambda a, b: a.unionByName(b), [
-            data.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("name"), "row_count",
-                F.array(*[F.lit(c) for c in data.columns]).cast("array<string>").alias("columns"))
-            for name, data in present.items()
-        ])
-        parts.append(counts.join(sizes, "name", "left").select(
-            "name",
-            F.round(F.coalesce(F.col("_bytes"), F.lit(0)) / F.lit(1024 * 1024), 2).cast("double").alias("size_mb"),
-            F.col("row_count").cast("bigint").alias("row_count"),
-            "columns",
+            continue
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        size = files.select("length").agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).scalar()
+        rows.append(data.agg(F.count(F.lit(1)).cast("bigint").alias("row_count")).select(
+            F.lit(name).alias("name"),
+            F.round(size / F.lit(1024 * 1024), 2).cast("double").alias("size_mb"),
+            "row_count",
+            F.array(*[F.lit(c) for c in data.columns]).cast("array<string>").alias("columns"),
             F.lit("Ready").alias("status"),
         ))
     if missing:
-        parts.append(spark.createDataFrame(
-            [(m, 0.0, 0, [], "Missing") for m in missing], CATALOG_SCHEMA))
-    if not parts:
+        rows.append(spark.createDataFrame([(m, 0.0, 0, [], "Missing") for m in missing], CATALOG_SCHEMA))
+    if not rows:
         return spark.createDataFrame([], CATALOG_SCHEMA)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), rows)

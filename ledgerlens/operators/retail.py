@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.cleaning import flag, flip_day_month, mean_of, parse_ts, round_mean
+from ledgerlens.functions.cleaning import flag, flip_day_month, mean_of, parse_ts, round_mean, to_number
 from ledgerlens.session import materialize
 
 RETAIL_KEY = ("InvoiceNo", "LineNo", "StockCode", "SupplierNo", "LineAmount", "ShipDate")
@@ -31,15 +31,32 @@ def clean_lines(df: DataFrame, home_country: str) -> DataFrame:
     """Drop anonymous lines, repair day-first dates, add TotalPrice and IsUK.
 
     ``13/12/2010 9:09`` becomes ``12/13/2010 9:09`` and is parsed with
-    ``M/d/yyyy H:mm``; text that still does not parse becomes NULL.
+    ``M/d/yyyy H:mm``, without a time zone; text that still does not parse becomes
+    NULL.  Columns whose sources are absent are left out.
     """
-    return (
-        df.filter(F.col("CustomerID").isNotNull())
-        .withColumn("InvoiceDate", parse_ts(flip_day_month("InvoiceDate"), "M/d/yyyy H:mm")
-                    .cast("timestamp_ntz"))
-        .withColumn("TotalPrice", F.col("Quantity") * F.col("UnitPrice"))
-        .withColumn("IsUK", flag(F.col("Country") == home_country))
-    )
+    out = df.filter(F.col("CustomerID").isNotNull())
+    has = set(df.columns)
+    if "InvoiceDate" in has:
+        out = out.withColumn("InvoiceDate", parse_ts(flip_day_month("InvoiceDate"), "M/d/yyyy H:mm"))
+    if {"Quantity", "UnitPrice"} <= has:
+        out = out.withColumn("TotalPrice", F.col("Quantity") * F.col("UnitPrice"))
+    if "Country" in has:
+        out = out.withColumn("IsUK", flag(F.col("Country") == home_country))
+    return out
+
+
+def load_lines(df: DataFrame) -> DataFrame:
+    """Typed retail lines of an untyped load.
+
+    The customer key becomes an integer (``17850.0`` is 17850; unreadable or missing:
+    NULL); quantities and prices that cannot be read become 0, fractions of a
+    quantity are cut off.
+    """
+    return df.withColumns({
+        "CustomerID": to_number("CustomerID", "bigint"),
+        "Quantity": to_number("Quantity", "int", 0),
+        "UnitPrice": to_number("UnitPrice", "double", 0.0),
+    })
 
 
 def as_reported(df: DataFrame) -> DataFrame:

@@ -112,16 +112,20 @@ def null_filled(df: DataFrame, col: str, fill, n: int | None = 10) -> DataFrame:
     )
 
 
-def star_join(fact: DataFrame, customers: DataFrame, products: DataFrame, n: int | None = 20) -> DataFrame:
-    """Fact joined to two dimensions (J3), earliest ``n`` lines first.
+def star_join(fact: DataFrame, dimensions: list[tuple[DataFrame, str]]) -> DataFrame:
+    """Fact inner-joined to each (dimension, key) in turn.
 
-    The dimensions are joined on their keys; the planner/AQE broadcasts them
-    when their size is under the broadcast threshold and shuffles otherwise.
+    The planner/AQE broadcasts a dimension when its size is under the broadcast
+    threshold and shuffles otherwise.  A dimension of a dimension is best joined to
+    it first, so that the fact is shuffled once per key of its own.
     """
-    joined = (
-        fact.join(customers, "customer_id", "inner")
-        .join(products, "product_id", "inner")
-    )
+    for dimension, key in dimensions:
+        fact = fact.join(dimension, key, "inner")
+    return fact
+
+
+def star_preview(joined: DataFrame, n: int | None = 20) -> DataFrame:
+    """The public columns of the star join, earliest ``n`` lines first."""
     if n is not None:
         joined = top_n(joined, [F.col("order_date").asc()], n, _line_order(joined))
     return joined.select(

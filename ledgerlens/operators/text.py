@@ -285,10 +285,14 @@ def sentence_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def first_sentences(docs: DataFrame, n: int = 3, mode: str = "punct", text_col: str = "text") -> DataFrame:
-    """The first ``n`` sentences of every document, numbered from 1 (O8 + W4)."""
-    firsts = sentence_lists(docs, mode, text_col).select(
-        "doc_id", F.slice("sentences", 1, n).alias("sentences"))
+def first_sentences(docs: DataFrame, n: int = 3, mode: str = "punct", text_col: str = "text",
+                    term: str | None = None) -> DataFrame:
+    """The first ``n`` sentences of every document, numbered from 1 (O8 + W4); of those
+    that contain ``term`` where one is given (F7)."""
+    lists = sentence_lists(docs, mode, text_col)
+    if term is not None:
+        lists = lists.withColumn("sentences", F.filter("sentences", lambda s: s.contains(term)))
+    firsts = lists.select("doc_id", F.slice("sentences", 1, n).alias("sentences"))
     return explode_positions(firsts, "sentences", "sentence").withColumnRenamed("pos", "n")
 
 

@@ -43,98 +43,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Tables whose scan feeds per-row work heavy enough to be worth spreading, and
-# the key to spread them by (their primary key: unique, so never skewed).
-SPREAD_KEYS = {"lineitem": "l_orderkey", "documents": "doc_id"}
-
-
-def _cores(spark: SparkSession) -> int | None:
-    """Default parallelism, or None where the session exposes no SparkContext."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
-        return None
-
-
-def _splits(spark: SparkSession, sf_dir: str, name: str) -> int | None:
-    """Input splits of a table (planning metadata, memoized); None if unknown."""
-    memo = (id(spark), f"{sf_dir.rstrip('/')}/{name}")
-    if memo not in _SPLITS:
-        try:
-            _SPLITS[memo] = table(spark, sf_dir, name).rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
-            _SPLITS[memo] = None
-    return _SPLITS[memo]
-
-
-def spread(df: DataFrame, key: str, splits: int | None = None) -> DataFrame:
-    """Hash-partition a scan by ``key`` when it yields fewer splits than cores.
-
-    A large input arrives in thousands of splits and is returned unchanged.  A
-    small file written as one parquet row group is read by a single task;
-    spreading it lets the per-row work (regexes, joins) use every core.  The
-    partition count is explicit, so AQE keeps it, and hash partitioning needs
-    no sort (unlike round-robin) and stays deterministic on retries.
-    """
-    cores = _cores(df.sparkSession)
-    if splits is None and cores is not None:
-        splits = df.rdd.getNumPartitions()
-    if cores is None or splits is None or splits >= cores:
-        return df
-    return df.repartition(2 * cores, key)
-
-
-# Number of input splits per path: planning metadata, fixed for a session, so
-# it is looked up once (each lookup plans the scan, about 0.4 s).
-_SPLITS: dict[tuple[int, str], int | None] = {}
-
-
-def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a fact table, spread over the cores when its input is one split."""
-    df = table(spark, sf_dir, name)
-    key = SPREAD_KEYS.get(name)
-    if not key:
-        return df
-    splits = _splits(spark, sf_dir, name)
-    return df if splits is None else spread(df, key, splits)
-
+def orders_with_dims(spark: SparkSession, sf_dir: str, with_customer: bool, with_nation: bool) -> DataFrame:
+    """``orders``, LEFT-joined with customer and nation where asked for.
 
-def is_small_input(spark: SparkSession, sf_dir: str, name: str) -> bool:
-    """True when the table arrives in fewer splits than the cluster has cores
-    (False when that cannot be known: the plan for large inputs is the safe one)."""
-    cores, splits = _cores(spark), _splits(spark, sf_dir, name)
-    return cores is not None and splits is not None and splits < cores
-
-
-def join_order_dims(spark: SparkSession, sf_dir: str, fact: DataFrame, with_customer: bool,
-                    with_nation: bool) -> DataFrame:
-    """LEFT-join orders (and customer, nation) onto the lineitem fact.
-
-    Two orders with identical results (every join is on a unique key):
-
-    * large input: dimensions first - ``orders ⋈ customer ⋈ nation`` is built
-      (shuffling orders, a quarter of the fact, by customer) and joined to the
-      fact once, so the fact is shuffled by the order key only;
-    * small input (fewer splits than cores): fact first, each dimension joined
-      directly so Spark's size check can broadcast every one of them (a
-      joined dimension's size estimate is the product of its inputs, which
-      would make the planner broadcast the fact instead).
+    The dimensions of an order are joined to the orders (a quarter of the fact)
+    and the fact is joined to the result once, so it is shuffled by the order
+    key only.  All joins are on unique keys.
     """
     orders = table(spark, sf_dir, "orders")
-    cust = table(spark, sf_dir, "customer") if with_customer else None
-    nation = table(spark, sf_dir, "nation") if with_nation else None
-    if is_small_input(spark, sf_dir, "lineitem"):
-        out = fact.join(orders, fact.l_orderkey == orders.o_orderkey, "left")
-        if cust is not None:
-            out = out.join(cust, out.o_custkey == cust.c_custkey, "left")
-            if nation is not None:
-                out = out.join(nation, out.c_nationkey == nation.n_nationkey, "left")
-        return out
-    if cust is not None:
-        if nation is not None:
-            cust = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
-        orders = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
-    return fact.join(orders, fact.l_orderkey == orders.o_orderkey, "left")
+    if not with_customer:
+        return orders
+    cust = table(spark, sf_dir, "customer")
+    if with_nation:
+        nation = table(spark, sf_dir, "nation")
+        cust = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
+    return orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
+
+
+def with_dims(spark: SparkSession, sf_dir: str, dims: set[str]) -> DataFrame:
+    """``lineitem`` LEFT-joined with the dimensions named: o(rders), c(ustomer), n(ation), p(art)."""
+    fact = table(spark, sf_dir, "lineitem")
+    if "o" in dims:
+        orders = orders_with_dims(spark, sf_dir, "c" in dims, "n" in dims)
+        fact = fact.join(orders, fact.l_orderkey == orders.o_orderkey, "left")
+    if "p" in dims:
+        part = table(spark, sf_dir, "part")
+        fact = fact.join(part, fact.l_partkey == part.p_partkey, "left")
+    return fact
+
+
+def _pick(spark: SparkSession, sf_dir: str, spec: dict[str, tuple[str, Column]], wanted: list[str]) -> DataFrame:
+    """The wanted columns of a binding, joining only the dimensions they need."""
+    unknown = [c for c in wanted if c not in spec]
+    if unknown:
+        raise ValueError(f"unknown columns: {unknown}")
+    dims: set[str] = set()
+    for c in wanted:
+        d = spec[c][0]
+        while d:
+            dims.add(d)
+            d = _DIM_PARENT[d]
+    return with_dims(spark, sf_dir, dims).select(*[spec[c][1].alias(c) for c in wanted])
 
 
 # --------------------------------------------------------------------------
@@ -194,25 +143,8 @@ def sales(spark: SparkSession, sf_dir: str, cols: Iterable[str] | None = None) -
 
     The line-key columns are always present (Catalyst prunes them when unused).
     """
-    spec = _sales_columns()
     wanted = list(dict.fromkeys([*(cols or SALES_COLUMNS), *LINE_KEY]))
-    unknown = [c for c in wanted if c not in spec]
-    if unknown:
-        raise ValueError(f"unknown sales columns: {unknown}")
-    dims: set[str] = set()
-    for c in wanted:
-        d = spec[c][0]
-        while d:
-            dims.add(d)
-            d = _DIM_PARENT[d]
-
-    fact = fact_table(spark, sf_dir, "lineitem")
-    if "o" in dims:
-        fact = join_order_dims(spark, sf_dir, fact, "c" in dims, "n" in dims)
-    if "p" in dims:
-        part = table(spark, sf_dir, "part")
-        fact = fact.join(part, fact.l_partkey == part.p_partkey, "left")
-    return fact.select(*[spec[c][1].alias(c) for c in wanted])
+    return _pick(spark, sf_dir, _sales_columns(), wanted)
 
 
 def sales_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +165,8 @@ def messy_sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SALES as text with the defects a hand-kept CSV has.
 
     Rules (all derived from the data, none drop rows): open lines carry a unit
-    suffix on the quantity (``"12 pcs"``); returned lines lost their unit
+    suffix on the quantity (``"12 pcs"``), other second, third and fourth lines went
+    through a float column (``"12.0"``, ``"12.7"``, ``"12e2"``); returned lines lost their unit
     price (empty cell); undiscounted lines say ``"none"``; lines with return
     flag ``A`` have no returned value; low-priority orders have the date
     ``"unknown"``; a missing rating is an empty cell.
@@ -247,6 +180,9 @@ def messy_sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("channel") == "5-LOW", F.lit("unknown"))
         .otherwise(F.date_format("order_date", "yyyy-MM-dd")).alias("order_date"),
         F.when(F.col("payment_method") == "O", F.concat(F.col("quantity").cast("string"), F.lit(" pcs")))
+        .when(F.col("line_number") == 2, F.concat(F.col("quantity").cast("string"), F.lit(".0")))
+        .when(F.col("line_number") == 3, F.concat(F.col("quantity").cast("string"), F.lit(".7")))
+        .when(F.col("line_number") == 4, F.concat(F.col("quantity").cast("string"), F.lit("e2")))
         .otherwise(F.col("quantity").cast("string")).alias("quantity"),
         F.when(F.col("returned") == "Yes", F.lit(""))
         .otherwise(F.col("unit_price").cast("string")).alias("unit_price"),
@@ -262,29 +198,57 @@ def messy_sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # RETAIL: the online-retail lines of the reference
 # --------------------------------------------------------------------------
 
-def retail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Retail lines as loaded, before cleaning.
+def _retail_columns() -> dict[str, tuple[str, Column]]:
+    return {
+        "InvoiceNo": ("", F.col("l_orderkey")),
+        "StockCode": ("", F.col("l_partkey")),
+        "Description": ("p", F.col("p_name")),
+        "Quantity": ("", F.col("l_quantity").cast("int")),
+        "InvoiceDate": ("o", F.date_format("o_orderdate", "d/M/yyyy H:mm")),
+        "UnitPrice": ("p", money("p_retailprice", 2)),
+        "CustomerID": ("c", F.when(F.col("c_acctbal") >= 0, F.col("o_custkey"))),
+        "Country": ("n", F.col("n_name")),
+        "LineNo": ("", F.col("l_linenumber")),
+        "SupplierNo": ("", F.col("l_suppkey")),
+        "LineAmount": ("", F.col("l_extendedprice")),
+        "ShipDate": ("", F.col("l_shipdate")),
+    }
+
+
+def retail_raw(spark: SparkSession, sf_dir: str, cols: Iterable[str] | None = None) -> DataFrame:
+    """Retail lines as loaded, before cleaning: the columns asked for (default all).
 
-    ``CustomerID`` is NULL for customers whose account is in debit
-    (``c_acctbal < 0``) - the anonymous lines the reference drops first.
-    ``InvoiceDate`` is the day-first text ``d/M/yyyy H:mm`` of the source.
+    ``CustomerID`` (always there: cleaning drops lines without it) is NULL for
+    customers whose account is in debit (``c_acctbal < 0``) - the anonymous lines
+    the reference drops first.  ``InvoiceDate`` is the day-first text
+    ``d/M/yyyy H:mm`` of the source.  The line-key columns are always present.
     """
-    fact = join_order_dims(spark, sf_dir, fact_table(spark, sf_dir, "lineitem"), True, True)
-    part = table(spark, sf_dir, "part")
-    fact = fact.join(part, fact.l_partkey == part.p_partkey, "left")
-    return fact.select(
-        F.col("l_orderkey").alias("InvoiceNo"),
-        F.col("l_partkey").alias("StockCode"),
-        F.col("p_name").alias("Description"),
-        F.col("l_quantity").cast("int").alias("Quantity"),
-        F.date_format("o_orderdate", "d/M/yyyy H:mm").alias("InvoiceDate"),
-        money("p_retailprice", 2).alias("UnitPrice"),
-        F.when(F.col("c_acctbal") >= 0, F.col("o_custkey")).alias("CustomerID"),
-        F.col("n_name").alias("Country"),
-        F.col("l_linenumber").alias("LineNo"),
-        F.col("l_suppkey").alias("SupplierNo"),
-        F.col("l_extendedprice").alias("LineAmount"),
-        F.col("l_shipdate").alias("ShipDate"),
+    spec = _retail_columns()
+    return _pick(spark, sf_dir, spec, list(dict.fromkeys([*(cols or spec), "CustomerID", *RETAIL_KEY])))
+
+
+def retail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retail lines as the untyped file has them: numbers as text, some unreadable.
+
+    A file with missing customer keys holds the others as ``17850.0``; third lines
+    say ``2 for 1`` for the quantity, fourth lines have it as ``1.2e1``-style text,
+    and lines returned have an empty price.
+    """
+    spec = _retail_columns()
+    lines = with_dims(spark, sf_dir, {"o", "c", "p"})
+    keys = [spec[c][1].alias(c) for c in RETAIL_KEY]
+    quantity = F.col("l_quantity").cast("int")
+    text = (
+        F.when(F.col("l_linenumber") == 3, F.lit("2 for 1"))
+        .when(F.col("l_linenumber") == 4, F.concat(quantity.cast("string"), F.lit("e1")))
+        .when(F.col("l_linenumber") == 5, F.concat(quantity.cast("string"), F.lit(".7")))
+        .otherwise(quantity.cast("string"))
+    )
+    return lines.select(
+        *keys,
+        F.concat(spec["CustomerID"][1].cast("string"), F.lit(".0")).alias("CustomerID"),
+        text.alias("Quantity"),
+        F.when(F.col("l_returnflag") == "R", F.lit("")).otherwise(spec["UnitPrice"][1].cast("string")).alias("UnitPrice"),
     )
 
 
@@ -300,4 +264,4 @@ HOME_COUNTRY = "NATION_0"
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, text)``: one document per row; it replaces the text files."""
-    return fact_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return table(spark, sf_dir, "documents").select("doc_id", "text")

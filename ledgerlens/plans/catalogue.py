@@ -11,7 +11,6 @@ a search term) are re-chosen for the driver tables and kept here, together.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +20,10 @@ from ledgerlens.operators import retail as R
 from ledgerlens.operators import sales as S
 from ledgerlens.operators import text as X
 from ledgerlens.functions import text as T
+from ledgerlens.functions.cleaning import money
 from ledgerlens.plans import bindings as B
-from ledgerlens.session import checkpoint_dir, materialize
-from ledgerlens.sources import sinks
+from ledgerlens.session import checkpoint_dir
+from ledgerlens.sources import read_csv, read_lines, read_table, register_view, sinks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -143,16 +143,24 @@ def customer_dim(spark, d) -> DataFrame:
 
 
 def product_dim(spark, d) -> DataFrame:
-    """products(product_id, product_name_dim, category_from_dim)."""
+    """products(product_id, product_name_dim, category_from_dim, unit_price)."""
     return B.table(spark, d, "part").select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name_dim"),
-        F.col("p_type").alias("category_from_dim"))
+        F.col("p_type").alias("category_from_dim"), money("p_retailprice", 2).alias("unit_price"))
 
 
 @query("star_join")
 def q_star_join(spark, d):
-    fact = B.sales(spark, d, ["order_date", "customer_id", "product_id", "quantity", "sales_amount"])
-    return S.star_join(fact, customer_dim(spark, d), product_dim(spark, d), 20)
+    # the customer joins the orders and the price comes with the product: the fact is
+    # shuffled once by order and once by product
+    orders = B.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_date"),
+        F.col("o_custkey").alias("customer_id"))
+    fact = B.sales(spark, d, ["product_id", "quantity", "discount_rate"])
+    out = S.star_join(fact, [(orders.join(customer_dim(spark, d), "customer_id"), "order_id"),
+                             (product_dim(spark, d), "product_id")])
+    amount = F.col("quantity") * F.col("unit_price") * (F.lit(1) - F.col("discount_rate"))
+    return S.star_preview(out.withColumn("sales_amount", amount.cast("decimal(18,4)")), 20)
 
 
 @query("category_share")
@@ -171,10 +179,9 @@ def q_rank_in_category(spark, d):
 def q_category_revenue(spark, d):
     s = B.sales(spark, d, ["category", "sales_amount", "returned"])
     summary = S.revenue_by(s, "category", F.col("returned") == "No")
-    name = f"category_revenue_summary_{uuid.uuid4().hex[:8]}"
-    path = f"{checkpoint_dir(spark)}/tables/{name}"
-    sinks.write_table(summary, name, fmt="parquet", mode="overwrite", path=path)
-    return spark.table(name).orderBy(F.col("revenue_krw").desc())
+    name = "category_revenue_summary"
+    sinks.write_table(summary, name, fmt="parquet", mode="overwrite", path=f"{checkpoint_dir(spark)}/tables/{name}")
+    return read_table(spark, name).orderBy(F.col("revenue_krw").desc())
 
 
 @query("top_cities")
@@ -193,9 +200,13 @@ def q_return_rate(spark, d):
 # online-retail notebook (RETAIL)
 # --------------------------------------------------------------------------
 
-def retail_lines(spark, d) -> DataFrame:
-    """Cleaned retail lines (kept lazy; every retail query starts here)."""
-    return R.clean_lines(B.retail_raw(spark, d), B.HOME_COUNTRY)
+def retail_lines(spark, d, cols=None) -> DataFrame:
+    """Cleaned retail lines (lazy), joining only the dimensions that ``cols`` need."""
+    return R.clean_lines(B.retail_raw(spark, d, cols), B.HOME_COUNTRY)
+
+
+PRODUCT_COLS = ["StockCode", "Description", "Quantity", "UnitPrice"]
+SPEND_COLS = ["Country", "Quantity", "UnitPrice"]
 
 
 @query("retail_clean")
@@ -215,34 +226,30 @@ def q_high_value_top(spark, d):
 
 @query("product_stats")
 def q_product_stats(spark, d):
-    return R.product_stats(retail_lines(spark, d)).orderBy(
+    return R.product_stats(retail_lines(spark, d, PRODUCT_COLS)).orderBy(
         F.col("total_quantity").desc(), "StockCode", "Description")
 
 
 @query("product_stats_top")
 def q_product_stats_top(spark, d):
-    return R.product_stats_top(retail_lines(spark, d), 20)
+    return R.product_stats_top(retail_lines(spark, d, PRODUCT_COLS), 20)
 
 
 @query("customer_country_distinct")
 def q_customer_country_distinct(spark, d):
-    return R.distinct_customers(retail_lines(spark, d))
+    return R.distinct_customers(retail_lines(spark, d, ["Country"]))
 
 
 @query("customer_country_top")
 def q_customer_country_top(spark, d):
-    return R.distinct_customers(retail_lines(spark, d)).orderBy("CustomerID", "Country").limit(50)
+    return R.distinct_customers(retail_lines(spark, d, ["Country"])).orderBy("CustomerID", "Country").limit(50)
 
 
 @query("customer_transactions")
 def q_customer_transactions(spark, d):
-    # the cleaned lines feed both sides of the join.  On large inputs they are
-    # written once (shared checkpoint folder) instead of scanning and joining
-    # the fact twice; on small ones recomputing is cheaper than the write.
-    lines = retail_lines(spark, d)
-    if not B.is_small_input(spark, d, "lineitem"):
-        lines = materialize(lines, "retail-lines")
-    return R.as_reported(R.customer_transactions(lines, R.distinct_customers(lines)))
+    # the customer list needs two columns, so its side reads no part table and little else
+    customers = R.distinct_customers(retail_lines(spark, d, ["CustomerID", "Country"]))
+    return R.as_reported(R.customer_transactions(retail_lines(spark, d), customers))
 
 
 @query("customer_transactions_preview")
@@ -252,45 +259,50 @@ def q_customer_transactions_preview(spark, d):
 
 @query("customer_summary")
 def q_customer_summary(spark, d):
-    return R.customer_summary_fanned(retail_lines(spark, d)).orderBy(
+    return R.customer_summary_fanned(retail_lines(spark, d, SPEND_COLS)).orderBy(
         F.col("total_spent").desc(), "CustomerID", "Country")
 
 
 @query("customer_summary_top")
 def q_customer_summary_top(spark, d):
-    return R.customer_summary_top(retail_lines(spark, d), 20)
+    return R.customer_summary_top(retail_lines(spark, d, SPEND_COLS), 20)
 
 
 @query("bulk_orders")
 def q_bulk_orders(spark, d):
-    return R.bulk_orders(retail_lines(spark, d), BULK_QTY)
+    return R.bulk_orders(retail_lines(spark, d, PRODUCT_COLS), BULK_QTY)
 
 
 @query("country_summary")
 def q_country_summary(spark, d):
-    return R.country_summary_self(retail_lines(spark, d)).orderBy(F.col("total_revenue").desc(), "Country")
+    return R.country_summary_self(retail_lines(spark, d, SPEND_COLS)).orderBy(F.col("total_revenue").desc(), "Country")
 
 
 @query("country_summary_top10")
 def q_country_summary_top10(spark, d):
-    return R.country_summary_self(retail_lines(spark, d)).orderBy(
+    return R.country_summary_self(retail_lines(spark, d, SPEND_COLS)).orderBy(
         F.col("total_revenue").desc(), "Country").limit(10)
 
 
 @query("country_summary_direct")
 def q_country_summary_direct(spark, d):
-    return R.country_summary(retail_lines(spark, d)).orderBy(F.col("total_revenue").desc(), "Country")
+    return R.country_summary(retail_lines(spark, d, SPEND_COLS)).orderBy(F.col("total_revenue").desc(), "Country")
 
 
 @query("customer_patterns")
 def q_customer_patterns(spark, d):
-    return R.customer_patterns(retail_lines(spark, d), MIN_PRODUCTS).orderBy(
+    return R.customer_patterns(retail_lines(spark, d, ["StockCode", "Quantity"]), MIN_PRODUCTS).orderBy(
         F.col("unique_products").desc(), "CustomerID")
 
 
 @query("monthly_revenue")
 def q_monthly_revenue(spark, d):
-    return R.monthly_revenue(retail_lines(spark, d)).orderBy("year", "month")
+    return R.monthly_revenue(retail_lines(spark, d, ["InvoiceDate", "Quantity", "UnitPrice"])).orderBy("year", "month")
+
+
+@query("retail_loaded")
+def q_retail_loaded(spark, d):
+    return R.load_lines(B.retail_text(spark, d))
 
 
 # --------------------------------------------------------------------------
@@ -463,8 +475,8 @@ def q_lenient_date_parts(spark, d):
 MISSING_DATASET = "online_retail"
 
 
-@query("dataset_catalog")
-def q_dataset_catalog(spark, d):
+def dataset_catalog_of(spark, d) -> DataFrame:
+    """The web catalogue over the driver tables (its sizes are not visible to SQL)."""
     from ledgerlens.operators.catalog import dataset_catalog
     sets = {t: f"{d.rstrip('/')}/{t}.parquet" for t in B.TABLES}
     sets[MISSING_DATASET] = f"{d.rstrip('/')}/{MISSING_DATASET}.parquet"
@@ -473,11 +485,44 @@ def q_dataset_catalog(spark, d):
 
 @query("dataset_row_counts")
 def q_dataset_row_counts(spark, d):
-    cat = q_dataset_catalog(spark, d)
+    cat = dataset_catalog_of(spark, d)
     return cat.select("name", "row_count", F.size("columns").cast("bigint").alias("column_count"),
                       F.array_join("columns", ",").alias("column_list"), "status")
 
 
+@query("category_counts_view")
+def q_category_counts_view(spark, d):
+    register_view(B.sales(spark, d, ["category", "quantity"]), "orders_by_line")
+    return spark.sql(
+        "SELECT category, COUNT(*) AS orders, SUM(quantity) AS units FROM orders_by_line "
+        "WHERE quantity > 10 GROUP BY category")
+
+
+def csv_round_trip(spark, ranked: DataFrame, name: str, header: bool) -> DataFrame:
+    """A ranked list written as CSV to the shared folder and read back."""
+    path = f"{checkpoint_dir(spark)}/exports/{name}"
+    sinks.write_csv(ranked, path, header=header)
+    return read_csv(spark, path, schema=ranked.schema, header=header)
+
+
+@query("word_freq_csv")
+def q_word_freq_csv(spark, d):
+    return csv_round_trip(spark, q_word_freq(spark, d), "word_freq", header=True)
+
+
+@query("web_word_export_csv")
+def q_web_word_export_csv(spark, d):
+    return csv_round_trip(spark, q_web_word_export(spark, d), "web_words", header=False)
+
+
+@query("word_freq_lines")
+def q_word_freq_lines(spark, d):
+    # the corpus as a text file: one line per row, read back line by line
+    path = f"{checkpoint_dir(spark)}/exports/lines"
+    X.lines(_docs(spark, d)).select("line").write.mode("overwrite").text(path)
+    return X.ranked(X.word_counts(X.tokens(read_lines(spark, path), "strip", text_col="line")), ["word"])
+
+
 @query("preview_with_count")
 def q_preview_with_count(spark, d):
     orders = B.table(spark, d, "orders")
@@ -518,11 +563,10 @@ def q_people_from_customers(spark, d):
 
 @query("web_term_sentences")
 def q_web_term_sentences(spark, d):
-    sents = X.sentences(_docs(spark, d), "punct_raw")
-    return X.first_in_text_order(X.containing(sents, TERM), 10)
+    return X.first_sentences(_docs(spark, d), 10, "punct_raw", term=TERM)
 
 
 @query("web_upper_sentences")
 def q_web_upper_sentences(spark, d):
-    first = X.first_in_text_order(X.sentences(_docs(spark, d), "punct_raw"), 10)
-    return first.select("doc_id", "pos", F.upper("sentence").alias("uppercase_sentence"))
+    first = X.first_sentences(_docs(spark, d), 10, "punct_raw")
+    return first.select("doc_id", "n", F.upper("sentence").alias("uppercase_sentence"))

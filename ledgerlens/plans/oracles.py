@@ -199,7 +199,7 @@ retail_raw AS (
     CASE WHEN c.c_acctbal >= 0 THEN o.o_custkey END AS CustomerID,
     n.n_name AS Country,
     l.l_linenumber AS LineNo, l.l_suppkey AS SupplierNo, l.l_extendedprice AS LineAmount,
-    l.l_shipdate AS ShipDate
+    l.l_shipdate AS ShipDate, l.l_returnflag AS return_flag
   FROM lineitem l
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
@@ -333,7 +333,11 @@ def _sql_list(words) -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
 
 
+# White space of the tokenizers of the notebooks (ASCII) and of sentences and the web app
+# (Unicode: what Python's ``str.isspace`` says yes to).
 _WS = r"[ \t\n\x0B\f\r]"
+_UNI = r"\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_UWS = f"[{_UNI}]"
 
 DOC_CTE = r"""
 doc_lines AS (
@@ -357,8 +361,8 @@ dot_rows AS (
 
 
 def _punct(expr: str) -> str:
-    marked = f"regexp_replace({expr}, '([.!?]){_WS}+', '\\1' || chr(1), 'g')"
-    stripped = f"lambda s: regexp_replace(s, '^{_WS}+|{_WS}+$', '', 'g')"
+    marked = f"regexp_replace({expr}, '([.!?]){_UWS}+', '\\1' || chr(1), 'g')"
+    stripped = f"lambda s: regexp_replace(s, '^{_UWS}+|{_UWS}+$', '', 'g')"
     return f"list_filter(list_transform(string_split({marked}, chr(1)), {stripped}), lambda s: s <> '')"
 
 
@@ -391,8 +395,8 @@ WEB_CTE = f"""
 web_words AS (
   SELECT doc_id,
     list_filter(string_split_regex(
-        regexp_replace(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Nl}}_ \\t\\n\\x0B\\f\\r]', ' ', 'g'),
-        '{_WS}+'), lambda w: length(w) > 0) AS words
+        regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}_{_UNI}]', ' ', 'g'),
+        '{_UWS}+'), lambda w: length(w) > 0) AS words
   FROM documents
 ),
 web_kept AS (
@@ -535,6 +539,9 @@ messy AS (
   SELECT order_id, line_number, product_id, supplier_id, ext_price, ship_date, category,
     CASE WHEN channel = '5-LOW' THEN 'unknown' ELSE strftime(order_date, '%Y-%m-%d') END AS order_date,
     CASE WHEN payment_method = 'O' THEN CAST(quantity AS VARCHAR) || ' pcs'
+         WHEN line_number = 2 THEN CAST(quantity AS VARCHAR) || '.0'
+         WHEN line_number = 3 THEN CAST(quantity AS VARCHAR) || '.7'
+         WHEN line_number = 4 THEN CAST(quantity AS VARCHAR) || 'e2'
          ELSE CAST(quantity AS VARCHAR) END AS quantity,
     CASE WHEN returned = 'Yes' THEN '' ELSE CAST(unit_price AS VARCHAR) END AS unit_price,
     CASE WHEN discount_rate = 0 THEN 'none' ELSE CAST(discount_rate AS VARCHAR) END AS discount_rate,
@@ -545,7 +552,7 @@ messy AS (
 )""") + """
 SELECT order_id, line_number, product_id, supplier_id, ext_price, ship_date, category,
   strftime(TRY_CAST(order_date AS TIMESTAMP), '%Y-%m-%d') AS order_date,
-  COALESCE(TRY_CAST(quantity AS INTEGER), 0) AS quantity,
+  COALESCE(TRY_CAST(trunc(TRY_CAST(quantity AS DOUBLE)) AS INTEGER), 0) AS quantity,
   COALESCE(TRY_CAST(unit_price AS DOUBLE), 0.0) AS unit_price,
   COALESCE(TRY_CAST(discount_rate AS DOUBLE), 0.0) AS discount_rate,
   COALESCE(TRY_CAST(sales_amount AS DOUBLE), 0.0) AS sales_amount,
@@ -626,10 +633,38 @@ raw_rows AS (
 )"""
 
 ORACLES["web_term_sentences"] = _with(RAW_PUNCT_CTE) + """
-SELECT doc_id, pos, sentence FROM raw_rows WHERE contains(sentence, 'the') ORDER BY doc_id, pos LIMIT 10
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n, sentence
+FROM raw_rows WHERE contains(sentence, 'the') QUALIFY n <= 10
 """
 
 ORACLES["web_upper_sentences"] = _with(RAW_PUNCT_CTE) + """
-SELECT doc_id, pos, upper(replace(sentence, 'ß', 'ss')) AS uppercase_sentence
-FROM raw_rows ORDER BY doc_id, pos LIMIT 10
+SELECT doc_id, pos AS n, upper(replace(sentence, 'ß', 'ss')) AS uppercase_sentence
+FROM raw_rows WHERE pos <= 10
+"""
+
+# -- views, text lines, CSV round trips, untyped retail lines ------------------
+
+ORACLES["category_counts_view"] = _with(SALES_CTE) + """
+SELECT category, COUNT(*) AS orders, CAST(SUM(quantity) AS BIGINT) AS units
+FROM sales WHERE quantity > 10 GROUP BY category
+"""
+
+ORACLES["word_freq_csv"] = ORACLES["word_freq"]
+ORACLES["word_freq_lines"] = ORACLES["word_freq"]
+ORACLES["web_word_export_csv"] = ORACLES["web_word_export"]
+
+ORACLES["retail_loaded"] = _with(RETAIL_CTE, """
+as_text AS (
+  SELECT InvoiceNo, LineNo, StockCode, SupplierNo, LineAmount, ShipDate,
+    CAST(CustomerID AS VARCHAR) || '.0' AS CustomerID,
+    CASE WHEN LineNo = 3 THEN '2 for 1' WHEN LineNo = 4 THEN CAST(Quantity AS VARCHAR) || 'e1'
+         WHEN LineNo = 5 THEN CAST(Quantity AS VARCHAR) || '.7' ELSE CAST(Quantity AS VARCHAR) END AS Quantity,
+    CASE WHEN return_flag = 'R' THEN '' ELSE CAST(UnitPrice AS VARCHAR) END AS UnitPrice
+  FROM retail_raw
+)""") + """
+SELECT InvoiceNo, LineNo, StockCode, SupplierNo, LineAmount, ShipDate,
+  CAST(trunc(TRY_CAST(CustomerID AS DOUBLE)) AS BIGINT) AS CustomerID,
+  COALESCE(TRY_CAST(trunc(TRY_CAST(Quantity AS DOUBLE)) AS INTEGER), 0) AS Quantity,
+  COALESCE(TRY_CAST(UnitPrice AS DOUBLE), 0.0) AS UnitPrice
+FROM as_text
 """

@@ -1,4 +1,4 @@
-"""Session construction and the shared scratch location.
+"""Session construction and the shared folder for intermediate tables.
 
 On a cluster the session comes from the platform; ``build_session`` is what the
 tests and the bench use on ``local[N]``.  The settings that matter at scale are
@@ -9,10 +9,12 @@ time zone pinned to UTC, and ANSI mode left on (leniency only via ``try_*``).
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Spark's own size check for broadcast joins.  Dimension sides below this are
 # broadcast by the planner (static estimate) or by AQE (measured shuffle
@@ -24,88 +26,88 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     app_name: str = "ledgerlens",
-    driver_memory: str = "8g",
+    driver_memory: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or return) a session with the settings this library assumes."""
-    master = master or os.environ.get("LEDGERLENS_MASTER", "local[8]")
-    cores = _cores_of(master)
-    parts = shuffle_partitions or max(2 * cores, 8)
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", driver_memory)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_THRESHOLD_BYTES))
-        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_THRESHOLD_BYTES))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
-    )
-    for key, value in (extra or {}).items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    """Create (or return) a session with the settings this library assumes.
+
+    Master, shuffle partitions and driver memory are set only where the caller
+    gives them.
+    """
+    conf = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_THRESHOLD_BYTES),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_THRESHOLD_BYTES),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
+    spark = builder.config(map={**conf, **(extra or {})}).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """Raised where an intermediate table has no folder that all executors reach."""
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is whatever the platform put in ``spark.checkpoint.dir``
-    (shared storage every executor can reach).  Only when it is unset, as in
-    local tests, a fresh local folder is created and registered.
+    It is what the session has in ``spark.checkpoint.dir`` or as its checkpoint
+    folder.  Where neither is set, a session whose executors are threads of this
+    very process (``local`` or ``local[N]``, as in tests) gets a temporary folder
+    that goes when the process ends; any other session is an error, because its
+    executors would each write to a disk of their own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
-        sc = None
-    if not configured and sc is not None:
-        configured = sc.getCheckpointDir()
+    context = getattr(spark, "_sc", None)
+    if not configured and context is not None:
+        configured = context.getCheckpointDir()
     if not configured:
-        configured = _LOCAL_DIRS.setdefault(id(spark), tempfile.mkdtemp(prefix="ledgerlens-ckpt-"))
-        if sc is not None:
-            sc.setCheckpointDir(configured)
-    elif sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(configured)
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise NoSharedFolder(
+                "spark.checkpoint.dir is not set: intermediate tables need a folder that the driver and all executors share"
+            )
+        configured = _local_folder()
+    if context is not None and not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
-# Local fallback folders, one per session (only used when nothing is configured).
-_LOCAL_DIRS: dict[int, str] = {}
+_LOCAL: list[str] = []
 
 
-def _cores_of(master: str) -> int:
-    if master.startswith("local[") and master.endswith("]"):
-        inner = master[6:-1].split(",")[0]
-        if inner == "*":
-            return os.cpu_count() or 8
-        try:
-            return int(inner)
-        except ValueError:
-            return 8
-    return 8
+def _local_folder() -> str:
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="ledgerlens-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return _LOCAL[0]
 
 
-def materialize(df, label: str):
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared folder and read it back.
 
     Used where one intermediate result feeds several branches of a plan and
     recomputing it per branch would re-read the input (Spark reuses an
     exchange only between identical subplans, and column pruning makes the
     branches differ).  The write cuts lineage, so a lost executor does not
-    force the upstream stages to rerun.  This runs a job immediately.
+    force the upstream stages to rerun.  This runs a job immediately; the tables
+    of a session lie together under ``tables/<application id>``.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/tables/{label}-{uuid.uuid4().hex[:12]}"
+    app = spark.conf.get("spark.app.id", "app")
+    path = f"{checkpoint_dir(spark)}/tables/{app}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -17,14 +17,19 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             encoding: str = "UTF-8", header: bool = True) -> DataFrame:
-    """Scan CSV with a header.
+             encoding: str = "UTF-8", header: bool = True, multi_line: bool = False,
+             null_value: str | None = None) -> DataFrame:
+    """Scan CSV (S2, S3).
 
     With ``schema`` the types are fixed and no inference pass runs (the right
-    choice at scale); without it Spark infers types with one extra pass.
+    choice at scale); without it Spark infers types with one extra pass.  An empty
+    cell is NULL, a quoted empty cell is empty text; ``null_value`` is a text that
+    is NULL as well.  ``multi_line`` reads cells with line breaks, at the price of
+    one task per file.
     """
     reader = (spark.read.option("header", header).option("encoding", encoding)
-              .option("escape", '"').option("multiLine", False))
+              .option("escape", '"').option("multiLine", multi_line)
+              .option("emptyValue", "").option("nullValue", "\u0000" if null_value is None else null_value))
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -33,8 +38,13 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "line") -> DataFrame:
-    """Scan text files as one row per line, renamed (S4); splittable at scale."""
-    return spark.read.text(path).toDF(column)
+    """Scan text files as one row per line, ``(doc_id, <column>)`` (S4); splittable at scale.
+
+    ``doc_id`` is the file path.  The text operators take such a frame with
+    ``text_col="line"``; each line then is a text of its own.
+    """
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias(column))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -42,7 +52,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     ``doc_id`` is the file path.  A whole file becomes one row, so this suits
     collections of documents; one very large file is better read with
-    ``read_lines`` (every operator here also accepts a lines frame).
+    ``read_lines``.
     """
     return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))

@@ -15,11 +15,14 @@ def write_csv(df: DataFrame, path: str, header: bool = True, null_value: str | N
               mode: str = "overwrite") -> None:
     """Write a CSV directory (K1, K2, K5, K6).
 
-    Cells containing the separator are quoted and embedded quotes are doubled
-    (RFC 4180, readable by any CSV reader); ``null_value="NULL"`` writes NULL
-    as that text.
+    Cells containing the separator, a quote or a line break are quoted and embedded
+    quotes are doubled (RFC 4180); white space is kept.  Empty text is written as a
+    quoted empty cell and NULL as an empty one (or as ``null_value``, which text
+    must not equal).  ``sources.read_csv`` with the same ``null_value`` reads the same
+    rows back, with ``multi_line`` if cells hold line breaks.
     """
-    writer = df.write.mode(mode).option("header", header).option("escape", '"')
+    writer = (df.write.mode(mode).option("header", header).option("escape", '"').option("emptyValue", '""')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if null_value is not None:
         writer = writer.option("nullValue", null_value)
     writer.csv(path)
