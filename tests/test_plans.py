@@ -7,7 +7,7 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
+from ledgerlens.plans.catalogue import QUERIES
 
 from conftest import SF_SMALL
 
@@ -22,15 +22,15 @@ def plan_of(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_plan_has_no_cross_join_or_python(spark, key):
-    plan = plan_of(E.queries()[key](spark, SF_SMALL))
+    plan = plan_of(QUERIES[key](spark, SF_SMALL))
     bad = [op for op in FORBIDDEN if op in plan]
     assert not bad, f"{key}: {bad}"
 
 
 def test_filters_and_projections_reach_the_scan(spark):
-    plan = plan_of(E.queries()["category_unreturned_top"](spark, SF_SMALL))
+    plan = plan_of(QUERIES["category_unreturned_top"](spark, SF_SMALL))
     assert "EqualTo(p_type,PROMO)" in plan
     lineitem_schema = [ln for ln in plan.splitlines() if "ReadSchema: struct<l_orderkey" in ln]
     assert lineitem_schema and "l_tax" not in lineitem_schema[0]

@@ -167,6 +167,32 @@ def test_web_stats(docs):
 
 
 ALPHABET = "abcXYZ '.,!?-_\n\r\t0é"
+# no-break and ideographic space, line separator, superscript, fraction, decomposed accent,
+# Devanagari with a vowel sign, Roman numeral, undertie (a connector that is no word character)
+WIDE = "ab.!? \n\u00a0\u3000\u2028\x1c\u0085²½e\u0301\u0928\u0940Ⅷ\u203f_7"
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet=WIDE, max_size=30), min_size=20, max_size=40))
+def test_unicode_rules_match_python(spark, texts):
+    texts = [*texts, "One.\u00a0Two.", "x² + ½", "\u3000wide\u3000. y", "e\u0301a \u0928\u0940\u0928"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert as_lists(X.tokens(df, "strip", unicode=True), "words") == {i: py_strip(t, True) for i, t in enumerate(texts)}
+    assert as_lists(X.sentence_lists(df, "punct"), "sentences") == {i: py_punct_sentences(t) for i, t in enumerate(texts)}
+
+
+def test_text_operators_take_lines(spark, docs):
+    lines = X.lines(docs)
+    from_lines = rows(X.word_counts(X.tokens(lines, "strip", text_col="line")))
+    assert from_lines == rows(X.word_counts(X.tokens(docs, "strip")))
+    split = rows(X.sentences(lines, "dot", text_col="line"), "doc_id", "sentence")
+    assert split == rows(X.sentences(docs, "dot"), "doc_id", "sentence")
+
+
+def test_first_sentences_with_a_term_per_document(spark):
+    many = spark.createDataFrame([(1, " ".join(f"the {i}." for i in range(30))), (2, "no. yes the. so."), (3, None)], "doc_id long, text string")
+    got = rows(X.first_sentences(many, 10, "punct_raw", term="the"), "doc_id", "n", "sentence")
+    assert got == sorted([(1, i + 1, f"the {i}.") for i in range(10)] + [(2, 1, "yes the.")], key=repr)
 
 
 @settings(max_examples=3, deadline=None)
