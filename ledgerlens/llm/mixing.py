@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens.llm import query
+from ledgerlens.llm.passages import NO_ID
 from ledgerlens.llm.tables import stored
 
 #: Weights of the sources in their order, repeating.
@@ -50,13 +51,15 @@ def word_count(text):
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """id, tag (of the text), source and size of every document."""
     return docs.select(
-        F.col(id_col).alias("id"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"),
-        F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size"),
+        *_key(id_col, text_col), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
     )
 
 
+def _key(id_col: str, text_col: str) -> list:
+    ids = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    return [ids.alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag")]
+
+
 def targets(sized: DataFrame) -> DataFrame:
     """source, documents, source_size, weight, target; one row per source.
 
@@ -191,12 +194,11 @@ def with_copies(sized: DataFrame, planned: tuple[DataFrame, DataFrame, DataFrame
     ``copies``: pass, shard and shard_order of each time the document is taken.
     """
     sources, copies, picks = planned
-    picks = picks.select("place", "block", F.col("id").alias("p_id"), F.col("tag").alias("p_tag"), F.lit(True).alias("picked"))
     placed = _placed(sized, sources, seed).join(copies, ["place", "block"], "left")
-    found = placed.join(picks.withColumnsRenamed({"place": "p_place", "block": "p_block"}), on=(placed["place"] == F.col("p_place")) & (placed["block"] == F.col("p_block")) & placed["id"].eqNullSafe(F.col("p_id")) & (placed["tag"] == F.col("p_tag")), how="left")
+    found = placed.join(picks.withColumn("picked", F.lit(True)), ["place", "block", "id", "tag"], "left")
     mine = F.filter(F.coalesce("copies", F.array()), lambda c: ~c["last"] | F.coalesce(F.col("picked"), F.lit(False)))
     shown = F.transform(mine, lambda c: F.struct(c["pass"].alias("pass"), c["shard"].alias("shard"), F.xxhash64(F.col("id"), F.col("tag"), c["pass"], F.lit(seed + 3)).alias("shard_order")))
-    return found.withColumn("copies", shown).drop("place", "block", "blocks", "passes", "picked", "p_place", "p_block", "p_id", "p_tag")
+    return found.withColumn("copies", shown).drop("place", "block", "blocks", "passes", "picked")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -204,9 +206,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     and ``shard_order``, the rows of a shard together and in its shuffled order."""
     sized = stored(keyed(docs, id_col, text_col, source_col), "sized")
     planned = plan(sized, shards, seed)
+    each = with_copies(sized, planned, seed).where(F.size("copies") > 0)
+    # narrow rows all the way; only here the texts are shuffled, once
+    each = each.groupBy("id", "tag").agg(F.first("copies").alias("copies"))
     others = [c for c in docs.columns if c not in ("pass", "shard", "shard_order")]
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"), F.col(source_col).alias("source"), F.struct(*others).alias("row"))
-    taken = with_copies(rows, planned, seed).select("row", F.explode("copies").alias("copy")).select("row.*", "copy.*")
+    rows = docs.select(*_key(id_col, text_col), F.struct(*others).alias("row"))
+    taken = rows.join(each, ["id", "tag"]).select("row", F.explode("copies").alias("copy")).select("row.*", "copy.*")
     return taken.sortWithinPartitions("shard", "shard_order")
 
 
@@ -216,4 +221,4 @@ def op3_source_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     sized = stored(keyed(docs), "sized")
     found = with_copies(sized, plan(sized))
-    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.size("copies")).alias("taken"))
+    return found.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.size("copies")).alias("taken"))
