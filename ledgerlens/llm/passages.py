@@ -35,7 +35,7 @@ from ledgerlens.llm import kernels as K
 #: A null id counts as larger than every other.
 NO_ID = 2**63 - 1
 #: Windows that a bucket compares at a time (or one seed's windows, if more).
-RESOLVE_WINDOWS = 1 << 20
+RESOLVE_WINDOWS = 1 << 18
 #: Low bits of a minimiser value that hold its position (windows hold fewer seeds than 64).
 _POS = np.uint64(63)
 
@@ -46,9 +46,9 @@ class Strings:
 
     id: np.ndarray  # int64
     tag: np.ndarray  # int32, tells apart rows that share an id
-    start: np.ndarray  # int64, first token in the document
-    windows: np.ndarray  # int64
-    seed_at: np.ndarray  # int64, token of the seed relative to start
+    start: np.ndarray  # first token in the document
+    windows: np.ndarray
+    seed_at: np.ndarray  # token of the seed relative to start
 
     def take(self, at) -> "Strings":
         return Strings(self.id[at], self.tag[at], self.start[at], self.windows[at], self.seed_at[at])
@@ -202,7 +202,8 @@ def _least_of_groups(order_keys: tuple[np.ndarray, ...], ids: np.ndarray) -> tup
 
 def _resolve_part(method: Method, n_parts: int):
     def run(batches):
-        held: list[tuple] = []  # (strings, token values, token offsets) of one blob each
+        held: list[tuple] = []  # (token values, first token and windows of each string) of one blob each
+        known: list[tuple] = []  # what is compared of the strings: whose, seed and names
         ready: list[tuple] = []
         for batch in batches:
             for part, n, meta, packed in zip(*(batch.column(c).to_pylist() for c in ("part", "n", "meta", "packed"))):
@@ -212,10 +213,10 @@ def _resolve_part(method: Method, n_parts: int):
                 ids, tags, starts, windows, size, at = _unpack(meta, n, np.int64, np.int32, np.int32, np.int32, np.int32, np.uint8)
                 raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
                 values, first = method.read(raw, np.concatenate([[0], np.cumsum(size, dtype=np.int64)]))
-                s = Strings(ids, tags, starts.astype(np.int64), windows.astype(np.int64), at.astype(np.int64))
-                length = s.windows + method.window - 1
-                names = [K.slice_names(_as_values(values, w), first[:-1], first[:-1] + length, w) for w in (0, 1)]
-                held.append((s, values, first[:-1], method.seed(values, first[:-1] + s.seed_at), *names))
+                first, length = first[:-1], windows.astype(np.int64) + method.window - 1
+                names = [K.slice_names(_as_values(values, w), first, first + length, w) for w in (0, 1)]
+                held.append((values, first, windows))
+                known.append((ids, tags, starts, windows, at, method.seed(values, first + at), *names))
             if len(ready) > 256:
                 yield _rows(ready)
                 ready = []
@@ -223,15 +224,16 @@ def _resolve_part(method: Method, n_parts: int):
             yield _rows(ready)
         if not held:
             return
-        seed, name, other = (np.concatenate([h[k] for h in held]) for k in (3, 4, 5))
-        s = Strings(*(np.concatenate([getattr(h[0], k) for h in held]) for k in ("id", "tag", "start", "windows", "seed_at")))
-        number = np.cumsum([0] + [len(h[0].id) for h in held])
+        *whose, seed, name, other = (np.concatenate(c) for c in zip(*known))
+        del known
+        s = Strings(*whose)
+        number = np.cumsum([0] + [len(h[1]) for h in held])
 
         def tokens(wanted: np.ndarray):
             """The tokens of the wanted strings (sorted), one string after another."""
             cuts = np.searchsorted(wanted, number)
             return np.concatenate(
-                [h[1][K.ragged(h[2][at], h[0].windows[at] + method.window - 1)] for h, low, a, b in zip(held, number, cuts, cuts[1:]) for at in [wanted[a:b] - low]]
+                [h[0][K.ragged(h[1][at], h[2][at].astype(np.int64) + method.window - 1)] for h, low, a, b in zip(held, number, cuts, cuts[1:]) for at in [wanted[a:b] - low]]
             )
 
         for found in _resolve(method, s, tokens, seed, name, other):
@@ -264,6 +266,7 @@ def _resolve(method: Method, s: Strings, tokens, seed, name, other):
     w = s.take(alive[whole])
     if len(w.id):
         yield w.id, w.tag, w.start, w.start + w.windows + cover
+        del w
     rest, group = alive[~whole], group[~whole]
     # groups are numbered in order of their seed; one string stands for each
     group_first = np.unique(group, return_index=True)[1]
@@ -274,40 +277,45 @@ def _resolve(method: Method, s: Strings, tokens, seed, name, other):
     stands = stands[open_]
     if not len(stands):
         return
-    # 3. window by window, some seeds at a time
+    # 3. window by window, some seeds at a time; every string takes its group's windows
     number = np.full(int(group.max()) + 1, -1)
     number[group[group_first[open_]]] = np.arange(len(stands))
-    seed_edge = np.flatnonzero(K.group_starts(seed[stands]))
-    before = np.concatenate([[0], np.cumsum(s.windows[stands])])
-    least_of = np.empty(int(before[-1]), np.int64)
+    which = number[group]
+    rest, which = rest[which >= 0], which[which >= 0]
+    order = np.argsort(which, kind="stable")
+    rest, which = rest[order], which[order]
+    seed_edge = np.append(np.flatnonzero(K.group_starts(seed[stands])), len(stands))
+    before = np.concatenate([[0], np.cumsum(s.windows[stands], dtype=np.int64)])
+    del number, group, order, group_first, open_
     begin = 0
-    while begin < len(seed_edge):
-        stop = begin + 1
-        top = before[seed_edge[begin]] + RESOLVE_WINDOWS
-        stop = max(stop, int(np.searchsorted(before[seed_edge], top, side="right")) - 1)
+    while begin + 1 < len(seed_edge):
         a = seed_edge[begin]
-        b = seed_edge[stop] if stop < len(seed_edge) else len(stands)
+        stop = max(begin + 1, int(np.searchsorted(before[seed_edge], before[a] + RESOLVE_WINDOWS, side="right")) - 1)
+        b = seed_edge[stop]
         m = stands[a:b]
         wanted = np.argsort(m)
-        length = s.windows[m] + method.window - 1
+        windows = s.windows[m].astype(np.int64)
+        length = windows + cover
         first = np.empty(len(m), np.int64)
         first[wanted] = np.cumsum(length[wanted]) - length[wanted]
-        least_of[before[a] : before[b]] = method.least(tokens(m[wanted]), first, s.windows[m], s.id[m], seed[m])
+        least_of = method.least(tokens(m[wanted]), first, windows, s.id[m], seed[m])
+        lo, hi = np.searchsorted(which, [a, b])
+        yield _flagged(s.take(rest[lo:hi]), before[which[lo:hi]] - before[a], least_of, cover)
         begin = stop
-    # the rest that belongs to open groups: every string with its group's windows
-    which = number[group]
-    rest, which = rest[which >= 0], which[which >= 0]
-    r = s.take(rest)
-    flat = K.ragged(before[which], r.windows)
-    flags = least_of[flat] < np.repeat(r.id, r.windows)
-    edge = K.group_starts(np.repeat(np.arange(len(rest)), r.windows))
-    run_start = flags & (edge | ~np.concatenate([[False], flags[:-1]]))
-    run_stop = flags & (np.concatenate([edge[1:], [True]]) | ~np.concatenate([flags[1:], [False]]))
-    i, j = np.flatnonzero(run_start), np.flatnonzero(run_stop)
-    owner = np.repeat(np.arange(len(rest)), r.windows)[i]
-    base = (np.cumsum(r.windows) - r.windows)[owner]
-    start = r.start[owner] + i - base
-    yield r.id[owner], r.tag[owner], start, start + (j - i) + 1 + cover
+
+
+def _flagged(r: Strings, at: np.ndarray, least_of: np.ndarray, cover: int):
+    """The spans of the strings' windows whose least id (from ``at`` on) is smaller than theirs."""
+    windows = r.windows.astype(np.int64)
+    flags = least_of[K.ragged(at, windows)] < np.repeat(r.id, windows)
+    first = np.cumsum(windows) - windows
+    edge = np.zeros(len(flags) + 1, bool)
+    edge[first] = edge[-1] = True
+    i = np.flatnonzero(flags & (edge[:-1] | ~np.concatenate([[False], flags[:-1]])))
+    j = np.flatnonzero(flags & (edge[1:] | ~np.concatenate([flags[1:], [False]])))
+    owner = np.searchsorted(first, i, side="right") - 1
+    start = r.start[owner] + i - first[owner]
+    return r.id[owner], r.tag[owner], start, start + (j - i) + 1 + cover
 
 
 def partitions(spark) -> int:
