@@ -1,8 +1,9 @@
 """The query catalogue: one entry per reference query, bound to the driver tables.
 
-Each entry is ``fn(spark, sf_dir) -> DataFrame`` and is lazy except
-``category_revenue`` (whose point is to save a table and read it back) and
-``country_summary*`` (which writes one shared intermediate).  Where the
+Each entry is ``fn(spark, sf_dir) -> DataFrame`` and is lazy except those whose
+point is to write something and read it back (``category_revenue``, ``word_freq_csv``,
+``web_word_export_csv``, ``word_freq_lines``) and ``country_summary*``, which store one
+intermediate table in the shared folder.  Where the
 reference orders a result, the entry orders it the same way (with a key as
 tie-break); the operators themselves return unordered frames.
 Parameters the reference hard-codes for its own data (thresholds, a country,
