@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerlens.llm import kernels as K, query
 from ledgerlens.llm.passages import NO_ID
-from ledgerlens.llm.tables import components, stored, whole_groups
+from ledgerlens.llm.tables import Forest, components, stored, whole_groups
 
 #: Values of a sketch.
 SKETCH = 64
@@ -213,17 +213,6 @@ def _partnered(percent: int, q: int):
     return run
 
 
-class _Forest:
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-
 _VERTEX = T.StructType([T.StructField("id", T.LongType()), T.StructField("one", T.LongType())])
 
 
@@ -239,7 +228,7 @@ def _confirmed(percent: int, shingle: int, q: int):
                 sets += shingle_sets(*K.text_buffer(piece.column("text")), shingle)
             size = np.array([len(s) for s in sets], np.int64)
             c = _Classes([s[:q] for s in sets], [(s[:SKETCH] >> np.uint64(32)).astype(np.uint32) for s in sets], size, q)
-            forest, links = _Forest(len(sets)), []
+            forest, links = Forest(), []
             found = []
             for a, b in _pairs(group, block, cross):
                 keep, guess = c.likely(a, b, value[a], percent, cut)
@@ -259,19 +248,18 @@ def _confirmed(percent: int, shingle: int, q: int):
     return run
 
 
-def _link(found, sets, size, percent, forest: _Forest, links: list) -> None:
+def _link(found, sets, size, percent, forest: Forest, links: list) -> None:
     """Check pairs exactly, the likeliest first, unless a chain of links joins them already."""
     a, b, guess = (np.concatenate(x) for x in zip(*found))
     for p in np.argsort(-guess, kind="stable"):
         x, y = int(a[p]), int(b[p])
-        rx, ry = forest.root(x), forest.root(y)
-        if rx == ry:
+        if forest.root(x) == forest.root(y):
             continue
         both = np.concatenate([sets[x], sets[y]])
         both.sort()
         common = int((both[1:] == both[:-1]).sum())
         if 100 * common >= percent * (len(both) - common):
-            forest.up[max(rx, ry)] = min(rx, ry)
+            forest.join(x, y)
             links.append((x, y))
 
 
@@ -309,7 +297,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     group = ["value", "i", "j"]
     partnered = stored(members.repartition(n, *group).sortWithinPartitions(*group).mapInArrow(_partnered(percent, q), _MEMBER), "partnered")
-    texts = partnered.join(keyed, ["id", "tag"]).select(*_MEMBER.names, "text")
+    # merge: the texts are shuffled whatever their number, so that the plan is the same at every size
+    texts = partnered.hint("merge").join(keyed, ["id", "tag"]).select(*_MEMBER.names, "text")
     edges = T.StructType([T.StructField("a", _VERTEX), T.StructField("b", _VERTEX)])
     links = texts.repartition(n, *group).sortWithinPartitions(*group).mapInArrow(_confirmed(percent, shingle, q), edges)
     roots = components(links, "links").select("a.id", "a.one", F.col("root.id").alias("root"))

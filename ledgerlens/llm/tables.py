@@ -41,28 +41,62 @@ def whole_groups(batches, key: str, rows: int = 20000, size: int = 32 << 20):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+class Forest:
+    """Union-find over whatever is hashable and ordered; the least member is the root."""
+
+    def __init__(self):
+        self.up: dict = {}
+
+    def root(self, x):
+        up = self.up
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    def join(self, x, y) -> bool:
+        x, y = self.root(x), self.root(y)
+        if x == y:
+            return False
+        self.up[max(x, y)] = min(x, y)
+        return True
+
+
+def _contract(batches):
+    """The edges of one partition as stars around the least member of each local group.
+
+    Long partitions are contracted in pieces, so that memory stays bounded.
+    """
+    for batch in batches:
+        forest = Forest()
+        columns = [batch.column(c) for c in ("a", "b")]
+        for x, y in zip(*(zip(*(f.to_pylist() for f in c.flatten())) if pa.types.is_struct(c.type) else c.to_pylist() for c in columns)):
+            forest.join(x, y)
+        pairs = [(x, forest.root(x)) for x in forest.up]
+        make = (lambda v: dict(zip((f.name for f in columns[0].type), v))) if pa.types.is_struct(columns[0].type) else (lambda v: v)
+        yield pa.RecordBatch.from_arrays([pa.array([make(p[k]) for p in pairs], columns[0].type) for k in (0, 1)], names=["a", "b"])
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
-    """Connected components of (a, b) edges between orderable vertices: (a, root).
+    """Connected components of (a, b) edges between vertices (longs or structs of longs): (a, root).
 
     Alternating large-star and small-star steps; every vertex ends up pointing at the
     least vertex of its component, after a number of rounds about logarithmic in the
-    longest path.  Each step is stored, so a lost executor repeats one step at most.
-    Roots themselves are not listed.
+    longest path.  Each round is stored, so a lost executor repeats one round at most;
+    the least neighbours are stored too, so that the join with them, which may have a
+    hot vertex, has a plain shuffle on either side that Spark can split.  Roots
+    themselves are not listed.
     """
-    now = stored(_downward(edges), label)
+    edges = edges.select("a", "b")
+    now = stored(edges.mapInArrow(_contract, edges.schema), label)
     state = None
     while True:
-        both = now.select("a", "b").unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), label)
-        large = stored(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), label)
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), label)
-        moved = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = stored(moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), label)
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        parent = large.groupBy("a").agg(F.min("b").alias("m"))
+        moved = large.join(parent, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        now = stored(moved.unionAll(parent.select("a", F.col("m").alias("b"))).distinct(), label)
         after = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == after:
             return now.select("a", F.col("b").alias("root"))
         state = after
-
-
-def _downward(edges: DataFrame) -> DataFrame:
-    return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
