@@ -43,8 +43,9 @@ SEPARATOR = r"[\x20\x09-\x0D]+"
 
 def term_hashes(text: Column) -> Column:
     """The distinct words of a text as 64-bit hashes."""
-    words = F.filter(F.array_distinct(F.split(F.coalesce(text, F.lit("")), SEPARATOR)), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+    words = F.split(F.coalesce(text, F.lit("")), SEPARATOR)
+    blank = F.xxhash64(F.lit(""))  # before the first and after the last separator
+    return F.array_remove(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), blank)
 
 
 def place(term: Column) -> Column:
@@ -71,25 +72,41 @@ def _kept(terms: Column, band: Column) -> Column:
     return F.when(F.size(inside) > 0, inside).otherwise(terms)
 
 
-def _level_hashes(kept: Column, level: Column) -> Column:
-    """For each subset with terms: its number and the hash of its sorted terms, in one string each."""
-    chosen = F.array_sort(F.filter(kept, lambda t: t.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1) < SUBSETS))
-    number = lambda t: t.bitwiseAND(F.lit(SUBSETS - 1))
-    subsets = F.array_sort(F.array_distinct(F.transform(chosen, number)))
-    return F.transform(
-        subsets,
-        lambda j: F.concat(F.lpad(F.hex(j), 2, "0"), F.lpad(F.hex(F.hash(F.filter(chosen, lambda t: number(t) == j)).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")),
-    )
+def _number(term: Column) -> Column:
+    return term.bitwiseAND(F.lit(SUBSETS - 1))
 
 
 def with_fingerprint(df: DataFrame, text: Column, band: str, out: str) -> DataFrame:
-    """``df`` with the fingerprint: ``level:hashes/level+1:hashes``, hashes joined by commas."""
-    terms = df.withColumn("_kept", _kept(term_hashes(text), F.col(band)))
+    """``df`` with the fingerprint: ``level:hashes/level+1:hashes``, hashes joined by commas.
+
+    Each hash has the subset's number (two hex digits) and the hash of its sorted terms.
+    Every step is a column of its own, as lambdas would otherwise repeat what they use.
+    """
+    one = F.lit(1).cast("long")
     size = F.greatest(F.size("_kept"), F.lit(1))
     level = F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.floor(F.log2(size)) + 1)).cast("int")
-    leveled = terms.withColumn("_level", level)
-    part = lambda plus: F.concat((F.col("_level") + plus).cast("string"), F.lit(":"), F.array_join(_level_hashes(F.col("_kept"), F.col("_level") + plus), ","))
-    return leveled.withColumn(out, F.when(F.size("_kept") > 0, F.concat(part(0), F.lit("/"), part(1))).otherwise("")).drop("_kept", "_level")
+    steps = (
+        df.withColumn("_terms", term_hashes(text))
+        .withColumn("_kept", _kept(F.col("_terms"), F.col(band)))
+        .withColumn("_level", level)
+        .withColumn("_mask", F.call_function("shiftleft", one, F.col("_level")) - one)
+        # the terms of the hashed subsets at either level, in order: few of all
+        .withColumn("_low", F.array_sort(F.filter("_kept", lambda t: t.bitwiseAND(F.col("_mask")) < SUBSETS)))
+        .withColumn("_high", F.filter("_low", lambda t: t.bitwiseAND(F.col("_mask") * 2 + 1) < SUBSETS))
+    )
+    parts = []
+    for plus, terms in enumerate(("_low", "_high")):
+        numbers = F.array_sort(F.array_distinct(F.transform(terms, _number)))
+        hashes = F.transform(
+            numbers,
+            lambda j: F.concat(  # noqa: B023
+                F.lpad(F.hex(j), 2, "0"),
+                F.lpad(F.hex(F.hash(F.filter(terms, lambda t: _number(t) == j)).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"),  # noqa: B023
+            ),
+        )
+        parts.append(F.concat((F.col("_level") + plus).cast("string"), F.lit(":"), F.array_join(hashes, ",")))
+    found = F.when(F.size("_kept") > 0, F.concat(parts[0], F.lit("/"), parts[1])).otherwise("")
+    return steps.withColumn(out, found).drop("_terms", "_kept", "_level", "_mask", "_low", "_high")
 
 
 def likeness(a: Column, b: Column) -> Column:
