@@ -319,7 +319,8 @@ def _flagged(r: Strings, at: np.ndarray, least_of: np.ndarray, cover: int):
 
 
 def partitions(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Twice the session's shuffle partitions: a bucket is held in the task's Python memory."""
+    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _compress_texts(batches):
