@@ -11,9 +11,11 @@ The level follows the number of kept terms, so that a subset holds one of them a
 a fingerprint has its own level and the next, and likeness is taken at a level that both
 have (several: the best filled).  Subsets that are empty in both do not count.
 
-Document frequencies are counted over all documents, by a hash of the term to
-``2**BITS`` places: the lexicon then is a bit map of fixed size, one row that every task
-gets, however many terms there are.  Everything is DataFrame expressions.
+Document frequencies are counted over all documents by the 64-bit hash of the term.  A term
+of one document only is known with that document, so each document is given its own such
+terms; terms that most documents have are few whatever the number of documents (at most a
+document's mean number of terms over ``MOST_SHARE``) and every task gets them.  All other terms of
+a document are in the band.  Everything is DataFrame expressions.
 
 Definitions: null text is empty; documents without terms have an empty fingerprint, which
 is like nothing but another empty one (1.0); if no term is in the band all terms count;
@@ -30,10 +32,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlens.llm import query
 from ledgerlens.llm.tables import stored
 
-#: Places of the hashed lexicon, as a power of two.
-BITS = 20
-#: Kept terms are in at least this many documents and in at most this share of them.
-LEAST_DOCS, MOST_SHARE = 2, 0.25
+#: Kept terms are in at least two documents and in at most this share of them.
+MOST_SHARE = 0.25
 #: Subsets hashed per level; the lowest level has as many in all.
 SUBSETS = 32
 LOWEST, HIGHEST = 5, 24
@@ -48,52 +48,51 @@ def term_hashes(text: Column) -> Column:
     return F.array_remove(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), blank)
 
 
-def place(term: Column) -> Column:
-    """The term's place in the hashed lexicon (its high bits; subsets use the low ones)."""
-    return F.shiftrightunsigned(term, 64 - BITS).cast("int")
+def term_counts(docs: DataFrame, at: list[str], text_col: str = "text") -> DataFrame:
+    """One row per term: ``docs``, its document frequency, and if that is one the document's ``at`` columns."""
+    pairs = docs.select(*at, F.explode_outer(term_hashes(F.col(text_col))).alias("term")).where("term is not null")
+    counts = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), *[F.min(c).alias(c) for c in at])
+    return counts.select("term", "docs", *[F.when(F.col("docs") == 1, F.col(c)).alias(c) for c in at])
 
 
-def lexicon(docs: DataFrame, text_col: str = "text", least: int = LEAST_DOCS, most_share: float = MOST_SHARE) -> DataFrame:
-    """One row: ``band``, a bit for each place whose document frequency is in the band."""
-    total = docs.agg(F.count(F.lit(1)).alias("n"))
-    places = docs.select(F.explode(F.array_distinct(F.transform(term_hashes(F.col(text_col)), place))).alias("place"))
-    counts = places.groupBy("place").agg(F.count(F.lit(1)).alias("docs"))
-    most = F.greatest(total.scalar() * F.lit(most_share), F.lit(float(least)))
-    kept = counts.where((F.col("docs") >= least) & (F.col("docs") <= most))
-    bits = kept.groupBy(F.shiftright("place", 6).cast("long").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, place & 63)")).alias("bits"))
-    every = docs.sparkSession.range(2 ** (BITS - 6)).withColumnRenamed("id", "word")
-    filled = every.join(bits, "word", "left").select("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
-    rows = filled.agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("rows"))
-    return rows.select(F.col("rows.bits").alias("band"))
+def in_band(counts: DataFrame, docs: DataFrame, most_share: float = MOST_SHARE) -> DataFrame:
+    """``counts`` with ``band``: -1 for terms of one document only, 0 in the band, 1 for terms of too many."""
+    most = F.greatest(docs.agg(F.count(F.lit(1)).alias("n")).scalar() * F.lit(most_share), F.lit(2.0))
+    return counts.withColumn("band", F.when(F.col("docs") < 2, -1).when(F.col("docs") <= most, 0).otherwise(1)).drop("docs")
 
 
-def _kept(terms: Column, band: Column) -> Column:
-    inside = F.filter(terms, lambda t: F.getbit(F.get(band, F.shiftright(place(t), 6)), place(t).bitwiseAND(F.lit(63))) == 1)
-    return F.when(F.size(inside) > 0, inside).otherwise(terms)
+def common_terms(terms: DataFrame) -> DataFrame:
+    """One row: ``common``, the terms that too many documents have."""
+    return terms.where("band = 1").agg(F.array_sort(F.collect_list("term")).alias("common"))
 
 
 def _number(term: Column) -> Column:
     return term.bitwiseAND(F.lit(SUBSETS - 1))
 
 
-def with_fingerprint(df: DataFrame, text: Column, band: str, out: str) -> DataFrame:
+def _level(size: Column) -> Column:
+    return F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.floor(F.log2(F.greatest(size, F.lit(1)))) + 1)).cast("int")
+
+
+def _sampled(terms: Column, level: Column) -> Column:
+    """The terms of the hashed subsets at the level, in order: few of all."""
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), level) - F.lit(1).cast("long")
+    return F.array_sort(F.filter(terms, lambda t: t.bitwiseAND(mask) < SUBSETS))
+
+
+def with_sample(df: DataFrame, kept: str, size: str, sample: str) -> DataFrame:
+    """``df`` with the number of the kept terms and those of its level's hashed subsets."""
+    return df.withColumn(size, F.size(kept)).withColumn(sample, _sampled(F.col(kept), _level(F.col(size))))
+
+
+def with_fingerprint(df: DataFrame, size: str, sample: str, out: str) -> DataFrame:
     """``df`` with the fingerprint: ``level:hashes/level+1:hashes``, hashes joined by commas.
 
     Each hash has the subset's number (two hex digits) and the hash of its sorted terms.
+    ``sample`` may have more terms than those of the level's subsets.
     Every step is a column of its own, as lambdas would otherwise repeat what they use.
     """
-    one = F.lit(1).cast("long")
-    size = F.greatest(F.size("_kept"), F.lit(1))
-    level = F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.floor(F.log2(size)) + 1)).cast("int")
-    steps = (
-        df.withColumn("_terms", term_hashes(text))
-        .withColumn("_kept", _kept(F.col("_terms"), F.col(band)))
-        .withColumn("_level", level)
-        .withColumn("_mask", F.call_function("shiftleft", one, F.col("_level")) - one)
-        # the terms of the hashed subsets at either level, in order: few of all
-        .withColumn("_low", F.array_sort(F.filter("_kept", lambda t: t.bitwiseAND(F.col("_mask")) < SUBSETS)))
-        .withColumn("_high", F.filter("_low", lambda t: t.bitwiseAND(F.col("_mask") * 2 + 1) < SUBSETS))
-    )
+    steps = df.withColumn("_level", _level(F.col(size))).withColumn("_low", _sampled(F.col(sample), F.col("_level"))).withColumn("_high", _sampled(F.col("_low"), F.col("_level") + 1))
     parts = []
     for plus, terms in enumerate(("_low", "_high")):
         numbers = F.array_sort(F.array_distinct(F.transform(terms, _number)))
@@ -105,8 +104,15 @@ def with_fingerprint(df: DataFrame, text: Column, band: str, out: str) -> DataFr
             ),
         )
         parts.append(F.concat((F.col("_level") + plus).cast("string"), F.lit(":"), F.array_join(hashes, ",")))
-    found = F.when(F.size("_kept") > 0, F.concat(parts[0], F.lit("/"), parts[1])).otherwise("")
-    return steps.withColumn(out, found).drop("_terms", "_kept", "_level", "_mask", "_low", "_high")
+    found = F.when(F.col(size) > 0, F.concat(parts[0], F.lit("/"), parts[1])).otherwise("")
+    return steps.withColumn(out, found).drop("_level", "_low", "_high")
+
+
+def _own_fingerprint(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """``df``, with the columns ``_common`` and ``_singles``, with the fingerprint of a counted text."""
+    steps = df.withColumn("_terms", term_hashes(F.col(text_col))).withColumn("_kept", F.array_except(F.array_except("_terms", "_common"), "_singles"))
+    steps = steps.withColumn("_kept", F.when(F.size("_kept") > 0, F.col("_kept")).otherwise(F.col("_terms")))
+    return with_fingerprint(with_sample(steps, "_kept", "_size", "_sample"), "_size", "_sample", out).drop("_terms", "_kept", "_size", "_sample")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -128,50 +134,115 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fingerprint") -> DataFrame:
-    """``docs`` with their fingerprints, by the lexicon of the same documents (stored first)."""
-    band = stored(lexicon(docs, text_col), "lexicon")
-    found = with_fingerprint(docs.withColumn("_band", band.scalar()), F.col(text_col), "_band", "_fingerprint").drop("_band")
+    """``docs`` with their fingerprints, by the terms of the same documents (both stored first)."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    terms = stored(in_band(term_counts(rows, ["_row"], text_col), rows), "terms")
+    common = stored(common_terms(terms), "common")
+    singles = terms.where("band = -1").groupBy("_row").agg(F.collect_list("term").alias("_singles"))
+    known = rows.join(singles, "_row", "left").withColumn("_singles", F.coalesce("_singles", F.array().cast("array<bigint>")))
+    found = _own_fingerprint(known.withColumn("_common", common.scalar()), text_col, "_fingerprint").drop("_common", "_singles", "_row")
     return found.withColumn(out, F.col("_fingerprint")).drop("_fingerprint")
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str], parts: int | None = None) -> DataFrame:
-    """``docs`` with ``next_<column>``: the columns of the next row by id (after the last: the first).
-
-    Rows are dealt into ranges of ids, once; the first row of each range also travels to
-    the range before, so no window ever sees more than one range.
-    """
+def _dealt(docs: DataFrame, id_col: str, parts: int | None = None) -> DataFrame:
+    """``docs`` with ``_range``: ranges of ids, nulls in the first."""
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / parts for i in range(1, parts)]
     bounds = docs.agg(F.percentile_approx(id_col, shares, 10000).alias("bounds")) if shares else docs.agg(F.array().alias("bounds"))
     bounds = stored(bounds.select(F.array_distinct(F.coalesce("bounds", F.array())).cast("array<bigint>").alias("bounds")), "bounds")
     dealt = docs.withColumn("_bounds", bounds.scalar())
-    dealt = dealt.withColumn("_range", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col(id_col))), F.lit(0))).drop("_bounds")
+    return dealt.withColumn("_range", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col(id_col))), F.lit(0))).drop("_bounds")
+
+
+def _guests(dealt: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
+    """The first row of each range as a guest in the range before (of the first: in the last)."""
     firsts = dealt.groupBy("_range").agg(F.min(F.struct(F.col(id_col).isNotNull().alias("some"), F.col(id_col).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])).alias("first"))
     firsts = stored(firsts, "firsts")  # one row per range
     before = F.coalesce(F.lag("_range").over(Window.orderBy("_range")), F.lit(None))
     last = firsts.agg(F.max("_range"))
-    guests = firsts.withColumn("_range", F.coalesce(before, last.scalar())).select("_range", F.lit(True).alias("_guest"), F.col("first.id").alias(id_col), *[F.col(f"first.c{i}").alias(c) for i, c in enumerate(columns)])
-    both = dealt.withColumn("_guest", F.lit(False)).unionByName(guests, allowMissingColumns=True)
-    order = Window.partitionBy("_range").orderBy("_guest", F.col(id_col).asc_nulls_first(), *columns)
-    ahead = both.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
-    return ahead.where(~F.col("_guest")).drop("_range", "_guest")
+    return firsts.withColumn("_range", F.coalesce(before, last.scalar())).select("_range", F.lit(True).alias("_guest"), F.col("first.id").alias(id_col), *[F.col(f"first.c{i}").alias(c) for i, c in enumerate(columns)])
+
+
+def _ahead(both: DataFrame, id_col: str, order: list[str], columns: list[str]) -> DataFrame:
+    """The rows but the guests with ``next_<column>``."""
+    window = Window.partitionBy("_range").orderBy("_guest", F.col(id_col).asc_nulls_first(), *order)
+    return both.withColumns({f"next_{c}": F.lead(c).over(window) for c in columns}).where(~F.col("_guest")).drop("_range", "_guest")
+
+
+def with_next(docs: DataFrame, id_col: str, columns: list[str], parts: int | None = None) -> DataFrame:
+    """``docs`` with ``next_<column>``: the columns of the next row by id (after the last: the first).
+
+    Rows are dealt into ranges of ids, once; the first row of each range also travels to
+    the range before, so no window ever sees more than one range.
+    """
+    dealt = _dealt(docs, id_col, parts)
+    both = dealt.withColumn("_guest", F.lit(False)).unionByName(_guests(dealt, id_col, columns), allowMissingColumns=True)
+    return _ahead(both, id_col, columns, columns)
+
+
+def with_edited(docs: DataFrame, parts: int | None = None) -> DataFrame:
+    """``docs`` (doc_id, text) with the fingerprints of the text, the next row's and the edited text.
+
+    The edited text has the second half replaced by the beginning of the next.  Texts are
+    shuffled once, together with their terms of one document only.  The edited text's terms
+    are in the band if they are in the band of either text; words made by the cuts
+    (two at most) are looked up, after which the level can only rise, so that a sample
+    of the other terms is enough.
+    """
+    # the row numbers of a scan are the same each time it runs
+    dealt = _dealt(docs.withColumn("_row", F.monotonically_increasing_id()), "doc_id", parts)
+    terms = stored(in_band(term_counts(dealt, ["_range", "_row"]), docs), "terms")
+    common = stored(common_terms(terms), "common")
+    guests = _guests(dealt, "doc_id", ["text", "_row"])
+    singles = terms.where("band = -1").select("_range", F.lit(False).alias("_guest"), "_row", "term")
+    theirs = singles.join(guests.select("_row", F.col("_range").alias("_to")), "_row").select(F.col("_to").alias("_range"), F.lit(True).alias("_guest"), "_row", "term")
+    rows = dealt.withColumn("_guest", F.lit(False))
+    for more in (guests, singles, theirs):
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    known = rows.repartition("_range").groupBy("_range", "_guest", "_row").agg(F.max("doc_id").alias("doc_id"), F.max("text").alias("text"), F.collect_list("term").alias("_singles"))
+    own = _own_fingerprint(known.withColumn("_common", common.scalar()), "text", "fingerprint")
+    ahead = _ahead(own, "doc_id", ["text", "_row"], ["text", "fingerprint", "_singles"])
+    n, half = F.char_length("text"), F.floor(F.char_length("text") / 2).cast("int")
+    edited = ahead.withColumn("edited", F.concat(F.left("text", (n - half).cast("int")), F.left("next_text", half)))
+    edited = edited.withColumn("_terms", term_hashes(F.col("edited")))
+    edited = edited.withColumn("_known", F.array_except(F.array_except(F.array_except("_terms", "_common"), "_singles"), "next__singles"))
+    edited = edited.withColumn("_new", F.array_except(F.array_except("_known", term_hashes(F.col("text"))), term_hashes(F.col("next_text"))))
+    edited = edited.withColumn("_kept", F.array_except("_known", "_new"))
+    for name, kept in (("", "_kept"), ("_all", "_terms")):
+        edited = with_sample(edited, kept, f"_size{name}", f"_sample{name}")
+    narrow = stored(
+        edited.select(
+            "doc_id",
+            n.cast("long").alias("n_chars"),
+            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+            "fingerprint",
+            "next_fingerprint",
+            F.monotonically_increasing_id().alias("_at"),
+            "_new",
+            "_size",
+            "_sample",
+            *[F.when(F.col("_size") == 0, F.col(c)).alias(c) for c in ("_size_all", "_sample_all")],
+        ),
+        "edited",
+    )
+    new = narrow.select("_at", F.explode_outer("_new").alias("term")).where("term is not null")
+    inside = new.join(terms.where("band = 0").select("term"), "term", "left_semi").groupBy("_at").agg(F.collect_list("term").alias("_inside"))
+    both = narrow.join(inside, "_at", "left").withColumn("_inside", F.coalesce("_inside", F.array().cast("array<bigint>")))
+    none = (F.col("_size") == 0) & (F.size("_inside") == 0)
+    both = both.withColumn("_sample", F.when(none, F.col("_sample_all")).otherwise(F.concat("_sample", "_inside")))
+    both = both.withColumn("_size", F.when(none, F.col("_size_all")).otherwise(F.col("_size") + F.size("_inside")))
+    return with_fingerprint(both, "_size", "_sample", "edited_fingerprint").select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "next_fingerprint")
 
 
 @query
 def op4_imatch_fingerprints(spark, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, that of its edited text, and their likeness."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    band = stored(lexicon(docs), "lexicon")
-    own = with_fingerprint(docs.withColumn("band", band.scalar()), F.col("text"), "band", "fingerprint").drop("band")
-    ahead = with_next(own, "doc_id", ["text", "fingerprint"])
-    n, half = F.char_length("text"), F.floor(F.char_length("text") / 2).cast("int")
-    edited = ahead.withColumn("edited", F.concat(F.left("text", (n - half).cast("int")), F.left("next_text", half)))
-    both = with_fingerprint(edited.withColumn("band", band.scalar()), F.col("edited"), "band", "edited_fingerprint")
-    return both.select(
+    return with_edited(docs).select(
         "doc_id",
-        n.cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "n_chars",
+        "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -139,6 +140,43 @@ def test_op4_edits(spark):
     assert better >= 0.8 * len(rows)
 
 
+def _whole_lexicon(texts, edits):
+    """For each edited text its terms in the band of ``texts``, or all if none is."""
+    sets = [set(t.split()) for t in texts]
+    docs: dict = {}
+    for words in sets:
+        for w in words:
+            docs[w] = docs.get(w, 0) + 1
+    most = max(2, len(texts) * imatch.MOST_SHARE)
+    return [{w for w in e.split() if 2 <= docs.get(w, 0) <= most} or set(e.split()) for e in edits]
+
+
+def test_band_is_of_terms_however_many(spark):
+    # 300,000 words of one document only in a few texts: hashed to 2**20 places a good part would share one
+    rng = random.Random(1)
+    shared = [f"s{i}" for i in range(400)]
+    texts = [" ".join([f"own{k}x{i}" for i in range(15000)] + rng.sample(shared, 60)) for k in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    alone = [" ".join(sorted(words)) for words in _whole_lexicon(texts, texts)]
+    want = spark.createDataFrame(list(enumerate(alone)), "doc_id long, text string")
+    kept = want.withColumn("_kept", imatch.term_hashes(F.col("text")))
+    want = imatch.with_fingerprint(imatch.with_sample(kept, "_kept", "_size", "_sample"), "_size", "_sample", "f")
+    assert {r.doc_id: r.fingerprint for r in imatch.fingerprints(df).collect()} == {r.doc_id: r.f for r in want.collect()}
+
+
+def test_op4_is_as_by_brute_force(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    rows = sorted((r.doc_id, r.text or "") for r in rows)
+    texts = [t for _, t in rows]
+    edits = [t[: len(t) - len(t) // 2] + texts[(k + 1) % len(texts)][: len(t) // 2] for k, t in enumerate(texts)]
+    got = {r.doc_id: r for r in QUERIES["op4_imatch_fingerprints"](spark, SMALL).collect()}
+    for column, of in (("fingerprint", texts), ("edited_fingerprint", edits)):
+        alone = [(i, " ".join(sorted(words))) for (i, _), words in zip(rows, _whole_lexicon(texts, of))]
+        kept = spark.createDataFrame(alone, "doc_id long, text string").withColumn("_kept", imatch.term_hashes(F.col("text")))
+        want = imatch.with_fingerprint(imatch.with_sample(kept, "_kept", "_size", "_sample"), "_size", "_sample", "f")
+        assert {i: r[column] for i, r in got.items()} == {r.doc_id: r.f for r in want.collect()}
+
+
 # -- URL filter ------------------------------------------------------------------------
 
 
