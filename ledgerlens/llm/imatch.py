@@ -8,8 +8,9 @@ documents agree on a subset if they have the same kept terms in it, so the share
 agreeing subsets tells how alike they are, and equal texts agree on all.
 
 The level follows the number of kept terms, so that a subset holds one of them at most on average;
-a fingerprint has its own level and the next, and likeness is taken at a level that both
-have (several: the best filled).  Subsets that are empty in both do not count.
+a fingerprint has its own level and all higher ones until no subset is filled, so that any two
+have a common level.  Likeness is taken at the higher of both own levels and, if these are
+the same, at the next too (the better counts).  Subsets that are empty in both do not count.
 
 Document frequencies are counted over all documents by the 64-bit hash of the term.  A term
 of one document only is known with that document, so each document is given its own such
@@ -70,14 +71,20 @@ def _number(term: Column) -> Column:
     return term.bitwiseAND(F.lit(SUBSETS - 1))
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once: the optimizer may copy a column into a lambda that uses it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _level(size: Column) -> Column:
     return F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.floor(F.log2(F.greatest(size, F.lit(1)))) + 1)).cast("int")
 
 
 def _sampled(terms: Column, level: Column) -> Column:
     """The terms of the hashed subsets at the level, in order: few of all."""
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), level) - F.lit(1).cast("long")
-    return F.array_sort(F.filter(terms, lambda t: t.bitwiseAND(mask) < SUBSETS))
+    one = F.lit(1).cast("long")
+    mask = F.call_function("shiftleft", one, level) - one
+    return _let(mask, lambda m: F.array_sort(F.filter(terms, lambda t: t.bitwiseAND(m) < SUBSETS)))
 
 
 def with_sample(df: DataFrame, kept: str, size: str, sample: str) -> DataFrame:
@@ -86,26 +93,29 @@ def with_sample(df: DataFrame, kept: str, size: str, sample: str) -> DataFrame:
 
 
 def with_fingerprint(df: DataFrame, size: str, sample: str, out: str) -> DataFrame:
-    """``df`` with the fingerprint: ``level:hashes/level+1:hashes``, hashes joined by commas.
+    """``df`` with the fingerprint: ``level:hashes/level+1:hashes/...``, hashes joined by commas.
 
     Each hash has the subset's number (two hex digits) and the hash of its sorted terms.
+    The own level comes first; after the second, levels without hashes are left out.
     ``sample`` may have more terms than those of the level's subsets.
-    Every step is a column of its own, as lambdas would otherwise repeat what they use.
     """
-    steps = df.withColumn("_level", _level(F.col(size))).withColumn("_low", _sampled(F.col(sample), F.col("_level"))).withColumn("_high", _sampled(F.col("_low"), F.col("_level") + 1))
-    parts = []
-    for plus, terms in enumerate(("_low", "_high")):
-        numbers = F.array_sort(F.array_distinct(F.transform(terms, _number)))
-        hashes = F.transform(
-            numbers,
-            lambda j: F.concat(  # noqa: B023
-                F.lpad(F.hex(j), 2, "0"),
-                F.lpad(F.hex(F.hash(F.filter(terms, lambda t: _number(t) == j)).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"),  # noqa: B023
-            ),
-        )
-        parts.append(F.concat((F.col("_level") + plus).cast("string"), F.lit(":"), F.array_join(hashes, ",")))
-    found = F.when(F.col(size) > 0, F.concat(parts[0], F.lit("/"), parts[1])).otherwise("")
-    return steps.withColumn(out, found).drop("_level", "_low", "_high")
+
+    def subset(terms: Column, j: Column) -> Column:
+        code = F.hash(F.filter(terms, lambda t: _number(t) == j)).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+        return F.concat(F.lpad(F.hex(j), 2, "0"), F.lpad(F.hex(code), 8, "0"))
+
+    def part(at: Column) -> Column:
+        numbers = F.array_sort(F.array_distinct(F.transform(at["terms"], _number)))
+        return F.concat(at["level"].cast("string"), F.lit(":"), F.array_join(F.transform(numbers, lambda j: subset(at["terms"], j)), ","))
+
+    def parts(own: Column) -> Column:
+        levels = F.sequence(own["level"], F.lit(HIGHEST + 1))
+        every = F.transform(levels, lambda level: F.struct(level.alias("level"), _sampled(own["low"], level).alias("terms")))
+        filled = F.filter(every, lambda at: (at["level"] <= own["level"] + 1) | (F.size(at["terms"]) > 0))
+        return F.array_join(F.transform(filled, part), "/")
+
+    own = _let(_level(F.col(size)), lambda level: F.struct(level.alias("level"), _sampled(F.col(sample), level).alias("low")))
+    return df.withColumn(out, F.when(F.col(size) > 0, _let(own, parts)).otherwise(""))
 
 
 def _own_fingerprint(df: DataFrame, text_col: str, out: str) -> DataFrame:
@@ -116,21 +126,29 @@ def _own_fingerprint(df: DataFrame, text_col: str, out: str) -> DataFrame:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the subsets filled in either fingerprint that agree, at a common level."""
-    parts = lambda x: F.filter(F.split(x, "/"), lambda p: p != "")
-    level = lambda p: F.substring_index(p, ":", 1)
-    hashes = lambda p: F.filter(F.split(F.substring_index(p, ":", -1), ","), lambda h: h != "")
-
-    def at(p: Column) -> Column:
-        other = F.filter(parts(b), lambda q: level(q) == level(p))
-        mine, yours = hashes(p), hashes(F.get(other, F.lit(0)))
-        same = F.size(F.array_intersect(mine, yours))
-        number = lambda h: F.substring(h, 1, 2)
-        filled = F.size(F.array_union(F.transform(mine, number), F.transform(yours, number)))
-        return F.when((F.size(other) > 0) & (filled > 0), same / filled).otherwise(F.lit(0.0))
-
-    best = F.coalesce(F.array_max(F.transform(parts(a), at)), F.lit(0.0))
-    return F.when(a == b, F.lit(1.0)).otherwise(best)
+    """Share of the subsets filled in either fingerprint that agree, at a common level.
+
+    That is the higher of both own levels; fingerprints of the same own level are also
+    compared at the next, and the better counts.  A level left out has no hashes.
+    """
+    first = lambda x: F.substring_index(x, ":", 1).try_cast("int")
+    number = lambda h: F.substring(h, 1, 2)
+
+    def hashes(x: Column, level: Column) -> Column:
+        part = F.get(F.filter(F.split(x, "/"), lambda p: first(p) == level), F.lit(0))
+        return F.filter(F.split(F.coalesce(F.substring_index(part, ":", -1), F.lit("")), ","), lambda h: h != "")
+
+    def share(at: Column) -> Column:
+        same = F.size(F.array_intersect(at["mine"], at["yours"]))
+        filled = F.size(F.array_union(F.transform(at["mine"], number), F.transform(at["yours"], number)))
+        return F.when(filled > 0, same / filled).otherwise(F.lit(0.0))
+
+    def best(pair: Column) -> Column:
+        at = lambda level: _let(F.struct(hashes(pair["a"], level).alias("mine"), hashes(pair["b"], level).alias("yours")), share)
+        return F.when(pair["x"] == pair["y"], F.greatest(at(pair["x"]), at(pair["x"] + 1))).otherwise(at(F.greatest(pair["x"], pair["y"])))
+
+    pair = F.struct(a.alias("a"), b.alias("b"), first(a).alias("x"), first(b).alias("y"))
+    return F.when(a == b, F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0)).otherwise(_let(pair, best))
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fingerprint") -> DataFrame:

@@ -113,6 +113,21 @@ def test_likeness(spark):
     assert all(x == y for x, y in got)
 
 
+def test_likeness_falls_with_the_overlap(spark):
+    # 2,048 words and the first n of them; several vocabularies, as each estimate has few subsets
+    words = lambda k, salt: " ".join(f"{salt}w{i}" for i in range(k))
+    rows = [(n, words(2048, salt), words(n, salt)) for n in (2048, 1500, 1000, 500, 250) for salt in range(40)]
+    df = spark.createDataFrame(rows, "n int, a string, b string")
+    for side in "ab":
+        kept = df.withColumn("_kept", imatch.term_hashes(F.col(side)))
+        df = imatch.with_fingerprint(imatch.with_sample(kept, "_kept", "_size", "_sample"), "_size", "_sample", f"f{side}")
+    got = {r.n: r.near for r in df.groupBy("n").agg(F.avg(imatch.likeness(F.col("fa"), F.col("fb"))).alias("near")).collect()}
+    assert got[2048] == 1 and 0.6 < got[1500] < 0.85
+    assert 0.38 < got[1000] < 0.6 and 0.15 < got[500] < 0.35 and 0.05 < got[250] < 0.2
+    back = df.where((imatch.likeness(F.col("fa"), F.col("fb")) != imatch.likeness(F.col("fb"), F.col("fa"))))
+    assert back.count() == 0
+
+
 def test_next_rows_cross_ranges(spark):
     ids = [5, 1, None, 9, 9, 40, 41, 42, 7, -3]
     df = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id long, text string")
