@@ -4,17 +4,19 @@
 fits decides.
 
 *Models.*  For URLs without a rule, two smoothed variable-order Markov models over the
-characters of host and path, one of accepted and one of rejected URLs, give the
-difference of their log-likelihoods per character.  The probability of a character after
-two others is the count of the three, smoothed towards the probability after one, which
-is smoothed towards the character's own (``SMOOTH`` pseudo-counts each), so the longest
-context that was seen decides.  Training URLs are those that the rules judge.  The
-cut-off is calibrated on them: where a rejected and an accepted URL are equally many
-standard deviations from the mean of their class.
-
-Characters are folded to an alphabet of ``len(ALPHABET) + 1`` symbols, which bounds the
-models at its third power: one array of numbers, however many URLs there are.  All work
-is DataFrame expressions; a URL is scored inside its own row, without join or shuffle.
+characters of host and path (A-Z lower-cased, all others as they are), one of accepted and one
+of rejected URLs, give the difference of their log-likelihoods per character.  The
+probability of a character after ``ORDER`` others is the count of the whole, smoothed towards
+the probability after one less, and so on down to the character's own (``SMOOTH`` pseudo-counts
+each), so the longest context that was seen decides.  Training URLs are those that the rules
+judge.  The cut-off is calibrated on them: where a rejected and an accepted URL are equally
+many standard deviations from the mean of their class.
+
+Counts are rows, one per context and character, and grow with the URLs.  Each order is
+joined to the next shorter one, where a row meets as many others as there are characters.
+The distinct texts are joined to the weights by context and summed per text; Spark splits
+the partitions of frequent contexts.  Sums are decimal, so that they do not depend on the
+order of rows.  All work is DataFrame expressions.
 
 Definitions: null urls and urls without ``://`` have an empty host and path, no rule, and
 a score of 0; without training URLs of both kinds the cut-off is 0 and every score 0, which
@@ -24,14 +26,13 @@ empty tables give empty results.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.llm import query
 from ledgerlens.llm.tables import stored
 
-#: Symbols of the models after lower-casing; all others are one more.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-._~/%:@"
-SIZE = len(ALPHABET) + 1
+#: Characters of context that decide at most.
+ORDER = 5
 #: Pseudo-counts that each order gives to the next shorter one.
 SMOOTH = 2.0
 
@@ -61,58 +62,64 @@ def rule_of(rules, host, path):
     return rule, verdict
 
 
-def symbols(text):
-    """The text as numbers 0 (any other character) to ``SIZE - 1``."""
-    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.transform(F.filter(F.split(low, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c))
+def folded(text: Column) -> Column:
+    """The text with A-Z lower-cased."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def trigrams(codes):
-    """Numbers of all characters with the two before them (0 before the first)."""
-    padded = F.concat(F.array(F.lit(0), F.lit(0)), codes)
-    return F.transform(codes, lambda c, i: (F.get(padded, i) * SIZE + F.get(padded, i + 1)) * SIZE + c)
+def grams(chars: Column) -> Column:
+    """All characters with the ``ORDER`` before them (NUL before the first), as strings."""
+    padded = F.concat(F.array(*[F.lit("\0")] * ORDER), chars)
+    return F.transform(chars, lambda c, i: F.concat(*[F.get(padded, i + k) for k in range(ORDER)], c))
 
 
 def _model(judged: DataFrame) -> DataFrame:
-    """One row: ``weights``, the log ratio of both models' probabilities for all trigrams."""
-    grams = judged.select("verdict", F.explode(trigrams(F.col("codes"))).alias("gram")).groupBy("gram").pivot("verdict", ["allow", "block"]).count()
-    counted = F.broadcast(grams)  # at most SIZE**3 rows
-    ids = grams.sparkSession.range(SIZE**3).withColumnRenamed("id", "gram")
-    every = ids.join(counted, "gram", "left").select("gram", *[F.coalesce(F.col(k), F.lit(0)).alias(k) for k in ("allow", "block")])
-    every = every.withColumns({"last": F.col("gram") % SIZE, "middle": F.floor(F.col("gram") / SIZE) % SIZE, "context": F.floor(F.col("gram") / SIZE)})
-    ratio = None
-    for kind in ("allow", "block"):
-        total = lambda *keys: F.sum(kind).over(Window.partitionBy(*keys))  # noqa: B023, E731
-        one = (total("last") + SMOOTH / SIZE) / (total(F.lit(0)) + SMOOTH)
-        two = (total("middle", "last") + SMOOTH * one) / (total("middle") + SMOOTH)
-        three = (F.col(kind) + SMOOTH * two) / (total("context") + SMOOTH)
-        ratio = F.log(three) if ratio is None else ratio - F.log(three)
-    weighted = every.select("gram", ratio.alias("weight"))
-    seen = weighted.agg(F.array_sort(F.collect_list(F.struct("gram", "weight"))).alias("pairs"))
-    return seen.select(F.col("pairs.weight").alias("weights"))
+    """A row per gram of ``judged`` (verdict or null, chars): ``gram`` and ``weight``, the log
+    ratio of both models' probabilities, to nine places."""
+    kinds = ("allow", "block")
+    every = judged.select("verdict", F.explode_outer(grams(F.col("chars"))).alias("gram")).where("gram is not null")
+    counts = stored(every.groupBy("gram").agg(*[F.count(F.when(F.col("verdict") == k, 1)).alias(k) for k in kinds]), "url-grams")
+    before = None
+    for order in range(ORDER + 1):
+        short = counts.groupBy(F.substring("gram", ORDER + 1 - order, order + 1).alias("gram")).agg(*[F.sum(k).alias(k) for k in kinds])
+        if before is None:
+            symbols = short.where("allow + block > 0").agg(F.count(F.lit(1)).alias("n")).scalar() + 1  # one for all others
+            totals = {k: short.agg(F.coalesce(F.sum(k), F.lit(0)).alias("n")).scalar() for k in kinds}
+            found = short.select("gram", *[((F.col(k) + SMOOTH / symbols) / (totals[k] + SMOOTH)).alias(f"p_{k}") for k in kinds])
+        else:
+            # the window's groups and the join's have as many rows as there are characters
+            context = Window.partitionBy(F.substring("gram", 1, order))
+            own = short.withColumns({f"n_{k}": F.sum(k).over(context) for k in kinds}).withColumn("less", F.substring("gram", 2, order))
+            both = own.join(before.withColumnRenamed("gram", "less"), "less")
+            found = both.select("gram", *[((F.col(k) + SMOOTH * F.col(f"p_{k}")) / (F.col(f"n_{k}") + SMOOTH)).alias(f"p_{k}") for k in kinds])
+        before = found
+    return before.select("gram", (F.log("p_allow") - F.log("p_block")).cast("decimal(18,9)").alias("weight"))
 
 
 def judge(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
     """``pages`` with host, path, rule, verdict, score (log-likelihood difference per
-    character) and cutoff.  Runs jobs for the models, whose size the alphabet bounds."""
+    character) and cutoff.  Runs jobs for the models, which are stored."""
     base = split_url(pages, url_col)
     rule, verdict = rule_of(rules, F.col("host"), F.col("path"))
-    urls = base.withColumns({"rule": rule, "by_rule": verdict, "codes": symbols(F.concat("host", "path"))})
-    labelled = urls.where("by_rule is not null and size(codes) > 0").select(F.col("by_rule").alias("verdict"), "codes")
-    model = stored(_model(labelled), "url-model")
-    mean = lambda codes, weights: F.aggregate(
-        trigrams(codes), F.lit(0.0), lambda total, g: total + F.get(weights, g.cast("int"))
-    ) / F.greatest(F.size(codes), F.lit(1))
-    known = labelled.withColumn("weights", model.scalar()).select("verdict", mean(F.col("codes"), F.col("weights")).alias("score"))
+    text = folded(F.concat("host", "path"))
+    urls = base.withColumns({"rule": rule, "_by_rule": verdict, "_key": F.md5(text.cast("binary"))})
+    chars = F.filter(F.split(text, ""), lambda c: c != "")
+    model = stored(_model(base.select(verdict.alias("verdict"), chars.alias("chars"))), "url-model")
+    texts = base.select(text.alias("text")).distinct().select(F.md5(F.col("text").cast("binary")).alias("_key"), F.filter(F.split("text", ""), lambda c: c != "").alias("chars"))
+    parts = texts.select("_key", F.size("chars").alias("n"), F.explode_outer(grams(F.col("chars"))).alias("gram")).where("gram is not null")
+    sums = parts.join(model, "gram").groupBy("_key").agg((F.sum("weight").cast("double") / F.first("n")).alias("_score"))
+    scores = stored(sums, "url-scores")
+    scored = urls.join(scores, "_key", "left")
+    known = scored.where("_by_rule is not null and _score is not null").select(F.col("_by_rule").alias("verdict"), F.col("_score").alias("score"))
     of = lambda kind: F.when(F.col("verdict") == kind, F.col("score"))
     stats = known.agg(*[f(of(kind)).alias(f"{kind}_{name}") for kind in ("allow", "block") for name, f in (("m", F.avg), ("s", F.stddev_pop))])
     spread = F.col("allow_s") + F.col("block_s")
     middle = F.when(spread > 0, (F.col("allow_m") * F.col("block_s") + F.col("block_m") * F.col("allow_s")) / spread).otherwise((F.col("allow_m") + F.col("block_m")) / 2)
     cutoff = stored(stats.select(F.coalesce(middle, F.lit(0.0)).alias("cutoff")), "url-cutoff")
-    scored = urls.withColumn("weights", model.scalar()).withColumn("score", mean(F.col("codes"), F.col("weights"))).withColumn("cutoff", cutoff.scalar())
+    scored = scored.withColumn("score", F.coalesce("_score", F.lit(0.0))).withColumn("cutoff", cutoff.scalar())
     by_model = F.when(F.col("score") >= F.col("cutoff"), F.lit("allow")).otherwise(F.lit("block"))
     results = ("host", "path", "rule", "verdict", "score", "cutoff")
-    return scored.withColumn("verdict", F.coalesce("by_rule", by_model)).select(*[c for c in pages.columns if c not in results], *results)
+    return scored.withColumn("verdict", F.coalesce("_by_rule", by_model)).select(*[c for c in pages.columns if c not in results], *results)
 
 
 @query

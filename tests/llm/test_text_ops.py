@@ -226,6 +226,17 @@ def test_models_tell_hosts_apart(spark):
     assert got[new[0]] == "allow" and got[new[1]] == "block"
 
 
+def test_models_learn_longer_contexts_and_all_characters(spark):
+    # the same trigrams in both classes, told apart by the order of longer pieces or by characters outside ASCII only
+    good = [f"http://x.org/fr/{a}" for a in ("qabrabs", "qacracs")] * 30 + ["http://y.org/fr/\u00e9\u00e9"] * 30
+    bad = [f"http://x.net/{a}" for a in ("qabracs", "qacrabs")] * 30 + ["http://y.net/\u00fc\u00fc"] * 30
+    new = [f"http://z.info/{a}" for a in ("qabrabs", "qabracs", "\u00e9\u00e9", "\u00fc\u00fc")]
+    rows = url_filter.judge(spark.createDataFrame([(u,) for u in good + bad + new], "url string")).collect()
+    score = {r.url: r.score for r in rows}
+    assert score["http://z.info/qabrabs"] > score["http://z.info/qabracs"] + 0.01
+    assert score["http://z.info/\u00e9\u00e9"] > score["http://z.info/\u00fc\u00fc"] + 0.01
+
+
 # -- HTML ------------------------------------------------------------------------------
 
 
