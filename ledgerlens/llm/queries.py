@@ -8,9 +8,12 @@ from ledgerlens.llm.decontam import op10_decontamination
 from ledgerlens.llm.html_extract import op8_html_extraction
 from ledgerlens.llm.imatch import op4_imatch_fingerprints
 from ledgerlens.llm.mixing import op3_source_mixing
+from ledgerlens.llm.prefix_trie import op12_prefix_trie
 from ledgerlens.llm.quality import op2_quality_classifier
 from ledgerlens.llm.suffix_dedup import op7_suffix_dedup
 from ledgerlens.llm.superkmer import op6_superkmer_dedup
+from ledgerlens.llm.token_align import op11_token_alignment
+from ledgerlens.llm.toxicity import op13_toxicity
 from ledgerlens.llm.url_filter import op5_url_filter
 
 QUERIES = {
@@ -26,11 +29,14 @@ QUERIES = {
         op8_html_extraction,
         op9_bottomk_near_dedup,
         op10_decontamination,
+        op11_token_alignment,
+        op12_prefix_trie,
+        op13_toxicity,
     )
 }
 
-#: Queries without SQL: 2, 5 (verdict) by trained models, 3 and 4 by hashes that DuckDB lacks, 8 by an
-#: HTML parser.  Their tests compare them with brute force, targets or held-out labels.
+#: Queries without SQL: 2, 5 (verdict) and 13 by trained models, 3 and 4 by hashes that DuckDB lacks, 8 by
+#: an HTML parser, 11 by tokenizers.  Their tests compare them with brute force, targets or held-out labels.
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_chat_formatting"] = r"""
@@ -163,3 +169,52 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit,
   coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id
 """
+
+ORACLES["op12_prefix_trie"] = r"""
+WITH RECURSIVE crc_table(i, k, v) AS (
+  SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END FROM crc_table WHERE k < 8
+), crc(conv_id, s, p, v) AS (
+  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR), 1, CAST(4294967295 AS BIGINT) FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT c.conv_id, c.s, c.p + 1, xor(t.v, c.v >> 8)
+  FROM crc c JOIN crc_table t ON t.k = 8 AND t.i = xor(c.v, CAST(ascii(substr(c.s, c.p, 1)) AS BIGINT)) & 255 WHERE c.p <= length(c.s)
+), taken AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(v, CAST(4294967295 AS BIGINT)) % 4 AS h FROM crc WHERE p > length(s)
+), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), rebuilt AS (
+  SELECT k.conv_id, 0 AS own, t.pos, t.role, t.text FROM taken k JOIN turns t ON t.conv_id = k.base AND t.pos <= k.h
+  UNION ALL SELECT k.conv_id, 1, t.pos, t.role, t.text FROM taken k JOIN turns t ON t.conv_id = k.conv_id AND t.pos > k.h
+), lists AS (
+  SELECT k.conv_id, coalesce(r.names, []) AS names, coalesce(r.words, []) AS words
+  FROM taken k LEFT JOIN (
+    SELECT conv_id, list(sha256(CAST(length(role) AS VARCHAR) || ':' || role || text) ORDER BY own, pos) AS names,
+      list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY own, pos) AS words
+    FROM rebuilt GROUP BY conv_id) r ON r.conv_id = k.conv_id
+), begins AS (
+  SELECT conv_id, d, len(names) AS n, array_to_string(list_slice(names, 1, d), '') AS beginning, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words
+  FROM (SELECT *, unnest(range(0, len(names) + 1)) AS d FROM lists)
+), members AS (
+  SELECT *, min(conv_id) OVER (PARTITION BY d, beginning) AS node FROM begins
+), nodes AS (
+  SELECT node, d, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM members GROUP BY node, d
+), linked AS (
+  SELECT x.*, p.node AS parent FROM nodes x LEFT JOIN members p ON p.conv_id = x.node AND p.d = x.d - 1
+), children AS (
+  SELECT parent, d - 1 AS d, count(*) AS n FROM linked WHERE parent IS NOT NULL GROUP BY 1, 2
+), full_nodes AS (
+  SELECT x.*, coalesce(c.n, 0) AS n_children FROM linked x LEFT JOIN children c ON c.parent = x.node AND c.d = x.d
+), below AS (
+  SELECT a.node, a.d, sum(CASE WHEN x.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((x.n_convs - 1) * x.words) AS saved_tokens
+  FROM full_nodes x JOIN members a ON a.conv_id = x.node AND a.d <= x.d GROUP BY 1, 2
+)
+SELECT x.node AS conv_id, CAST(x.d AS BIGINT) AS depth, x.parent AS parent_conv_id, CAST(x.n_convs AS BIGINT) AS n_convs,
+  CAST(x.n_children AS BIGINT) AS n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM full_nodes x JOIN below b ON b.node = x.node AND b.d = x.d
+"""
