@@ -39,15 +39,16 @@ from table select order group by limit where into from"""
 
 # Word pattern of the statistics cells: runs of ASCII letters and apostrophes.
 ALPHA_WORD = "[A-Za-z']+"
-# Characters replaced by a space before whitespace tokenizing.
-NON_WORD = r"[^\w\s]"
+# Runs of ASCII word characters (what is left when all others become spaces).
+WORD = r"\w+"
 # Unicode white space, as Python's str.isspace and its regular expressions know it.
 UNICODE_SPACE = r"\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-# Neither a word character (letter, any kind of number, underscore) nor white space.
-NON_WORD_UNICODE = rf"[^\p{{L}}\p{{N}}_{UNICODE_SPACE}]"
+# The same characters spelled out, for plain string functions.
+UNICODE_SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+# Runs of word characters (letters, any kind of number, underscore).
+WORD_UNICODE = r"[\p{L}\p{N}_]+"
 # Whitespace runs that separate tokens.
 WHITESPACE = r"\s+"
-WHITESPACE_UNICODE = rf"[{UNICODE_SPACE}]+"
 # Line terminators of text files (as line-oriented text readers split them).
 LINE_BREAK = r"\r\n|\r|\n"
 # Sentence split of the statistics cells: whitespace after . ! or ?
@@ -77,13 +78,16 @@ def lines_of(text: Column) -> Column:
 
 
 def joined_lines(text: Column) -> Column:
-    """Lines joined by one space: the notebook's ``" ".join(lines)``."""
-    return F.array_join(lines_of(text), " ")
+    """Lines joined by one space: the notebook's ``" ".join(lines)`` (plain string functions)."""
+    joined = without_final_break(text)
+    for piece in ("\r\n", "\r", "\n"):
+        joined = F.replace(joined, F.lit(piece), F.lit(" "))
+    return joined
 
 
 def py_strip(c: Column) -> Column:
     """Strip leading/trailing whitespace (all Unicode whitespace, like ``str.strip``)."""
-    return F.regexp_replace(c, rf"\A[{UNICODE_SPACE}]+|[{UNICODE_SPACE}]+\z", "")
+    return F.btrim(c, F.lit(UNICODE_SPACES))
 
 
 def dot_sentences(text: Column) -> Column:
@@ -95,9 +99,12 @@ def dot_sentences(text: Column) -> Column:
 
 def punct_sentences(text: Column) -> Column:
     """Sentences of the statistics cells: split after ``.``/``!``/``?`` followed
-    by whitespace, stripped, empty ones dropped."""
-    parts = F.transform(F.split(text, SENTENCE_BREAK), py_strip)
-    return F.filter(parts, lambda s: s != "")
+    by whitespace, stripped, empty ones dropped.
+
+    Breaks take all white space between sentences, so only the text's own ends are
+    stripped; only a blank text has an empty sentence then.
+    """
+    return F.filter(F.split(py_strip(text), SENTENCE_BREAK), lambda s: s != "")
 
 
 def alpha_words(text: Column, lower: bool = False) -> Column:
@@ -144,15 +151,12 @@ def strip_words(text: Column, unicode: bool = False) -> Column:
     """Punctuation to spaces, lower case, split on whitespace, empties dropped.
 
     ASCII (``unicode=False``): the notebook order, replace then lower.
-    Unicode: the web app order, lower then replace.
+    Unicode: the web app order, lower then replace.  Either way the words are the runs
+    of word characters, found in one pass.
     """
     if unicode:
-        cleaned = F.regexp_replace(F.lower(text), NON_WORD_UNICODE, " ")
-        parts = F.split(cleaned, WHITESPACE_UNICODE)
-    else:
-        cleaned = F.lower(F.regexp_replace(text, NON_WORD, " "))
-        parts = F.split(cleaned, WHITESPACE)
-    return F.filter(parts, lambda w: F.length(w) > 0)
+        return F.regexp_extract_all(F.lower(text), F.lit(WORD_UNICODE), F.lit(0))
+    return F.regexp_extract_all(F.translate(text, ASCII_UPPER, ASCII_UPPER.lower()), F.lit(WORD), F.lit(0))
 
 
 def dot_sentence_words(text: Column) -> Column:

@@ -52,3 +52,40 @@ def lenient_date_parts(df: DataFrame, col: str) -> DataFrame:
         year.alias("year"), month.alias("month"), month_start.alias("month_start"),
         trunc_to("year", col).alias("year_start"), trunc_to("day", col).alias("day_start"),
     )
+
+
+# What counts as text of a type in a profile (an integer is a number too).
+INTEGER_TEXT = r"^[+-]?[0-9]{1,18}$"
+NUMBER_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]{1,2})?$"
+DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+
+
+def type_profile(df: DataFrame, columns: list[str] | None = None, least: float = 0.5) -> DataFrame:
+    """Which type each text column has, from one aggregation over the rows.
+
+    One row per column: filled and empty (null or blank) cells, how many filled cells read as
+    an integer, a number, a date (a day of the calendar written yyyy-MM-dd), the type chosen
+    and its bad cells.  A column is of the narrowest type that all filled cells have; a
+    dirty one of the widest type that more than ``least`` of them have, the others being
+    its bad cells; text otherwise.  Unlike schema inference, one odd cell does not turn a
+    column into text, and the table says how many odd cells there are.
+    """
+    columns = columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    text = {c: F.trim(F.col(c)) for c in columns}
+    filled = {c: F.col(c).isNotNull() & (t != "") for c, t in text.items()}
+    kinds = {c: {"integers": t.rlike(INTEGER_TEXT), "numbers": t.rlike(NUMBER_TEXT), "dates": t.rlike(DATE_TEXT) & t.try_cast("date").isNotNull()} for c, t in text.items()}
+    counted = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(filled[c]).alias(f"filled{i}") for i, c in enumerate(columns)],
+        *[F.count_if(filled[c] & is_kind).alias(f"{kind}{i}") for i, c in enumerate(columns) for kind, is_kind in kinds[c].items()],
+    )
+    one = [F.struct(F.lit(c).alias("column"), F.col(f"filled{i}").alias("filled"), (F.col("n") - F.col(f"filled{i}")).alias("empty"),
+                    *[F.col(f"{kind}{i}").alias(kind) for kind in ("integers", "numbers", "dates")]) for i, c in enumerate(columns)]
+    rows = counted.select(F.explode(F.array(*one)).alias("c")).select("c.*")
+    some, bar = F.col("filled") > 0, F.col("filled") * least
+    chosen = (
+        F.when(some & (F.col("integers") == F.col("filled")), "integer").when(some & (F.col("numbers") == F.col("filled")), "number")
+        .when(some & (F.col("dates") == F.col("filled")), "date").when(F.col("numbers") > bar, "number").when(F.col("dates") > bar, "date").otherwise("text")
+    )
+    good = F.when(F.col("type") == "integer", F.col("integers")).when(F.col("type") == "number", F.col("numbers")).when(F.col("type") == "date", F.col("dates")).otherwise(F.col("filled"))
+    return rows.withColumn("type", chosen).withColumn("bad", F.col("filled") - good)

@@ -258,3 +258,17 @@ def monthly_revenue(df: DataFrame) -> DataFrame:
         F.year("InvoiceDate").cast("bigint").alias("year"),
         F.month("InvoiceDate").cast("bigint").alias("month"),
     ).agg(F.sum("TotalPrice").cast("double").alias("monthly_revenue"))
+
+
+def distinct_by_bitmap(df: DataFrame, key: str, id_col: str, name: str) -> DataFrame:
+    """Exact distinct counts of an integer id per key, by bitmaps (A5): (key, <name>).
+
+    An id is a bit of a bucket's bitmap (32,768 ids, 4 kB); tasks build the bitmaps of
+    their rows and only these are shuffled and or-ed, so a key with any number of rows
+    sends one row per task and bucket, and no set of ids is built.  Null ids count as
+    none; negative ids have buckets of their own.
+    """
+    value = F.col(id_col).cast("long")
+    bitmaps = df.groupBy(key, F.bitmap_bucket_number(value).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits"))
+    return bitmaps.groupBy(key).agg(F.sum(F.when(F.col("bucket").isNotNull(), F.bitmap_count("bits")).otherwise(0)).alias(name))

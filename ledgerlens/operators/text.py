@@ -12,7 +12,8 @@ distributed aggregate:
 * top-k lists are ``TakeOrderedAndProject`` with an explicit tie-break
   (count desc, then key asc) instead of first-seen order (D10).
 
-No function collects, caches or uses a Python UDF.
+No function caches or uses a Python UDF; only ``top_counts_sketched`` runs jobs and
+collects (bucket numbers, a bounded number).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import text as T
 from ledgerlens.functions.cleaning import safe_ratio
+from ledgerlens.session import materialize
 
 # ---------------------------------------------------------------------------
 # Exploding arrays
@@ -163,6 +165,38 @@ def top_counts(counts: DataFrame, n: int, keys: list[str], count_name: str = "co
     return counts.orderBy(F.col(count_name).desc(), *[F.col(k).asc() for k in keys]).limit(n)
 
 
+SKETCH_BUCKETS = 1 << 16
+
+
+def top_counts_sketched(token_lists: DataFrame, n: int, buckets: int = SKETCH_BUCKETS) -> DataFrame:
+    """``top_counts(word_counts(...), n, ["word"])`` without shuffling the vocabulary.
+
+    A sketch first: words are hashed to buckets and only bucket totals are shuffled (at most
+    ``buckets`` rows a task).  A total is an upper bound for every word of its bucket.  The
+    words of the heaviest buckets are counted exactly; the n-th of these counts is a
+    lower bound for the n-th largest of all, so every word of the answer lies in a
+    bucket whose total reaches it.  If all those buckets have been counted the answer is
+    proved; else they are counted too, and where they are most of the buckets, or fewer
+    than ``n`` words were found, all words are counted.  Runs jobs; the driver gets bucket
+    numbers, at most a quarter of ``buckets``.
+    """
+    words = explode_values(token_lists, "words", "word").withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+    totals = materialize(words.groupBy("bucket").agg(F.count(F.lit(1)).alias("total")), "sketch")
+    exact = lambda chosen: words.where(F.col("bucket").isin(chosen)).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    heavy = totals.orderBy(F.col("total").desc(), "bucket").limit(4 * n).select("bucket", "total").collect()
+    if not heavy:
+        return top_counts(words.groupBy("word").agg(F.count(F.lit(1)).alias("count")), n, ["word"])
+    found = materialize(top_counts(exact([r.bucket for r in heavy]), n, ["word"]), "heavy")
+    bound = found.agg(F.min("count").alias("least"), F.count(F.lit(1)).alias("n")).first()
+    needed = totals.where(F.col("total") >= (bound.least if bound.n == n else 0))
+    if bound.n == n and heavy[-1].total < bound.least:
+        return top_counts(found, n, ["word"])
+    many = needed.count()
+    if many <= buckets // 4 and bound.n == n:
+        return top_counts(exact([r.bucket for r in needed.select("bucket").collect()]), n, ["word"])
+    return top_counts(words.groupBy("word").agg(F.count(F.lit(1)).alias("count")), n, ["word"])
+
+
 def length_histogram(token_lists: DataFrame, below: int | None = None) -> DataFrame:
     """Words per length, bin width 1 (A17); lengths ``< below`` only when given."""
     lengths = explode_values(token_lists, "words", "w").select(

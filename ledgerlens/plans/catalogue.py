@@ -2,7 +2,8 @@
 
 Each entry is ``fn(spark, sf_dir) -> DataFrame`` and is lazy except those whose
 point is to write something and read it back (``category_revenue``, ``word_freq_csv``,
-``web_word_export_csv``, ``word_freq_lines``) and ``country_summary*``, which store one
+``web_word_export_csv``, ``word_freq_lines``, ``lines_*``) and ``country_summary*``,
+``word_ranks``, ``top_words_sketched`` and ``preview_one_pass``, which store an
 intermediate table in the shared folder.  Where the
 reference orders a result, the entry orders it the same way (with a key as
 tie-break); the operators themselves return unordered frames.
@@ -17,14 +18,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import ordered as O
 from ledgerlens.operators import retail as R
 from ledgerlens.operators import sales as S
 from ledgerlens.operators import text as X
 from ledgerlens.functions import text as T
 from ledgerlens.functions.cleaning import money
 from ledgerlens.plans import bindings as B
-from ledgerlens.session import checkpoint_dir
-from ledgerlens.sources import read_csv, read_lines, read_table, register_view, sinks
+from ledgerlens.session import checkpoint_dir, own_path
+from ledgerlens.sources import read_csv, read_documents, read_lines, read_table, register_view, sinks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -181,7 +183,7 @@ def q_category_revenue(spark, d):
     s = B.sales(spark, d, ["category", "sales_amount", "returned"])
     summary = S.revenue_by(s, "category", F.col("returned") == "No")
     name = "category_revenue_summary"
-    sinks.write_table(summary, name, fmt="parquet", mode="overwrite", path=f"{checkpoint_dir(spark)}/tables/{name}")
+    sinks.write_version(summary, name, f"{checkpoint_dir(spark)}/tables/{spark.conf.get('spark.app.id', 'app')}/{name}")
     return read_table(spark, name).orderBy(F.col("revenue_krw").desc())
 
 
@@ -494,14 +496,16 @@ def q_dataset_row_counts(spark, d):
 @query("category_counts_view")
 def q_category_counts_view(spark, d):
     register_view(B.sales(spark, d, ["category", "quantity"]), "orders_by_line")
-    return spark.sql(
+    found = spark.sql(
         "SELECT category, COUNT(*) AS orders, SUM(quantity) AS units FROM orders_by_line "
         "WHERE quantity > 10 GROUP BY category")
+    spark.catalog.dropTempView("orders_by_line")  # the query is resolved; nothing stays in the session
+    return found
 
 
 def csv_round_trip(spark, ranked: DataFrame, name: str, header: bool) -> DataFrame:
     """A ranked list written as CSV to the shared folder and read back."""
-    path = f"{checkpoint_dir(spark)}/exports/{name}"
+    path = own_path(spark, "exports", name)
     sinks.write_csv(ranked, path, header=header)
     return read_csv(spark, path, schema=ranked.schema, header=header)
 
@@ -513,15 +517,108 @@ def q_word_freq_csv(spark, d):
 
 @query("web_word_export_csv")
 def q_web_word_export_csv(spark, d):
-    return csv_round_trip(spark, q_web_word_export(spark, d), "web_words", header=False)
+    # the exported list with its header line, in rank order over all parts
+    path = own_path(spark, "exports", "web_words")
+    sinks.write_ranked_csv(X.word_counts(_web_kept(spark, d)), path, [("count", False), ("word", True)])
+    return O.read_ranked_csv(spark, path, "word string, count long")
 
 
 @query("word_freq_lines")
 def q_word_freq_lines(spark, d):
     # the corpus as a text file: one line per row, read back line by line
-    path = f"{checkpoint_dir(spark)}/exports/lines"
-    X.lines(_docs(spark, d)).select("line").write.mode("overwrite").text(path)
-    return X.ranked(X.word_counts(X.tokens(read_lines(spark, path), "strip", text_col="line")), ["word"])
+    return X.ranked(X.word_counts(X.tokens(read_lines(spark, corpus_file(spark, d)), "strip", text_col="line")), ["word"])
+
+
+def corpus_file(spark, d) -> str:
+    """The lines of all documents, by ascending id, as text files that follow one another."""
+    path = own_path(spark, "exports", "lines")
+    docs = _docs(spark, d).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    docs.select(F.explode(T.lines_of(F.col("text"))).alias("line")).write.text(path)
+    return path
+
+
+def _corpus_lines(spark, d) -> DataFrame:
+    return O.placed_lines(spark, corpus_file(spark, d))
+
+
+@query("lines_numbered")
+def q_lines_numbered(spark, d):
+    return O.numbered_lines(_corpus_lines(spark, d), whole=True).select("line_no", "line")
+
+
+@query("lines_top_bigrams")
+def q_lines_top_bigrams(spark, d):
+    # pairs of kept words over the whole text, across lines and files
+    words = T.without_stopwords(T.alpha_words(F.col("line"), lower=True), T.NOTEBOOK_STOPWORDS, 2)
+    counts = O.bigram_counts(_corpus_lines(spark, d).withColumn("words", words), whole=True)
+    top = X.top_counts(counts, 15, ["w1", "w2"])
+    return top.select("w1", "w2", F.concat_ws(" ", "w1", "w2").alias("bigram"), "count")
+
+
+@query("lines_sentence_stats")
+def q_lines_sentence_stats(spark, d):
+    return O.sentence_stats_of_lines(_corpus_lines(spark, d), whole=True)
+
+
+@query("lines_sentences")
+def q_lines_sentences(spark, d):
+    return O.sentences_of_lines(_corpus_lines(spark, d), whole=True).select("n", "sentence")
+
+
+@query("lines_first_sentences")
+def q_lines_first_sentences(spark, d):
+    return O.sentences_of_lines(_corpus_lines(spark, d), whole=True, first=3).select("n", "sentence")
+
+
+@query("word_ranks")
+def q_word_ranks(spark, d):
+    counts = X.word_counts(X.tokens(_docs(spark, d), "strip"))
+    return O.numbered(counts, [F.col("count").desc(), F.col("word").asc()])
+
+
+@query("top_words_sketched")
+def q_top_words_sketched(spark, d):
+    return X.top_counts_sketched(_kept_alpha(spark, d), 20)
+
+
+@query("country_customers_bitmap")
+def q_country_customers_bitmap(spark, d):
+    lines = retail_lines(spark, d, ["Country"])
+    return R.distinct_by_bitmap(lines, "Country", "CustomerID", "customers").orderBy(F.col("customers").desc(), "Country")
+
+
+@query("messy_type_profile")
+def q_messy_type_profile(spark, d):
+    from ledgerlens.operators.cleaning import type_profile
+    return type_profile(B.messy_sales_text(spark, d), ["order_date", "quantity", "unit_price", "discount_rate", "sales_amount", "rating", "returned"])
+
+
+@query("customers_latin1_csv")
+def q_customers_latin1_csv(spark, d):
+    # a CSV in ISO-8859-1 with quotes, separators and NULL as text (S3, K6)
+    label = F.concat(F.lit('Señor "'), "c_name", F.lit('", '), "country")
+    rows = _customers_with_country(spark, d).select("c_custkey", label.alias("label"), F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("segment"))
+    path = own_path(spark, "exports", "customers")
+    sinks.write_csv(rows, path, null_value="NULL", encoding="ISO-8859-1")
+    return read_csv(spark, path, schema=rows.schema, encoding="ISO-8859-1", null_value="NULL")
+
+
+@query("whole_file_lines")
+def q_whole_file_lines(spark, d):
+    # every part of the corpus file as one document
+    return X.lines(read_documents(spark, corpus_file(spark, d))).agg(F.count(F.lit(1)).alias("total_lines"))
+
+
+@query("table_if_absent")
+def q_table_if_absent(spark, d):
+    # CREATE TABLE IF NOT EXISTS: the second write leaves the table as it is (K4)
+    base = own_path(spark, "tables", "absent")
+    name = base.rsplit("/", 1)[-1].replace("-", "_")
+    cust = _customers_with_country(spark, d)
+    counts = cust.groupBy("country").agg(F.count(F.lit(1)).alias("customers"))
+    for rows in (counts, counts.withColumn("customers", F.col("customers") * 2)):
+        sinks.write_version(rows, name, base, mode="ignore")
+    return read_table(spark, name)
 
 
 @query("preview_with_count")
@@ -530,6 +627,11 @@ def q_preview_with_count(spark, d):
     return sinks.preview_with_total(orders, [F.col("o_orderkey").asc()], 1000)
 
 
+@query("preview_one_pass")
+def q_preview_one_pass(spark, d):
+    return sinks.preview_once(B.table(spark, d, "orders"), [F.col("o_orderkey").asc()], 1000)
+
+
 @query("chart_series")
 def q_chart_series(spark, d):
     return sinks.chart_series(q_category_summary(spark, d), "category", "total_sales_krw")

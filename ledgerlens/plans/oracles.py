@@ -534,7 +534,7 @@ SELECT word, COUNT(*) AS count FROM (SELECT unnest(words) AS word FROM web_kept)
 
 # -- lenient loading, date parts, catalogue, preview, chart, schema -------------
 
-ORACLES["clean_orders_lenient"] = _with(SALES_CTE, """
+MESSY_CTE = """
 messy AS (
   SELECT order_id, line_number, product_id, supplier_id, ext_price, ship_date, category,
     CASE WHEN channel = '5-LOW' THEN 'unknown' ELSE strftime(order_date, '%Y-%m-%d') END AS order_date,
@@ -549,7 +549,9 @@ messy AS (
     CASE WHEN return_flag <> 'A' THEN returned END AS returned,
     COALESCE(CAST(rating AS VARCHAR), '') AS rating
   FROM sales
-)""") + """
+)"""
+
+ORACLES["clean_orders_lenient"] = _with(SALES_CTE, MESSY_CTE) + """
 SELECT order_id, line_number, product_id, supplier_id, ext_price, ship_date, category,
   strftime(TRY_CAST(order_date AS TIMESTAMP), '%Y-%m-%d') AS order_date,
   COALESCE(TRY_CAST(trunc(TRY_CAST(quantity AS DOUBLE)) AS INTEGER), 0) AS quantity,
@@ -651,7 +653,44 @@ FROM sales WHERE quantity > 10 GROUP BY category
 
 ORACLES["word_freq_csv"] = ORACLES["word_freq"]
 ORACLES["word_freq_lines"] = ORACLES["word_freq"]
-ORACLES["web_word_export_csv"] = ORACLES["web_word_export"]
+ORACLES["web_word_export_csv"] = _with(WEB_CTE) + """
+SELECT word, count, row_number() OVER (ORDER BY count DESC, word) AS rank
+FROM (SELECT word, COUNT(*) AS count FROM (SELECT unnest(words) AS word FROM web_kept) GROUP BY word)
+"""
+
+# The lines of all documents, by ascending id, as one text.
+CORPUS_CTE = """
+corpus_lines AS (
+  SELECT row_number() OVER (ORDER BY doc_id, pos) AS line_no, line
+  FROM (SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM doc_lines)
+),
+corpus AS (SELECT string_agg(line, ' ' ORDER BY line_no) AS joined FROM corpus_lines)"""
+
+CORPUS_SENTENCES_CTE = f"""
+corpus_lists AS (SELECT {_punct('joined')} AS sentences FROM corpus),
+corpus_rows AS (SELECT generate_subscripts(sentences, 1) AS n, unnest(sentences) AS sentence FROM corpus_lists)"""
+
+ORACLES["lines_numbered"] = _with(DOC_CTE, CORPUS_CTE) + "SELECT line_no, line FROM corpus_lines"
+ORACLES["lines_sentences"] = _with(DOC_CTE, CORPUS_CTE, CORPUS_SENTENCES_CTE) + "SELECT n, sentence FROM corpus_rows"
+ORACLES["lines_first_sentences"] = ORACLES["lines_sentences"] + " WHERE n <= 3"
+ORACLES["lines_sentence_stats"] = _with(DOC_CTE, CORPUS_CTE, CORPUS_SENTENCES_CTE) + """
+SELECT COUNT(*) AS sentences,
+       CAST(COALESCE(SUM(n), 0) AS DOUBLE) / CAST(greatest(COUNT(*), 1) AS DOUBLE) AS avg_words_per_sentence,
+       CAST(MIN(n) AS BIGINT) AS min_words, CAST(MAX(n) AS BIGINT) AS max_words
+FROM (SELECT len(regexp_extract_all(sentence, '[A-Za-z'']+')) AS n FROM corpus_rows)
+"""
+ORACLES["lines_top_bigrams"] = _with(DOC_CTE, ALPHA_CTE, KEPT_CTE) + """,
+words_in_order AS (SELECT doc_id, generate_subscripts(words, 1) AS pos, unnest(words) AS w FROM kept),
+pairs AS (SELECT w AS w1, lead(w) OVER (ORDER BY doc_id, pos) AS w2 FROM words_in_order)
+SELECT w1, w2, w1 || ' ' || w2 AS bigram, COUNT(*) AS count FROM pairs WHERE w2 IS NOT NULL
+GROUP BY w1, w2 ORDER BY count DESC, w1, w2 LIMIT 15
+"""
+ORACLES["word_ranks"] = _with(STRIP_CTE) + """
+SELECT word, count, row_number() OVER (ORDER BY count DESC, word) AS rank
+FROM (SELECT word, COUNT(*) AS count FROM (SELECT unnest(words) AS word FROM strip) GROUP BY word)
+"""
+ORACLES["top_words_sketched"] = ORACLES["top_words"]
+ORACLES["preview_one_pass"] = ORACLES["preview_with_count"]
 
 ORACLES["retail_loaded"] = _with(RETAIL_CTE, """
 as_text AS (
@@ -668,3 +707,39 @@ SELECT InvoiceNo, LineNo, StockCode, SupplierNo, LineAmount, ShipDate,
   COALESCE(TRY_CAST(UnitPrice AS DOUBLE), 0.0) AS UnitPrice
 FROM as_text
 """
+
+
+def _profile(column: str) -> str:
+    t = f"trim({column})"
+    filled = f"({column} IS NOT NULL AND {t} <> '')"
+    return f"""
+SELECT '{column}' AS "column", count(*) FILTER ({filled}) AS filled, count(*) FILTER (NOT coalesce({filled}, false)) AS empty,
+  count(*) FILTER (regexp_matches({t}, '^[+-]?[0-9]{{1,18}}$')) AS integers,
+  count(*) FILTER (regexp_matches({t}, '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]{{1,2}})?$')) AS numbers,
+  count(*) FILTER (regexp_matches({t}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') AND TRY_CAST({t} AS DATE) IS NOT NULL) AS dates
+FROM messy"""
+
+
+ORACLES["messy_type_profile"] = _with(SALES_CTE, MESSY_CTE, "counted AS (" + " UNION ALL ".join(
+    _profile(c) for c in ("order_date", "quantity", "unit_price", "discount_rate", "sales_amount", "rating", "returned")) + ")") + """,
+typed AS (
+  SELECT *, CASE WHEN filled = 0 THEN 'text' WHEN integers = filled THEN 'integer' WHEN numbers = filled THEN 'number' WHEN dates = filled THEN 'date'
+    WHEN 2 * numbers > filled THEN 'number' WHEN 2 * dates > filled THEN 'date' ELSE 'text' END AS type
+  FROM counted
+)
+SELECT *, filled - CASE type WHEN 'integer' THEN integers WHEN 'number' THEN numbers WHEN 'date' THEN dates ELSE filled END AS bad FROM typed
+"""
+
+ORACLES["country_customers_bitmap"] = _with(RETAIL_CTE) + """
+SELECT Country, count(DISTINCT CustomerID) AS customers FROM retail GROUP BY Country
+"""
+
+ORACLES["customers_latin1_csv"] = """
+SELECT c.c_custkey, 'Señor "' || c.c_name || '", ' || n.n_name AS label, CASE WHEN c.c_acctbal >= 0 THEN c.c_mktsegment END AS segment
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+ORACLES["whole_file_lines"] = ORACLES["line_count"]
+ORACLES["table_if_absent"] = """
+SELECT n.n_name AS country, count(*) AS customers
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1
+"""

@@ -96,6 +96,12 @@ def _local_folder() -> str:
     return _LOCAL[0]
 
 
+def own_path(spark: SparkSession, kind: str, label: str) -> str:
+    """A new path in the shared folder, ``<kind>/<application id>/<label>-<unique>``: no call meets another's files."""
+    app = spark.conf.get("spark.app.id", "app")
+    return f"{checkpoint_dir(spark)}/{kind}/{app}/{label}-{uuid.uuid4().hex[:12]}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet under the shared folder and read it back.
 
@@ -107,7 +113,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     of a session lie together under ``tables/<application id>``.
     """
     spark = df.sparkSession
-    app = spark.conf.get("spark.app.id", "app")
-    path = f"{checkpoint_dir(spark)}/tables/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    path = own_path(spark, "tables", label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
