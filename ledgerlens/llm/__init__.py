@@ -12,20 +12,20 @@ from functools import wraps
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-#: Rows of an Arrow batch, where the session has Spark's default of 10,000: whole texts are long.
-BATCH_ROWS = 1000
+#: Bytes of an Arrow batch, where the session has Spark's default of 64 MB: a worker holds a few batches.
+BATCH_BYTES = "4m"
 
 
 def workers_import(spark) -> None:
     """Let Python workers import this package where it lies at the same path as here.
 
     On a cluster the package is installed or sent with ``--py-files``; this only saves
-    local runs started from another folder from having to set PYTHONPATH.  Also makes
-    Arrow batches smaller unless the session has a size of its own.
+    local runs started from another folder from having to set PYTHONPATH.  Also bounds
+    the bytes of Arrow batches unless the session has a bound of its own.
     """
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(rows)) == 10000:
-        spark.conf.set(rows, str(BATCH_ROWS))
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size) in ("67108864b", "64m", "64MB"):
+        spark.conf.set(size, BATCH_BYTES)
     context = getattr(spark, "_sc", None)
     if context is not None:
         paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)

@@ -197,7 +197,7 @@ def _partnered(percent: int, q: int):
 
     def run(batches):
         cut = cutoffs(percent / 100)
-        for table in whole_groups(batches, "value"):
+        for table in whole_groups(batches, "value", "i", "j"):
             value, group, block, cross = _group_numbers(table)
             keys = table.column("keys").combine_chunks()
             at, flat = np.asarray(keys.offsets), np.asarray(keys.values).view(np.uint64)
@@ -221,7 +221,7 @@ def _confirmed(percent: int, shingle: int, q: int):
 
     def run(batches):
         cut = cutoffs(percent / 100)
-        for table in whole_groups(batches, "value", rows=4096, size=16 << 20):
+        for table in whole_groups(batches, "value", "i", "j", rows=4096, size=16 << 20):
             value, group, block, cross = _group_numbers(table)
             sets: list[np.ndarray] = []
             for piece in K.chunks(table.select(["text"]).to_batches(), "text"):
@@ -316,9 +316,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows that share id and text are the same document; one of them stays.
     """
     kept = near_duplicates(docs, id_col, text_col, **options).where("id = component_id").select("id", "tag").distinct()
-    keyed = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "_tag": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
-    found = keyed.join(kept, (F.col("_id") == kept["id"]) & (F.col("_tag") == kept["tag"]), "left_semi")
-    return found.dropDuplicates(["_id", "_tag"]).select(docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"))
+    return keyed.join(kept, ["id", "tag"], "left_semi").dropDuplicates(["id", "tag"]).select("row.*")
 
 
 @query

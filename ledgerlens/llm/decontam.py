@@ -22,7 +22,6 @@ results, and without a benchmark nothing is hit.
 
 from __future__ import annotations
 
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerlens.llm import kernels as K, query
 from ledgerlens.llm.passages import per_doc, span_lists, SPANS
-from ledgerlens.session import checkpoint_dir
+from ledgerlens.llm.tables import stored
 
 #: Bytes that are not part of a word (after lower-casing).
 OTHER = K.byte_table([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -199,11 +198,11 @@ def _longest(tests: Tests, test, pos, words, doc_of):
     return doc[keep], item[keep], pos[keep], test[keep], size[keep]
 
 
-def _scan(ids: list, texts: list, window: int, merge: bool):
+def _scan(ids: list, texts: list, window: int, merge: bool, at: int):
     def run(batches):
         tests = Tests(texts, window)
         names_of = np.array(ids, object)
-        for batch in K.chunks(batches, "text", SHARD_BYTES):
+        for batch in K.chunks(K.with_texts(batches, at), "text", SHARD_BYTES):
             names, base = _word_names(*K.text_buffer(batch.column("text")))
             shard = SuffixArray(names, base, window) if len(names) else None
             doc_of = np.repeat(np.arange(batch.num_rows), np.diff(base))
@@ -243,8 +242,8 @@ def _scan(ids: list, texts: list, window: int, merge: bool):
             if merge:
                 matches = pa.array([a + b for a, b in zip(batch.column("matches").to_pylist(), matches.to_pylist())], matches.type)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("text"), pa.array(np.diff(base), pa.int64()), span_lists(mask, base), matches],
-                names=["row", "text", "n_words", "hits", "matches"],
+                [batch.column("row"), pa.array(np.diff(base), pa.int64()), span_lists(mask, base), matches],
+                names=["row", "n_words", "hits", "matches"],
             )
 
     return run
@@ -272,19 +271,17 @@ def verbatim_matches(
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-int(total) // block_bytes))
     results = ("n_words", "hits", "matches")
-    others = [c for c in docs.columns if c not in results]
-    row = T.StructType([docs.schema[c] for c in others])
-    schema = T.StructType([T.StructField("row", row), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("hits", SPANS), T.StructField("matches", MATCHES)])
-    now = docs.select(F.struct(*others).alias("row"), F.col(text_col).alias("text"))
+    carried = [c for c in docs.columns if c not in results or c == text_col]
+    row = T.StructType([docs.schema[c] for c in carried])
+    schema = T.StructType([T.StructField("row", row), T.StructField("n_words", T.LongType()), T.StructField("hits", SPANS), T.StructField("matches", MATCHES)])
+    now = docs.select(F.struct(*carried).alias("row"))
     for b in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
         got = part.collect()  # at most about block_bytes: see blocks
-        now = now.mapInArrow(_scan([r["item"] for r in got], [r["text"] for r in got], window, b > 0), schema)
+        now = now.mapInArrow(_scan([r["item"] for r in got], [r["text"] for r in got], window, b > 0, carried.index(text_col)), schema)
         if b + 1 < blocks:
-            path = f"{checkpoint_dir(spark)}/tables/decontam-{uuid.uuid4().hex[:12]}"
-            now.write.parquet(path)
-            now = spark.read.schema(schema).parquet(path)
-    return now.select("row.*", *results)
+            now = stored(now, "decontam")
+    return now.select(*[F.col("row")[c].alias(c) for c in carried if c not in results], *results)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

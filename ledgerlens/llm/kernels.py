@@ -99,6 +99,12 @@ def chunks(batches, column: str, limit: int = CHUNK_BYTES):
             begin = stop
 
 
+def with_texts(batches, at: int):
+    """Batches of a struct column ``row`` with its field ``at`` as a column ``text`` (no copy)."""
+    for batch in batches:
+        yield batch.append_column("text", batch.column("row").field(at))
+
+
 def byte_table(separators) -> np.ndarray:
     table = np.zeros(256, bool)
     table[list(separators)] = True

@@ -139,10 +139,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return bytes(sparse.repartition(1).mapInArrow(_train, "weights binary").first()["weights"])
 
 
-def _score(weights: bytes):
+def _score(weights: bytes, at: int):
     def run(batches):
         w = np.frombuffer(weights, np.float32).astype(np.float64)
-        for batch in K.chunks(batches, "text"):
+        for batch in K.chunks(K.with_texts(batches, at), "text"):
             places, freqs, doc = features(*K.text_buffer(batch.column("text")))
             dot = np.bincount(doc, w[places] * freqs, minlength=batch.num_rows) + w[-1]
             score = 1 / (1 + np.exp(-np.clip(dot, -35, 35)))
@@ -153,10 +153,11 @@ def _score(weights: bytes):
 
 def score(docs: DataFrame, weights: bytes, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score``: the estimated chance that the text is good."""
-    others = [c for c in docs.columns if c != "score"]
-    row = T.StructType([docs.schema[c] for c in others])
+    carried = [c for c in docs.columns if c != "score" or c == text_col]
+    row = T.StructType([docs.schema[c] for c in carried])
     schema = T.StructType([T.StructField("row", row), T.StructField("score", T.DoubleType())])
-    return docs.select(F.struct(*others).alias("row"), F.col(text_col).alias("text")).mapInArrow(_score(weights), schema).select("row.*", "score")
+    scored = docs.select(F.struct(*carried).alias("row")).mapInArrow(_score(weights, carried.index(text_col)), schema)
+    return scored.select(*[F.col("row")[c].alias(c) for c in carried if c != "score"], "score")
 
 
 def held_out(id_col: str = "doc_id"):

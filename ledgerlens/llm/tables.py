@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlens.session import checkpoint_dir
+from ledgerlens.llm import kernels as K
+from ledgerlens.session import own_path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again (cuts the lineage)."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/tables/{label}-{uuid.uuid4().hex[:12]}"
+    path = own_path(spark, "tables", label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def whole_groups(batches, key: str, rows: int = 20000, size: int = 32 << 20):
-    """Tables of whole groups from batches sorted by ``key`` (a binary or number column).
+def drop_table(spark, path: str) -> None:
+    """Delete a stored table that no frame reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def whole_groups(batches, *keys: str, rows: int = 20000, size: int = 32 << 20):
+    """Tables of whole groups from batches sorted by ``keys`` (binary or number columns).
 
     Each table has about ``rows`` rows or ``size`` bytes, or one group if that is larger.
     """
@@ -32,8 +37,7 @@ def whole_groups(batches, key: str, rows: int = 20000, size: int = 32 << 20):
         if sum(b.num_rows for b in held) < rows and sum(b.nbytes for b in held) < size:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
-        keys = np.asarray(table.column(key).to_numpy(zero_copy_only=False))
-        cut = int(np.searchsorted(keys, keys[-1], "left")) if keys.dtype != object else int(np.flatnonzero(keys == keys[-1])[0])
+        cut = int(np.flatnonzero(K.group_starts(*(table.column(k).to_numpy() for k in keys)))[-1])
         if cut:
             yield table.slice(0, cut)
             held = table.slice(cut).combine_chunks().to_batches()

@@ -215,14 +215,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return bytes(cut.repartition(1).mapInArrow(_fit, "model binary").first()["model"])
 
 
-def _score(model: bytes):
+def _score(model: bytes, at: int):
     def run(batches):
         found = np.load(io.BytesIO(model))
         known = "weights" in found.files
         if known:
             judge = Judge(found["ordinary"].tobytes(), found["toxic"].tobytes())
             mean, scale, weights = (found[c] for c in ("mean", "scale", "weights"))
-        for batch in K.chunks(batches, "text"):
+        for batch in K.chunks(K.with_texts(batches, at), "text"):
             if known:
                 x = np.array([judge.figures((t.as_py() or "").encode()) for t in batch.column("text")])
                 score = 1 / (1 + np.exp(-np.clip((x - mean) / scale @ weights[:-1] + weights[-1], -35, 35)))
@@ -235,11 +235,11 @@ def _score(model: bytes):
 
 def score(docs: DataFrame, model: bytes, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with ``score``: the estimated chance that the text is toxic, ``TOXIC`` at the calibrated cut."""
-    others = [c for c in docs.columns if c != score_col]
-    row = T.StructType([docs.schema[c] for c in others])
+    carried = [c for c in docs.columns if c != score_col or c == text_col]
+    row = T.StructType([docs.schema[c] for c in carried])
     schema = T.StructType([T.StructField("row", row), T.StructField("score", T.DoubleType())])
-    scored = docs.select(F.struct(*others).alias("row"), F.col(text_col).alias("text")).mapInArrow(_score(model), schema)
-    return scored.select("row.*", F.col("score").alias(score_col))
+    scored = docs.select(F.struct(*carried).alias("row")).mapInArrow(_score(model, carried.index(text_col)), schema)
+    return scored.select(*[F.col("row")[c].alias(c) for c in carried if c != score_col], F.col("score").alias(score_col))
 
 
 def held_out(id_col: str = "doc_id"):
