@@ -99,15 +99,20 @@ def _model(judged: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
     """``pages`` with host, path, rule, verdict, score (log-likelihood difference per
     character) and cutoff.  Runs jobs for the models, which are stored."""
-    base = split_url(pages, url_col)
+    results = ("host", "path", "rule", "verdict", "score", "cutoff")
+    carried = [c for c in pages.columns if c not in results]
+    # the caller's columns travel as one, so that none meets a name used here
+    base = split_url(pages.select(F.struct(*carried).alias("row") if carried else F.lit(None).alias("row"), F.col(url_col).alias("url")), "url")
     rule, verdict = rule_of(rules, F.col("host"), F.col("path"))
     text = folded(F.concat("host", "path"))
     urls = base.withColumns({"rule": rule, "_by_rule": verdict, "_key": F.md5(text.cast("binary"))})
     chars = F.filter(F.split(text, ""), lambda c: c != "")
     model = stored(_model(base.select(verdict.alias("verdict"), chars.alias("chars"))), "url-model")
-    texts = base.select(text.alias("text")).distinct().select(F.md5(F.col("text").cast("binary")).alias("_key"), F.filter(F.split("text", ""), lambda c: c != "").alias("chars"))
-    parts = texts.select("_key", F.size("chars").alias("n"), F.explode_outer(grams(F.col("chars"))).alias("gram")).where("gram is not null")
-    sums = parts.join(model, "gram").groupBy("_key").agg((F.sum("weight").cast("double") / F.first("n")).alias("_score"))
+    # distinct texts are dealt into a set number of parts: they are few bytes, their grams 31 times as many
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = base.select(text.alias("text")).distinct().repartition(parts, "text").select(F.md5(F.col("text").cast("binary")).alias("_key"), F.filter(F.split("text", ""), lambda c: c != "").alias("chars"))
+    grams_of = texts.select("_key", F.size("chars").alias("n"), F.explode_outer(grams(F.col("chars"))).alias("gram")).where("gram is not null")
+    sums = grams_of.join(model, "gram").groupBy("_key").agg((F.sum("weight").cast("double") / F.first("n")).alias("_score"))
     scores = stored(sums, "url-scores")
     scored = urls.join(scores, "_key", "left")
     known = scored.where("_by_rule is not null and _score is not null").select(F.col("_by_rule").alias("verdict"), F.col("_score").alias("score"))
@@ -118,8 +123,7 @@ def judge(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
     cutoff = stored(stats.select(F.coalesce(middle, F.lit(0.0)).alias("cutoff")), "url-cutoff")
     scored = scored.withColumn("score", F.coalesce("_score", F.lit(0.0))).withColumn("cutoff", cutoff.scalar())
     by_model = F.when(F.col("score") >= F.col("cutoff"), F.lit("allow")).otherwise(F.lit("block"))
-    results = ("host", "path", "rule", "verdict", "score", "cutoff")
-    return scored.withColumn("verdict", F.coalesce("_by_rule", by_model)).select(*[c for c in pages.columns if c not in results], *results)
+    return scored.withColumn("verdict", F.coalesce("_by_rule", by_model)).select(*[F.col("row")[c].alias(c) for c in carried], *results)
 
 
 @query
