@@ -2,10 +2,16 @@
 
 A document's terms are its distinct words.  Terms whose inverse document frequency lies
 in a band are kept: neither those that most documents have nor those of one document
-only.  The lexicon is divided at random into ``2**level`` subsets by a hash of the term;
+only.  The distinct kept terms are sorted and hashed over the whole lexicon and over
+``BROAD`` random subsets of it, each with three quarters of the terms, so every term is in some
+hash: documents of different kept sets differ in the first one, and documents that
+differ in a term or two agree on a broad subset (``matching``).
+
+For a finer measure the lexicon is also divided at random into ``2**level`` small subsets;
 for each of ``SUBSETS`` of them the document's kept terms in it are sorted and hashed.  Two
 documents agree on a subset if they have the same kept terms in it, so the share of
-agreeing subsets tells how alike they are, and equal texts agree on all.
+agreeing subsets tells how alike they are.  Only documents that agree on the whole
+lexicon have likeness 1.
 
 The level follows the number of kept terms, so that a subset holds one of them at most on average;
 a fingerprint has its own level and all higher ones until no subset is filled, so that any two
@@ -20,8 +26,11 @@ a document are in the band.  Everything is DataFrame expressions.
 
 Definitions: null text is empty; documents without terms have an empty fingerprint, which
 is like nothing but another empty one (1.0); if no term is in the band all terms count;
-repeated rows are fingerprinted each; null ids come first in id order; columns named
-like a result column are replaced; empty tables give empty results.
+repeated rows are fingerprinted each; null ids come first in id order; of columns named
+like the result column the new one stays, all others are carried as they are; a very long
+text is one row, whose distinct terms are one array in a task; empty tables give empty
+results.  Rows are named by id and text, never by their place in a scan, which
+changes with the number of executors.
 """
 
 from __future__ import annotations
@@ -37,6 +46,8 @@ from ledgerlens.llm.tables import stored
 MOST_SHARE = 0.25
 #: Subsets hashed per level; the lowest level has as many in all.
 SUBSETS = 32
+#: Broad subsets hashed besides the whole lexicon, and the bits of a term's hash that choose them.
+BROAD, BROAD_BITS = 4, 40
 LOWEST, HIGHEST = 5, 24
 
 SEPARATOR = r"[\x20\x09-\x0D]+"
@@ -92,10 +103,28 @@ def with_sample(df: DataFrame, kept: str, size: str, sample: str) -> DataFrame:
     return df.withColumn(size, F.size(kept)).withColumn(sample, _sampled(F.col(kept), _level(F.col(size))))
 
 
-def with_fingerprint(df: DataFrame, size: str, sample: str, out: str) -> DataFrame:
-    """``df`` with the fingerprint: ``level:hashes/level+1:hashes/...``, hashes joined by commas.
+def broad_hashes(terms: Column) -> Column:
+    """The hash of the sorted terms, a colon, and those of the broad subsets, joined by commas."""
+
+    def every(ordered: Column) -> Column:
+        of = lambda k: F.filter(ordered, lambda t: F.shiftright(t, BROAD_BITS + 2 * k).bitwiseAND(F.lit(3)) != 0)
+        code = lambda k: F.lpad(F.hex(F.hash(of(k)).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")
+        return F.concat(F.lpad(F.hex(F.xxhash64(ordered)), 16, "0"), F.lit(":"), F.concat_ws(",", *[code(k) for k in range(BROAD)]))
+
+    return _let(F.array_sort(terms), every)
+
+
+def matching(a: Column, b: Column) -> Column:
+    """Whether two fingerprints agree on the whole lexicon or on a broad subset."""
+    codes = lambda x: F.split(F.substring_index(F.substring_index(x, "|", 1), ":", -1), ",")
+    same = F.exists(F.arrays_zip(codes(a).alias("a"), codes(b).alias("b")), lambda p: p["a"] == p["b"])
+    return F.when((a == "") | (b == ""), (a == "") & (b == "")).otherwise((F.substring_index(a, ":", 1) == F.substring_index(b, ":", 1)) | same)
 
-    Each hash has the subset's number (two hex digits) and the hash of its sorted terms.
+
+def with_fingerprint(df: DataFrame, size: str, sample: str, broad: str, out: str) -> DataFrame:
+    """``df`` with the fingerprint: broad hashes, ``|``, ``level:hashes/level+1:hashes/...``, joined by commas.
+
+    Each small hash has the subset's number (two hex digits) and the hash of its sorted terms.
     The own level comes first; after the second, levels without hashes are left out.
     ``sample`` may have more terms than those of the level's subsets.
     """
@@ -115,20 +144,27 @@ def with_fingerprint(df: DataFrame, size: str, sample: str, out: str) -> DataFra
         return F.array_join(F.transform(filled, part), "/")
 
     own = _let(_level(F.col(size)), lambda level: F.struct(level.alias("level"), _sampled(F.col(sample), level).alias("low")))
-    return df.withColumn(out, F.when(F.col(size) > 0, _let(own, parts)).otherwise(""))
+    return df.withColumn(out, F.when(F.col(size) > 0, F.concat(broad, F.lit("|"), _let(own, parts))).otherwise(""))
+
+
+def with_kept_fingerprint(df: DataFrame, kept: str, out: str) -> DataFrame:
+    """``df`` with the fingerprint of its array of kept terms."""
+    steps = with_sample(df, kept, "_size", "_sample").withColumn("_broad", broad_hashes(F.col(kept)))
+    return with_fingerprint(steps, "_size", "_sample", "_broad", out).drop("_size", "_sample", "_broad")
 
 
 def _own_fingerprint(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """``df``, with the columns ``_common`` and ``_singles``, with the fingerprint of a counted text."""
     steps = df.withColumn("_terms", term_hashes(F.col(text_col))).withColumn("_kept", F.array_except(F.array_except("_terms", "_common"), "_singles"))
     steps = steps.withColumn("_kept", F.when(F.size("_kept") > 0, F.col("_kept")).otherwise(F.col("_terms")))
-    return with_fingerprint(with_sample(steps, "_kept", "_size", "_sample"), "_size", "_sample", out).drop("_terms", "_kept", "_size", "_sample")
+    return with_kept_fingerprint(steps, "_kept", out).drop("_terms", "_kept")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the subsets filled in either fingerprint that agree, at a common level.
+    """Share of the small subsets filled in either fingerprint that agree, at a common level.
 
-    That is the higher of both own levels; fingerprints of the same own level are also
+    Where the whole lexicon's hashes agree it is 1; else at most one half subset less
+    than 1, as the kept terms differ.  The level is the higher of both own levels; fingerprints of the same own level are also
     compared at the next, and the better counts.  A level left out has no hashes.
     """
     first = lambda x: F.substring_index(x, ":", 1).try_cast("int")
@@ -147,19 +183,24 @@ def likeness(a: Column, b: Column) -> Column:
         at = lambda level: _let(F.struct(hashes(pair["a"], level).alias("mine"), hashes(pair["b"], level).alias("yours")), share)
         return F.when(pair["x"] == pair["y"], F.greatest(at(pair["x"]), at(pair["x"] + 1))).otherwise(at(F.greatest(pair["x"], pair["y"])))
 
-    pair = F.struct(a.alias("a"), b.alias("b"), first(a).alias("x"), first(b).alias("y"))
-    return F.when(a == b, F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0)).otherwise(_let(pair, best))
+    fine = lambda x: F.substring_index(x, "|", -1)
+    pair = F.struct(fine(a).alias("a"), fine(b).alias("b"), first(fine(a)).alias("x"), first(fine(b)).alias("y"))
+    most = F.lit(1 - 1 / (2 * SUBSETS))
+    whole = F.substring_index(a, ":", 1) == F.substring_index(b, ":", 1)
+    return F.when((a == "") | (b == ""), (a == b).cast("double")).when(whole, F.lit(1.0)).otherwise(F.least(most, _let(pair, best)))
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fingerprint") -> DataFrame:
     """``docs`` with their fingerprints, by the terms of the same documents (both stored first)."""
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    terms = stored(in_band(term_counts(rows, ["_row"], text_col), rows), "terms")
+    carried = [c for c in docs.columns if c != out]
+    rows = docs.select(F.struct(*carried).alias("row") if carried else F.lit(None).alias("row"), F.col(text_col).alias("text"))
+    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    terms = stored(in_band(term_counts(rows, ["_row"]), rows), "terms")
     common = stored(common_terms(terms), "common")
     singles = terms.where("band = -1").groupBy("_row").agg(F.collect_list("term").alias("_singles"))
     known = rows.join(singles, "_row", "left").withColumn("_singles", F.coalesce("_singles", F.array().cast("array<bigint>")))
-    found = _own_fingerprint(known.withColumn("_common", common.scalar()), text_col, "_fingerprint").drop("_common", "_singles", "_row")
-    return found.withColumn(out, F.col("_fingerprint")).drop("_fingerprint")
+    found = _own_fingerprint(known.withColumn("_common", common.scalar()), "text", "_fingerprint")
+    return found.select(*[F.col("row")[c].alias(c) for c in carried], F.col("_fingerprint").alias(out))
 
 
 def _dealt(docs: DataFrame, id_col: str, parts: int | None = None) -> DataFrame:
@@ -176,10 +217,10 @@ def _dealt(docs: DataFrame, id_col: str, parts: int | None = None) -> DataFrame:
 def _guests(dealt: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
     """The first row of each range as a guest in the range before (of the first: in the last)."""
     firsts = dealt.groupBy("_range").agg(F.min(F.struct(F.col(id_col).isNotNull().alias("some"), F.col(id_col).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])).alias("first"))
-    firsts = stored(firsts, "firsts")  # one row per range
-    before = F.coalesce(F.lag("_range").over(Window.orderBy("_range")), F.lit(None))
+    firsts = stored(firsts, "firsts")  # one row per range; the window sees the ranges' numbers only
     last = firsts.agg(F.max("_range"))
-    return firsts.withColumn("_range", F.coalesce(before, last.scalar())).select("_range", F.lit(True).alias("_guest"), F.col("first.id").alias(id_col), *[F.col(f"first.c{i}").alias(c) for i, c in enumerate(columns)])
+    before = firsts.select("_range", F.coalesce(F.lag("_range").over(Window.orderBy("_range")), last.scalar()).alias("_to"))
+    return firsts.join(before, "_range").withColumn("_range", F.col("_to")).select("_range", F.lit(True).alias("_guest"), F.col("first.id").alias(id_col), *[F.col(f"first.c{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def _ahead(both: DataFrame, id_col: str, order: list[str], columns: list[str]) -> DataFrame:
@@ -206,19 +247,24 @@ def with_edited(docs: DataFrame, parts: int | None = None) -> DataFrame:
     shuffled once, together with their terms of one document only.  The edited text's terms
     are in the band if they are in the band of either text; words made by the cuts
     (two at most) are looked up, after which the level can only rise, so that a sample
-    of the other terms is enough.
+    of the other terms is enough; the broad hashes are made for either outcome.
+
+    A document is its id and text (by hash among those of one id): a term of one row only
+    belongs to an id and text that occur once, and rows that are the same are counted and
+    put back after the shuffle.
     """
-    # the row numbers of a scan are the same each time it runs
-    dealt = _dealt(docs.withColumn("_row", F.monotonically_increasing_id()), "doc_id", parts)
-    terms = stored(in_band(term_counts(dealt, ["_range", "_row"]), docs), "terms")
+    dealt = _dealt(docs.withColumn("_row", F.xxhash64("text")), "doc_id", parts)
+    terms = stored(in_band(term_counts(dealt, ["_range", "doc_id", "_row"]), docs), "terms")
     common = stored(common_terms(terms), "common")
     guests = _guests(dealt, "doc_id", ["text", "_row"])
-    singles = terms.where("band = -1").select("_range", F.lit(False).alias("_guest"), "_row", "term")
-    theirs = singles.join(guests.select("_row", F.col("_range").alias("_to")), "_row").select(F.col("_to").alias("_range"), F.lit(True).alias("_guest"), "_row", "term")
-    rows = dealt.withColumn("_guest", F.lit(False))
-    for more in (guests, singles, theirs):
+    singles = terms.where("band = -1").select("_range", F.lit(False).alias("_guest"), "doc_id", "_row", "term")
+    hosts = guests.select(F.col("doc_id").alias("_id"), F.col("_row").alias("_of"), F.col("_range").alias("_to"))
+    theirs = singles.join(hosts, (F.col("_row") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select(F.col("_to").alias("_range"), F.lit(True).alias("_guest"), "doc_id", "_row", "term")
+    rows = dealt.withColumn("_guest", F.lit(False)).unionByName(guests).withColumn("_copy", F.lit(1))
+    for more in (singles, theirs):
         rows = rows.unionByName(more, allowMissingColumns=True)
-    known = rows.repartition("_range").groupBy("_range", "_guest", "_row").agg(F.max("doc_id").alias("doc_id"), F.max("text").alias("text"), F.collect_list("term").alias("_singles"))
+    known = rows.repartition("_range").groupBy("_range", "_guest", "doc_id", "_row").agg(F.max("text").alias("text"), F.collect_list("term").alias("_singles"), F.count("_copy").alias("_copies"))
+    known = known.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy")).drop("_copies", "_copy")
     own = _own_fingerprint(known.withColumn("_common", common.scalar()), "text", "fingerprint")
     ahead = _ahead(own, "doc_id", ["text", "_row"], ["text", "fingerprint", "_singles"])
     n, half = F.char_length("text"), F.floor(F.char_length("text") / 2).cast("int")
@@ -229,6 +275,11 @@ def with_edited(docs: DataFrame, parts: int | None = None) -> DataFrame:
     edited = edited.withColumn("_kept", F.array_except("_known", "_new"))
     for name, kept in (("", "_kept"), ("_all", "_terms")):
         edited = with_sample(edited, kept, f"_size{name}", f"_sample{name}")
+    # for every choice of the new words: bit k of the choice has word k
+    chosen = lambda choice: F.filter(F.col("_new"), lambda t, k: F.get(F.array(*[F.floor(choice / 2**b) % 2 == 1 for b in range(2)]), k))
+    choices = F.sequence(F.lit(0), F.element_at(F.array(F.lit(0), F.lit(1), F.lit(3)), F.size("_new") + 1))
+    edited = edited.withColumn("_broads", F.transform(choices, lambda c: broad_hashes(F.concat("_kept", chosen(c)))))
+    edited = edited.withColumn("_broad_all", broad_hashes(F.col("_terms")))
     narrow = stored(
         edited.select(
             "doc_id",
@@ -240,7 +291,8 @@ def with_edited(docs: DataFrame, parts: int | None = None) -> DataFrame:
             "_new",
             "_size",
             "_sample",
-            *[F.when(F.col("_size") == 0, F.col(c)).alias(c) for c in ("_size_all", "_sample_all")],
+            "_broads",
+            *[F.when(F.col("_size") == 0, F.col(c)).alias(c) for c in ("_size_all", "_sample_all", "_broad_all")],
         ),
         "edited",
     )
@@ -249,8 +301,10 @@ def with_edited(docs: DataFrame, parts: int | None = None) -> DataFrame:
     both = narrow.join(inside, "_at", "left").withColumn("_inside", F.coalesce("_inside", F.array().cast("array<bigint>")))
     none = (F.col("_size") == 0) & (F.size("_inside") == 0)
     both = both.withColumn("_sample", F.when(none, F.col("_sample_all")).otherwise(F.concat("_sample", "_inside")))
+    choice = sum(F.coalesce(F.array_contains("_inside", F.get("_new", F.lit(k))), F.lit(False)).cast("int") * 2**k for k in range(2))
+    both = both.withColumn("_broad", F.when(none, F.col("_broad_all")).otherwise(F.get("_broads", choice)))
     both = both.withColumn("_size", F.when(none, F.col("_size_all")).otherwise(F.col("_size") + F.size("_inside")))
-    return with_fingerprint(both, "_size", "_sample", "edited_fingerprint").select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "next_fingerprint")
+    return with_fingerprint(both, "_size", "_sample", "_broad", "edited_fingerprint").select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "next_fingerprint")
 
 
 @query

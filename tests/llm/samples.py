@@ -67,5 +67,5 @@ def clashing(messy):
     """Extra columns with the names that operators use for theirs."""
     from pyspark.sql import functions as F
 
-    names = "id tag row home n meta part spans kept n_words hits matches score size target copies pass shard value one block keys host rule verdict band label turn".split()
+    names = "_id _tag _row _singles _score _terms _kept _common _range id tag row home n meta part spans kept n_words hits matches score size target copies pass shard value one block keys host rule verdict band label turn".split()
     return messy.withColumns({name: F.lit(f"own {name}") for name in names})

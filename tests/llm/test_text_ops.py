@@ -106,11 +106,60 @@ def test_fingerprints_follow_texts(messy, empty, clashing):
 
 
 def test_likeness(spark):
-    pairs = [("5:01aa,02bb/6:01aa", "5:01aa,02cc/6:01aa", 1.0), ("5:01aa,02bb", "5:01aa,02cc/6:09", 0.5), ("5:01aa", "6:01aa", 0.0), ("", "", 1.0), ("", "5:01aa", 0.0)]
+    most = 1 - 1 / (2 * imatch.SUBSETS)
+    pairs = [
+        ("w:1,2|5:01aa,02bb", "w:1,2|5:01aa,02bb", 1.0),
+        ("w:1,2|5:01aa,02bb/6:01aa", "v:1,3|5:01aa,02cc/6:01aa", most),  # agree at the next level, but other kept terms
+        ("w:1,2|5:01aa,02bb", "v:1,3|5:01aa,02cc/6:09", 0.5),
+        ("w:1,2|5:01aa", "v:4,3|6:01aa", 0.0),
+        ("", "", 1.0),
+        ("", "w:1,2|5:01aa", 0.0),
+    ]
     # hashes of other lengths do not matter; an equal level decides
     df = spark.createDataFrame(pairs, "a string, b string, want double")
     got = [(r.near, r.want) for r in df.withColumn("near", imatch.likeness(F.col("a"), F.col("b"))).collect()]
     assert all(x == y for x, y in got)
+    agree = [r.m for r in df.withColumn("m", imatch.matching(F.col("a"), F.col("b"))).collect()]
+    assert agree == [True, True, True, False, True, False]
+
+
+def test_rows_do_not_depend_on_splits(spark, monkeypatch):
+    """Files are split otherwise between the jobs, as when executors come or go."""
+    folder = "/root/testdata/sf0.01"
+    query = QUERIES["op4_imatch_fingerprints"]
+    want = sorted(map(tuple, query(spark, folder).collect()))
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old, stored, calls = [spark.conf.get(k) for k in keys], imatch.stored, []
+
+    def changed(df, label):
+        out = stored(df, label)
+        calls.append(label)
+        for k in keys:
+            spark.conf.set(k, str((100_000, 4_000_000)[len(calls) % 2]))
+        return out
+
+    monkeypatch.setattr(imatch, "stored", changed)
+    try:
+        got = sorted(map(tuple, query(spark, folder).collect()))
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v)
+    assert len(calls) > 3 and got == want
+
+
+def test_repeated_rows_and_broad_subsets(spark):
+    rows = [(1, "a b c d"), (1, "a b c d"), (1, "a b c"), (None, "a b x"), (None, "a b x"), (2, "b c only"), (3, "d b a"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text", F.coalesce("text", F.lit(""))).repartition(3)
+    got = imatch.with_edited(df, parts=3).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_chars) for r in got) == sorted((i is None, i or 0, len(t or "")) for i, t in rows)
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    prints = imatch.fingerprints(docs).select(F.array_sort(imatch.term_hashes(F.col("text"))).alias("terms"), "fingerprint")
+    found = prints.where("fingerprint <> ''").groupBy("fingerprint").agg(F.count_distinct("terms").alias("n"), F.collect_set("terms").alias("sets")).where("n > 1").collect()
+    counts = {r.term: r.docs for r in imatch.term_counts(docs, []).collect()}
+    most = max(2, docs.count() * imatch.MOST_SHARE)
+    for r in found:  # texts of one fingerprint have the same kept terms
+        assert len({tuple(t for t in terms if 2 <= counts[t] <= most) for terms in r.sets}) == 1
 
 
 def test_likeness_falls_with_the_overlap(spark):
@@ -120,7 +169,7 @@ def test_likeness_falls_with_the_overlap(spark):
     df = spark.createDataFrame(rows, "n int, a string, b string")
     for side in "ab":
         kept = df.withColumn("_kept", imatch.term_hashes(F.col(side)))
-        df = imatch.with_fingerprint(imatch.with_sample(kept, "_kept", "_size", "_sample"), "_size", "_sample", f"f{side}")
+        df = imatch.with_kept_fingerprint(kept, "_kept", f"f{side}").drop("_kept")
     got = {r.n: r.near for r in df.groupBy("n").agg(F.avg(imatch.likeness(F.col("fa"), F.col("fb"))).alias("near")).collect()}
     assert got[2048] == 1 and 0.6 < got[1500] < 0.85
     assert 0.38 < got[1000] < 0.6 and 0.15 < got[500] < 0.35 and 0.05 < got[250] < 0.2
@@ -175,7 +224,7 @@ def test_band_is_of_terms_however_many(spark):
     alone = [" ".join(sorted(words)) for words in _whole_lexicon(texts, texts)]
     want = spark.createDataFrame(list(enumerate(alone)), "doc_id long, text string")
     kept = want.withColumn("_kept", imatch.term_hashes(F.col("text")))
-    want = imatch.with_fingerprint(imatch.with_sample(kept, "_kept", "_size", "_sample"), "_size", "_sample", "f")
+    want = imatch.with_kept_fingerprint(kept, "_kept", "f")
     assert {r.doc_id: r.fingerprint for r in imatch.fingerprints(df).collect()} == {r.doc_id: r.f for r in want.collect()}
 
 
@@ -188,7 +237,7 @@ def test_op4_is_as_by_brute_force(spark):
     for column, of in (("fingerprint", texts), ("edited_fingerprint", edits)):
         alone = [(i, " ".join(sorted(words))) for (i, _), words in zip(rows, _whole_lexicon(texts, of))]
         kept = spark.createDataFrame(alone, "doc_id long, text string").withColumn("_kept", imatch.term_hashes(F.col("text")))
-        want = imatch.with_fingerprint(imatch.with_sample(kept, "_kept", "_size", "_sample"), "_size", "_sample", "f")
+        want = imatch.with_kept_fingerprint(kept, "_kept", "f")
         assert {i: r[column] for i, r in got.items()} == {r.doc_id: r.f for r in want.collect()}
 
 
