@@ -26,7 +26,8 @@ from ledgerlens.llm.decontam import decontaminate
 from ledgerlens.llm.mixing import mix
 from ledgerlens.llm.quality import GOOD, score, train
 from ledgerlens.llm.suffix_dedup import drop_repeats
-from ledgerlens.llm.tables import stored
+from ledgerlens.llm.tables import drop_table
+from ledgerlens.session import own_path
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,10 +76,19 @@ ORACLE_SQL = None
 
 @query
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each stored in the shared folder before the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each stored in the shared folder before the next.
+
+    A stage's table goes once the next one is stored; the last stage's input stays, as
+    the result reads it.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number + 1 < len(STAGES):
-            docs = stored(docs, f"stage{number}")
+            path = own_path(spark, "tables", f"stage{number}")
+            docs.write.parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
+            if before is not None:
+                drop_table(spark, before)
+            before = path
     return docs
