@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ TOKENIZERS, BYTE_BPE, PIECE_BPE = "/opt/tokenizers", "byte_bpe_50k.json", "piece
 #: Text bytes of a chunk, whose id pairs are counted together.
 CHUNK_BYTES = 8 << 20
 #: Segments that a task remembers, and nonzeros of a product that it expands at a time.
-REMEMBERED, EXPANDED = 200_000, 1 << 20
+REMEMBERED, EXPANDED = 400_000, 1 << 20
 
 
 # ---------------------------------------------------------------------------
@@ -201,7 +202,10 @@ class Segments:
 
     def __init__(self, folder: str):
         self.tokenizers = tokenizers(folder)
-        self.lengths = [np.array([len(t.bytes.get(i, b"")) for i in range(max(t.bytes) + 1)]) for t in self.tokenizers]
+        # by id: the bytes, their number, and the id as text
+        self.spelt = [[t.bytes.get(i, b"") for i in range(max(t.bytes) + 2)] for t in self.tokenizers]
+        self.lengths = [np.array(list(map(len, known))) for known in self.spelt]
+        self.names = list(map(str, range(max(map(len, self.spelt)))))
         self.forget()
 
     def forget(self) -> None:
@@ -215,20 +219,22 @@ class Segments:
         """Align segments that have not been met: their tokens, links and groups."""
         texts = [s.decode() for s in fresh]
         ids = [t.ids(texts) for t in self.tokenizers]
+        every = [list(chain.from_iterable(own)) for own in ids]
         good = np.ones(len(fresh), bool)
-        for t, own in zip(self.tokenizers, ids):
-            spelt = t.bytes
-            if b"".join([spelt.get(i, b"") for found in own for i in found]) != b"".join(fresh):
-                good &= [b"".join([spelt.get(i, b"") for i in found]) == s for found, s in zip(own, fresh)]
+        for own, all_, spelt in zip(ids, every, self.spelt):
+            if b"".join(map(spelt.__getitem__, all_)) != b"".join(fresh):
+                good &= [b"".join(map(spelt.__getitem__, found)) == s for found, s in zip(own, fresh)]
         at = np.flatnonzero(good)
-        length = np.array([len(s) for s in fresh])[at]
+        length = np.array(list(map(len, fresh)))[at]
         total = int(length.sum())
         flat, ends, owner = [], [], []
-        for own, size in zip(ids, self.lengths):
-            kept = own if len(at) == len(fresh) else [own[i] for i in at]
-            flat.append(np.array([i for found in kept for i in found], np.int64))
+        for k, (own, size) in enumerate(zip(ids, self.lengths)):
+            if len(at) < len(fresh):
+                own = [own[i] for i in at]
+                every[k] = list(chain.from_iterable(own))
+            flat.append(np.array(every[k], np.int64))
             ends.append(np.cumsum(size[flat[-1]]))
-            owner.append(np.repeat(at, [len(found) for found in kept]))
+            owner.append(np.repeat(at, np.array(list(map(len, own)), np.int64)))
         a, b = (incidence(e, total) for e in ends)
         links = product(a, b.transposed())
         per_a = np.diff(links.indptr)
@@ -247,8 +253,8 @@ class Segments:
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes[:, 3])])
         self.sizes = np.concatenate([self.sizes, sizes])
         sides = []
-        for found, where in zip(flat, in_group):
-            text, cut = list(map(str, found.tolist())), np.searchsorted(where.columns, np.arange(len(both) + 1)).tolist()
+        for all_, where in zip(every, in_group):
+            text, cut = list(map(self.names.__getitem__, all_)), np.searchsorted(where.columns, np.arange(len(both) + 1)).tolist()
             sides.append([",".join(text[x:y]) for x, y in zip(cut, cut[1:])])
         named = [f"{x}|{y}" for x, y in zip(*sides)]
         cut = np.concatenate([[0], np.cumsum(sizes[:, 2])]).tolist()
@@ -263,10 +269,10 @@ class Segments:
             at = [0, *cuts(np.frombuffer(whole, np.uint8)).tolist(), len(whole)] if data else [0]
             found.append([whole[x:y] for x, y in zip(at, at[1:])])
         known = self.number
-        fresh = [s for s in dict.fromkeys(s for one in found for s in one) if s not in known]
+        fresh = [s for s in dict.fromkeys(chain.from_iterable(found)) if s not in known]
         if fresh:
             self.learn(fresh)
-        return [np.fromiter((known[s] for s in one), np.int64, len(one)) for one in found]
+        return [np.array(list(map(known.__getitem__, one)), np.int64) for one in found]
 
 
 def groups_of(ends: list[np.ndarray], both: np.ndarray) -> list[Csr]:
@@ -298,7 +304,7 @@ def align(texts: list[bytes], segments: Segments) -> list[dict]:
         mine = slice(cut[i], cut[i + 1])
         sha = hashlib.sha256() if fine else None
         for begin in range(0, len(own), 10000):
-            sha.update((";" if begin else "").encode() + ";".join([segments.groups[j] for j in own[begin : begin + 10000].tolist()]).encode())
+            sha.update((";" if begin else "").encode() + ";".join(map(segments.groups.__getitem__, own[begin : begin + 10000].tolist())).encode())
         out.append({"n": figures[i].tolist(), "sha": sha.hexdigest() if fine else "", "pairs": pairs[key[mine] % many], "links": links[mine]})
     return out
 
