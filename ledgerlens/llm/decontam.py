@@ -198,11 +198,11 @@ def _longest(tests: Tests, test, pos, words, doc_of):
     return doc[keep], item[keep], pos[keep], test[keep], size[keep]
 
 
-def _scan(ids: list, texts: list, window: int, merge: bool, at: int):
+def _scan(ids: list, texts: list, window: int, merge: bool, field: int):
     def run(batches):
         tests = Tests(texts, window)
         names_of = np.array(ids, object)
-        for batch in K.chunks(K.with_texts(batches, at), "text", SHARD_BYTES):
+        for batch in K.chunks(K.with_texts(batches, field), "text", SHARD_BYTES):
             names, base = _word_names(*K.text_buffer(batch.column("text")))
             shard = SuffixArray(names, base, window) if len(names) else None
             doc_of = np.repeat(np.arange(batch.num_rows), np.diff(base))
