@@ -12,8 +12,8 @@ from functools import wraps
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-#: Bytes of an Arrow batch, where the session has Spark's default of 64 MB: a worker holds a few batches.
-BATCH_BYTES = "4m"
+#: Bytes of an Arrow batch, where the session has Spark's default of 64 MB: either side holds a few batches.
+BATCH_BYTES = "1m"
 
 
 def workers_import(spark) -> None:

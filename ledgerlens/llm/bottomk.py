@@ -276,7 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"),
         F.col(text_col).alias("text"),
     )
-    sketched = stored(keyed.mapInArrow(_sketch(shingle, q), _SKETCHED), "sketches")
+    sketched = stored(keyed.mapInArrow(K.tidy(_sketch(shingle, q)), _SKETCHED), "sketches")
     classes = stored(
         sketched.where("n > 0")
         .groupBy("one", "two")
@@ -296,11 +296,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("value", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "id", "tag", "one", "n", "keys", "sketch")
     )
     group = ["value", "i", "j"]
-    partnered = stored(members.repartition(n, *group).sortWithinPartitions(*group).mapInArrow(_partnered(percent, q), _MEMBER), "partnered")
+    partnered = stored(members.repartition(n, *group).sortWithinPartitions(*group).mapInArrow(K.tidy(_partnered(percent, q)), _MEMBER), "partnered")
     # merge: the texts are shuffled whatever their number, so that the plan is the same at every size
     texts = partnered.hint("merge").join(keyed, ["id", "tag"]).select(*_MEMBER.names, "text")
     edges = T.StructType([T.StructField("a", _VERTEX), T.StructField("b", _VERTEX)])
-    links = texts.repartition(n, *group).sortWithinPartitions(*group).mapInArrow(_confirmed(percent, shingle, q), edges)
+    links = texts.repartition(n, *group).sortWithinPartitions(*group).mapInArrow(K.tidy(_confirmed(percent, shingle, q)), edges)
     roots = components(links, "links").select("a.id", "a.one", F.col("root.id").alias("root"))
     of_class = classes.select("one", "two", "id").join(roots, ["id", "one"], "left").select("one", "two", F.coalesce("root", "id").alias("component"))
     return (

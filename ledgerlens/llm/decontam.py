@@ -278,7 +278,7 @@ def verbatim_matches(
     for b in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
         got = part.collect()  # at most about block_bytes: see blocks
-        now = now.mapInArrow(_scan([r["item"] for r in got], [r["text"] for r in got], window, b > 0, carried.index(text_col)), schema)
+        now = now.mapInArrow(K.tidy(_scan([r["item"] for r in got], [r["text"] for r in got], window, b > 0, carried.index(text_col))), schema)
         if b + 1 < blocks:
             now = stored(now, "decontam")
     return now.select(*[F.col("row")[c].alias(c) for c in carried if c not in results], *results)

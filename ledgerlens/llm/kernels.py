@@ -6,6 +6,10 @@ UTF-8 plus at least one document), so a task's memory does not follow its input.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 
@@ -99,6 +103,26 @@ def chunks(batches, column: str, limit: int = CHUNK_BYTES):
             begin = stop
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: an idle worker would keep what its last task needed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """A function of Arrow batches that gives its memory back when its partition ends."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 def with_texts(batches, at: int):
     """Batches of a struct column ``row`` with its field ``at`` as a column ``text`` (no copy)."""
     for batch in batches:

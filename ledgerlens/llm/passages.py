@@ -353,15 +353,15 @@ def repeated_spans(
         F.col(text_col).cast("string").alias("text"),
         F.struct(*[F.col(c) for c in others]).alias("row"),
     )
-    parts = keyed.select("id", "tag", "text").mapInArrow(_cut_chunks(method, n), _PARTS)
-    spans = parts.repartitionById(n, "part").mapInArrow(_resolve_part(method, n), _PARTS)
+    parts = keyed.select("id", "tag", "text").mapInArrow(K.tidy(_cut_chunks(method, n)), _PARTS)
+    spans = parts.repartitionById(n, "part").mapInArrow(K.tidy(_resolve_part(method, n)), _PARTS)
     schema = T.StructType([T.StructField(f.name, T.BinaryType() if f.name == "text" else f.dataType) for f in keyed.schema])
-    packed = keyed.mapInArrow(_compress_texts, schema)
+    packed = keyed.mapInArrow(K.tidy(_compress_texts), schema)
     left = spans.select(F.col("part").alias("home"), "n", F.col("meta").alias("text"))
     joined = packed.unionByName(left, allowMissingColumns=True).repartitionById(n, "home").sortWithinPartitions(F.col("n") < 0)
     kept = [T.StructField(text_col, T.StringType())] if keep_text and text_col not in names else []
     out = T.StructType([T.StructField("row", schema["row"].dataType), *kept, *fields])
-    result = joined.mapInArrow(_apply_spans(finish, out.names, bool(kept)), out)
+    result = joined.mapInArrow(K.tidy(_apply_spans(finish, out.names, bool(kept))), out)
     columns = [text_col if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c in others or c == text_col and kept]
     return result.select(*columns, *names)
 

@@ -135,14 +135,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = known.withColumn("turn", turn).where(F.col("turn") < int(part * share))
     # about sample_rows rows of three numbers: small by the bound on the sample
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(sample), "key")
-    sparse = rows.select("turn", "label", "text").mapInArrow(_sparse, "turn long, label int, places binary, freqs binary")
-    return bytes(sparse.repartition(1).mapInArrow(_train, "weights binary").first()["weights"])
+    sparse = rows.select("turn", "label", "text").mapInArrow(K.tidy(_sparse), "turn long, label int, places binary, freqs binary")
+    return bytes(sparse.repartition(1).mapInArrow(K.tidy(_train), "weights binary").first()["weights"])
 
 
 def _score(weights: bytes, at: int):
     def run(batches):
         w = np.frombuffer(weights, np.float32).astype(np.float64)
-        for batch in K.chunks(K.with_texts(batches, at), "text"):
+        for batch in K.chunks(K.with_texts(batches, at), "text", K.CHUNK_BYTES // 2):
             places, freqs, doc = features(*K.text_buffer(batch.column("text")))
             dot = np.bincount(doc, w[places] * freqs, minlength=batch.num_rows) + w[-1]
             score = 1 / (1 + np.exp(-np.clip(dot, -35, 35)))
@@ -156,7 +156,7 @@ def score(docs: DataFrame, weights: bytes, text_col: str = "text") -> DataFrame:
     carried = [c for c in docs.columns if c != "score" or c == text_col]
     row = T.StructType([docs.schema[c] for c in carried])
     schema = T.StructType([T.StructField("row", row), T.StructField("score", T.DoubleType())])
-    scored = docs.select(F.struct(*carried).alias("row")).mapInArrow(_score(weights, carried.index(text_col)), schema)
+    scored = docs.select(F.struct(*carried).alias("row")).mapInArrow(K.tidy(_score(weights, carried.index(text_col))), schema)
     return scored.select(*[F.col("row")[c].alias(c) for c in carried if c != "score"], "score")
 
 

@@ -373,7 +373,7 @@ def align_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     The texts' alignment runs when this is called and is stored.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_aligned(folder), _TEXT_SCHEMA)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(K.tidy(_aligned(folder)), _TEXT_SCHEMA)
     texts = stored(texts, "aligned")
     lists = texts.where("pairs is not null").select("chunk", F.posexplode(F.arrays_zip("pairs", "counts")).alias("place", "found"))
     rows = lists.select("chunk", F.col("place").cast("long").alias("place"), F.col("found.pairs").alias("pair"), F.col("found.counts").alias("links"))
@@ -427,7 +427,7 @@ def token_links(docs: DataFrame, kind: str = "overlap", id_col: str = "doc_id",
     if kind not in ("overlap", "group"):
         raise ValueError(f"unknown kind of links {kind!r}")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_link_rows(folder, kind), "doc_id long, a_pos long, b_pos long, a_id long, b_id long, shared long")
+    return rows.mapInArrow(K.tidy(_link_rows(folder, kind)), "doc_id long, a_pos long, b_pos long, a_id long, b_id long, shared long")
 
 
 @query

@@ -211,8 +211,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = known.where(F.col("label").isin(0, 1)).withColumn("turn", turn).where(F.col("turn") < share * part)
     # about toxic_rows + ordinary_rows rows of three numbers: small by the bound on the sample
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(sample), "key")
-    cut = rows.select("turn", "label", "text").mapInArrow(_blocks, "turn long, label int, text binary")
-    return bytes(cut.repartition(1).mapInArrow(_fit, "model binary").first()["model"])
+    cut = rows.select("turn", "label", "text").mapInArrow(K.tidy(_blocks), "turn long, label int, text binary")
+    return bytes(cut.repartition(1).mapInArrow(K.tidy(_fit), "model binary").first()["model"])
 
 
 def _score(model: bytes, at: int):
@@ -238,7 +238,7 @@ def score(docs: DataFrame, model: bytes, text_col: str = "text", score_col: str
     carried = [c for c in docs.columns if c != score_col or c == text_col]
     row = T.StructType([docs.schema[c] for c in carried])
     schema = T.StructType([T.StructField("row", row), T.StructField("score", T.DoubleType())])
-    scored = docs.select(F.struct(*carried).alias("row")).mapInArrow(_score(model, carried.index(text_col)), schema)
+    scored = docs.select(F.struct(*carried).alias("row")).mapInArrow(K.tidy(_score(model, carried.index(text_col))), schema)
     return scored.select(*[F.col("row")[c].alias(c) for c in carried if c != score_col], F.col("score").alias(score_col))
 
 
