@@ -5,16 +5,18 @@
   reshared by weight until none is above.
 * *Blocks.*  Each source's documents fall by hash into blocks.  A source gives whole
   passes over its blocks, then whole blocks in a permuted order up to its target, and of
-  one last block the documents that fill the rest.  That fixes an exact quota of block
-  draws for each source.
+  the blocks after them the documents that still fit, until nothing does (``_filled``).  That
+  fixes an exact quota of block draws for each source.
 * *Splitting tree.*  The quotas of all sources are divided between the two halves of
   the output shards by a multivariate-hypergeometric draw, and so on down to single
   shards: every shard gets an exact composition, close to the overall one.
 * *Draws.*  A source's block draws are permuted; the shards take disjoint stretches of
-  that order.  ``shard_order`` shuffles the documents inside a shard.
+  that order.  ``shard_order`` shuffles the documents inside a shard, and ``mix`` deals its
+  rows by shard and ranges of that order.
 
 Only one row per (source, block) and one number per (source, shard) is handled beside the
-documents; the documents themselves are joined with those, never gathered.  All choices
+documents; the documents themselves are joined with those, never gathered (a block that
+is filled one by one has its documents' sizes in one task, at most a ``MOST_BLOCKS``-th).  All choices
 are hashes of ids and the seed, so reruns agree.
 
 Definitions: the size is the number of words of the whole text (null: 0); a document
@@ -38,7 +40,7 @@ WEIGHTS = (3, 1, 2)
 #: Share of all words that the mix has; most passes over one source.
 TOTAL, MOST = 1.5, 2.0
 #: Documents of a block (about), and most blocks of a source.
-BLOCK_DOCS, MOST_BLOCKS = 64, 4096
+BLOCK_DOCS, MOST_BLOCKS = 64, 1 << 16
 SHARDS = 16
 SEED = 17
 
@@ -93,25 +95,55 @@ def targets(sized: DataFrame) -> DataFrame:
     return ranked.withColumn("target", F.least(cap, F.lit(level) * F.col("weight")) if weights > 0 else cap)
 
 
-def _pick(words: np.ndarray, order: np.ndarray, room: float) -> np.ndarray:
-    """Documents whose sizes come closest to ``room``: in hash order those that still
-    fit, then the one that helps most even if it exceeds it."""
+def _fill(words: np.ndarray, order: np.ndarray, room: float) -> np.ndarray:
+    """Documents that fit into ``room`` one after another, in hash order."""
     taken, left = np.zeros(len(words), bool), room
     for i in order:
         if words[i] <= left:
             taken[i] = True
             left -= words[i]
-    others = np.flatnonzero(~taken)
-    if len(others):
-        least = others[np.argmin(words[others])]
-        if abs(left - words[least]) < left:
-            taken[least] = True
     return taken
 
 
-def _pick_documents(group: pd.DataFrame) -> pd.DataFrame:
-    taken = _pick(group["words"].to_numpy(), np.argsort(group["turn"].to_numpy(), kind="stable"), float(group["room"].iloc[0]))
-    return group.loc[taken, ["place", "block", "id", "tag"]]
+def _fill_block(group: pd.DataFrame) -> pd.DataFrame:
+    taken = _fill(group["words"].to_numpy(), np.argsort(group["turn"].to_numpy(), kind="stable"), float(group["room"].iloc[0]))
+    return group.loc[taken, ["place", "block", "id", "tag", "words"]]
+
+
+_PICKED = "place long, block int, id long, tag long, words long"
+
+
+def _block_order(seed: int):
+    return Window.partitionBy("place").orderBy(F.xxhash64("place", "block", F.lit(seed)), "block")
+
+
+def _filled(rest: DataFrame, room: DataFrame, seed: int) -> DataFrame:
+    """Documents (place, block, id, tag, words) of ``rest`` that fill the rooms of the sources.
+
+    ``rest``: documents not taken yet in the last pass; ``room``: words left per source.  In
+    each round the documents that fit are summed by block; blocks go in their permuted
+    order as long as all their fitting documents have room, and the block after them is
+    filled one document after another.  What is left then is less than a document of
+    that block, so the next round has smaller rooms; the end is where nothing fits.  At last the
+    smallest document is taken where the excess is less than what is missing.
+    """
+    picks = None
+    while True:
+        left = room if picks is None else room.join(picks.groupBy("place").agg(F.sum("words").alias("got")), "place", "left").select("place", (F.col("room") - F.coalesce("got", F.lit(0))).alias("room"))
+        free = rest if picks is None else rest.join(picks, ["place", "block", "id", "tag"], "left_anti")
+        fit = free.join(left, "place").where((F.col("words") > 0) & (F.col("words") <= F.col("room")))
+        blocks = fit.groupBy("place", "block", "room").agg(F.sum("words").alias("in_block"))
+        blocks = stored(blocks.withColumn("upto", F.sum("in_block").over(_block_order(seed))).withColumn("start", F.col("upto") - F.col("in_block")), "room")
+        if blocks.isEmpty():
+            break
+        used = blocks.where("start < room").select("place", "block", (F.col("room") - F.col("start")).alias("room"), (F.col("upto") <= F.col("room")).alias("whole"))
+        chosen = fit.drop("room").join(used, ["place", "block"])
+        some = chosen.where("not whole").withColumn("turn", F.xxhash64("id", "tag", F.lit(seed + 2))).drop("whole")
+        more = chosen.where("whole").select("place", "block", "id", "tag", "words").unionByName(some.groupBy("place", "block").applyInPandas(_fill_block, _PICKED))
+        picks = stored(more if picks is None else picks.unionByName(more), "picks")
+    least = free.where("words > 0").groupBy("place").agg(F.min(F.struct("words", "id", "tag", "block")).alias("d"))
+    help_ = least.join(left, "place").where("d.words - room < room").select("place", "d.block", "d.id", "d.tag", "d.words")
+    return stored(help_ if picks is None else picks.unionByName(help_), "picks")
 
 
 def _tree(seed: int, shards: int):
@@ -140,7 +172,7 @@ def _tree(seed: int, shards: int):
 
 
 def plan(sized: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The sources with their targets, the block draws, and the documents of last blocks.
+    """The sources with their targets, the block draws, and the documents that fill the rest.
 
     ``sized``: id, tag, source, size (see ``keyed``), stored.  Draws: place, block, copies
     (pass, shard, whether only picked documents are meant).  Picks: place, block, id, tag.
@@ -153,15 +185,18 @@ def plan(sized: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[Data
         placed.groupBy("place", "block", "blocks", "passes", "target", "source_size").agg(F.sum("size").alias("words")),
         "blocks",
     )
-    order = Window.partitionBy("place").orderBy(F.xxhash64("place", "block", F.lit(seed)), "block")
     room = F.col("target") - F.col("passes") * F.col("source_size")
-    upto = F.sum("words").over(order)
-    state = sizes.withColumns({"room": room, "upto": upto}).withColumn("last", (F.col("upto") > F.col("room")) & (F.col("upto") - F.col("words") < F.col("room")))
-    again = state.where((F.col("upto") <= F.col("room")) | F.col("last")).where("room > 0")
+    state = stored(sizes.withColumns({"room": room, "upto": F.sum("words").over(_block_order(seed))}), "state")
+    again = state.where((F.col("upto") <= F.col("room")) & (F.col("room") > 0))
+    missing = again.groupBy("place").agg(F.max("upto").alias("got"))
+    missing = state.select("place", "room").distinct().join(missing, "place", "left").select("place", (F.col("room") - F.coalesce("got", F.lit(0))).alias("room")).where("room > 0")
+    rest = placed.join(again.select("place", "block"), ["place", "block"], "left_anti").groupBy("place", "block", "id", "tag").agg(F.sum("size").alias("words"))
+    picks = _filled(rest, stored(missing, "missing"), seed)
+    passes = sizes.select("place", "passes").distinct()
     draws = stored(
-        again.select("place", "block", F.col("passes").alias("pass"), "last", (F.col("room") - F.col("upto") + F.col("words")).alias("room")).unionByName(
-            sizes.where("passes > 0").select("place", "block", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)).alias("pass"), F.lit(False).alias("last"), F.lit(0.0).alias("room"))
-        ),
+        again.select("place", "block", F.col("passes").alias("pass"), F.lit(False).alias("last"))
+        .unionByName(picks.select("place", "block").distinct().join(passes, "place").select("place", "block", F.col("passes").alias("pass"), F.lit(True).alias("last")))
+        .unionByName(sizes.where("passes > 0").select("place", "block", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)).alias("pass"), F.lit(False).alias("last"))),
         "draws",
     )
     rank = F.row_number().over(Window.partitionBy("place").orderBy(F.xxhash64("place", "block", "pass", F.lit(seed + 1)), "block", "pass")) - 1
@@ -175,10 +210,7 @@ def plan(sized: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[Data
         .groupBy("place", "block")
         .agg(F.array_sort(F.collect_list(F.struct("pass", "shard", "last"))).alias("copies"))
     )
-    last = draws.where("last").select("place", "block", "room")
-    words = placed.join(last, ["place", "block"]).groupBy("place", "block", "room", "id", "tag").agg(F.sum("size").alias("words"))
-    picks = words.withColumn("turn", F.xxhash64("id", "tag", F.lit(seed + 2))).groupBy("place", "block").applyInPandas(_pick_documents, "place long, block int, id long, tag long")
-    return sources, stored(copies, "copies"), stored(picks, "picks")
+    return sources, stored(copies, "copies"), picks.select("place", "block", "id", "tag")
 
 
 def _placed(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
@@ -203,7 +235,8 @@ def with_copies(sized: DataFrame, planned: tuple[DataFrame, DataFrame, DataFrame
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mix itself: a row of ``docs`` for each time it is taken, with ``pass``, ``shard``
-    and ``shard_order``, the rows of a shard together and in its shuffled order."""
+    and ``shard_order``, the rows of a shard in partitions that follow one another, in its
+    shuffled order: its order is a hash, so equal ranges of it hold about equally many."""
     sized = stored(keyed(docs, id_col, text_col, source_col), "sized")
     planned = plan(sized, shards, seed)
     each = with_copies(sized, planned, seed).where(F.size("copies") > 0)
@@ -212,13 +245,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     others = [c for c in docs.columns if c not in ("pass", "shard", "shard_order")]
     rows = docs.select(*_key(id_col, text_col), F.struct(*others).alias("row"))
     taken = rows.join(each, ["id", "tag"]).select("row", F.explode("copies").alias("copy")).select("row.*", "copy.*")
-    return taken.sortWithinPartitions("shard", "shard_order")
+    ranges = -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
+    at = F.shiftright(F.col("shard_order"), 32) + (1 << 31)  # the upper half of the order, from 0
+    part = (F.col("shard") * ranges + F.shiftright(at * ranges, 32)).cast("int")
+    return taken.repartitionById(shards * ranges, part).sortWithinPartitions("shard", "shard_order")
 
 
 @query
 def op3_source_mixing(spark, sf_dir: str) -> DataFrame:
-    """Every document's size, its source's size and target, and the words taken."""
+    """Every document's size, its source's size and target, the words taken and the copies
+    (pass, shard and place in the shard's order) in which they are taken."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     sized = stored(keyed(docs), "sized")
     found = with_copies(sized, plan(sized))
-    return found.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.size("copies")).alias("taken"))
+    return found.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.size("copies")).alias("taken"), "copies")

@@ -5,6 +5,10 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from ledgerlens.llm import mixing
 from ledgerlens.llm.queries import QUERIES
@@ -55,7 +59,51 @@ def test_op3_meets_its_targets(spark):
     sizes, taken, exact = check(rows, lambda r: docs[r["doc_id"]].source)
     assert all(abs(taken[s] - exact[s]) <= 0.02 * exact[s] for s in sizes)
     again = [r.asDict() for r in QUERIES["op3_source_mixing"](spark, folder).collect()]
-    assert sorted(r["taken"] for r in again) == sorted(r["taken"] for r in rows)
+    key = lambda r: (r["doc_id"], r["taken"], [tuple(c) for c in r["copies"]])
+    assert sorted(map(key, again)) == sorted(map(key, rows))
+    assert all(len(r["copies"]) * r["size"] == r["taken"] for r in rows)
+
+
+@pytest.mark.parametrize("offset", [0, 1000, 77777])
+def test_the_rest_is_filled_over_all_blocks(spark, offset):
+    # 256 documents of 10 words and one of 3,400; target 8,940: 8,520 or 9,360 are the nearest
+    rows = [(offset + i, "w " * 10, "a") for i in range(256)] + [(offset + 256, "w " * 3400, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = stored(mixing.keyed(docs), "sized")
+    found = mixing.with_copies(sized, mixing.plan(sized))
+    taken = sum(r.size * len(r.copies) for r in found.collect())
+    assert abs(taken - 8940) <= 420
+
+
+def test_shards_lie_together_in_their_order(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 4)  # many block draws per shard, so that compositions can be compared
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    mixed = mixing.mix(docs).select("doc_id", "text", "source", "shard", "shard_order", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+    rows = mixed.orderBy("at").collect()
+    assert [(r.shard, r.shard_order) for r in rows] == sorted((r.shard, r.shard_order) for r in rows)
+    parts = defaultdict(set)
+    for r in rows:
+        parts[r.part].add(r.shard)
+    assert all(len(s) == 1 for s in parts.values())
+    # the tree decides: a shard's rows are those of the blocks that its quotas give it
+    sized = stored(mixing.keyed(docs), "sized")
+    one, many = (mixing.with_copies(sized, mixing.plan(sized, shards)).collect() for shards in (1, 16))
+    assert {c.shard for r in one for c in r.copies} == {0} and {c.shard for r in many for c in r.copies} == set(range(16))
+    assert sum(r.size * len(r.copies) for r in one) == sum(r.size * len(r.copies) for r in many)
+    sizes = [sum(r.shard == s for r in rows) for s in range(16)]
+    assert min(sizes) > 0.4 * max(sizes)
+
+
+def test_tree_divides_exact_quotas():
+    """Every draw goes to one shard, shards differ by a draw per level at most, stretches are disjoint."""
+    draws = [5, 1, 0, 200, 33]
+    got = mixing._tree(17, 16)(pd.DataFrame({"place": range(5), "draws": draws}))
+    assert got.groupby("place")["quota"].sum().to_dict() == {p: n for p, n in enumerate(draws) if n}
+    sizes = got.groupby("shard")["quota"].sum()
+    assert set(sizes.index) == set(range(16)) and sizes.max() - sizes.min() <= 4
+    for p, n in enumerate(draws):
+        mine = got[got["place"] == p].sort_values("first")
+        assert [x for f, q in zip(mine["first"], mine["quota"]) for x in range(f, f + q)] == list(range(n))
 
 
 def test_mix_of_messy_rows(messy, empty, clashing):
