@@ -110,7 +110,9 @@ def judge(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
     model = stored(_model(base.select(verdict.alias("verdict"), chars.alias("chars"))), "url-model")
     # distinct texts are dealt into a set number of parts: they are few bytes, their grams 31 times as many
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = base.select(text.alias("text")).distinct().repartition(parts, "text").select(F.md5(F.col("text").cast("binary")).alias("_key"), F.filter(F.split("text", ""), lambda c: c != "").alias("chars"))
+    texts = base.select(text.alias("text")).distinct().select("text", F.md5(F.col("text").cast("binary")).alias("_key"))
+    # by the key: dealt by the text itself, Spark would take the distinct step's few large partitions
+    texts = texts.repartition(parts, "_key").select("_key", F.filter(F.split("text", ""), lambda c: c != "").alias("chars"))
     grams_of = texts.select("_key", F.size("chars").alias("n"), F.explode_outer(grams(F.col("chars"))).alias("gram")).where("gram is not null")
     sums = grams_of.join(model, "gram").groupBy("_key").agg((F.sum("weight").cast("double") / F.first("n")).alias("_score"))
     scores = stored(sums, "url-scores")
