@@ -2,27 +2,38 @@
 
 The standard library's streaming parser turns a page into a row of lines, one for each
 block of text, each with its number of characters outside links and of tags since the
-line before.  The text-to-tag ratios of the lines are smoothed with a Gaussian and split
-into two clusters by a threshold (the standard deviation of the smoothed ratios); runs
-of lines above it are content regions.  A region inside a landmark (``article`` or
-``main``) stands for all lines of that landmark; without landmarks a page's text reaches
-from its first content line to its last.
-
-Lines inside page furniture never count: menus, headers and footers of the page,
-sidebars, notices, adverts, forms, scripts, styles and reader comments, recognised by
-element, role or class (fixed lists below).
+line before.  The text-to-tag ratios are weighed (lines of page furniture by 0, lines in
+``article`` or ``main`` by 2), smoothed with a Gaussian and split into two clusters by a
+threshold, the standard deviation of the smoothed ratios.  The lines above it decide where
+the text is:
+
+* the region is the smallest element that holds four fifths of the upper cluster's
+  characters, widened to its parents as long as these add no furniture;
+* a line of the region stays if it is in the upper cluster, is a heading or has no more text
+  inside links than outside;
+* lines of the upper cluster that adjoin the region, with no furniture between, stay too;
+* at both ends, lines with more text inside links than outside go, but for headings.
+
+Landmarks and furniture only weigh: a page whose ``article`` is a ``div`` goes the same way.
+Furniture is menus, headers and footers of the page, sidebars, notices, adverts, forms,
+scripts, styles and reader comments, known by element, role or class (fixed lists below).
+A class counts only as a whole: ``ad`` or ``comment-list``, not ``share-price``.
 
 Definitions: null html is empty and gives an empty text; character references are
 decoded; white space inside a block becomes one space; blocks are joined by one line
-feed; unclosed and stray tags are tolerated; repeated rows are extracted each; columns
-named like a result column are replaced; empty tables give empty results.
+feed; unclosed and stray tags are tolerated; a very long page is parsed piece by piece and
+its lines are held by one worker; of lines with equal ratios all or none are above the
+threshold; repeated rows are extracted each; columns named like a result column are
+replaced; empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -42,98 +53,127 @@ WORDS = {
     "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "share", "sharing",
     "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar",
 }
+#: Words that only say which part or place of the page a class stands for.
+PLACES = {
+    "area", "bar", "block", "bottom", "box", "container", "content", "form", "global", "group", "inner", "item", "left",
+    "links", "list", "main", "outer", "page", "primary", "reader", "right", "secondary", "section", "site", "top", "user",
+    "widget", "wrap", "wrapper",
+}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dir", "div", "dl",
     "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header",
     "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary",
     "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul",
 }
+#: Blocks whose own text belongs to the element around them.
+LEAVES = {
+    "address", "caption", "dd", "dt", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "legend", "li", "option", "p", "pre",
+    "summary", "td", "th",
+}
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+NOT_P = BLOCKS - {"p"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Elements that a new one of the group closes, up to the named container.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
 #: Standard deviation of the smoothing, in lines.
 SIGMA = 1.0
+#: Weight of the ratio of a line in a landmark (furniture weighs 0).
+RAISED = 2.0
+#: Share of the upper cluster's characters that the region's element holds.
+HELD = 0.8
 #: Characters given to the parser at a time.
 PIECE = 1 << 16
 
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+class Line(NamedTuple):
+    """A block of text, its characters in and outside links, its tags and where it lies."""
+
+    text: str
+    plain: int
+    linked: int
+    tags: int
+    furniture: bool
+    landmark: bool
+    place: int  # number of the element that holds the block
+    heading: bool = False
+
+    @property
+    def of_links(self) -> bool:
+        return self.linked > self.plain and not self.heading
+
+
+class _Open(NamedTuple):
+    tag: str
+    furniture: bool
+    landmark: bool
+    place: int
+
+
 class _Lines(HTMLParser):
-    """Collects (text, characters outside links, tags, furniture, landmark) per block."""
+    """Collects the lines of a page; ``parents[place]`` is the element around an element."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, int]] = []
-        self.stack: list[tuple[str, bool, int]] = []  # element, in furniture, landmark number
+        self.lines: list[Line] = []
+        self.parents: list[int] = [-1]
+        self.stack: list[_Open] = []
+        self.open: Counter[str] = Counter()
         self.parts: list[str] = []
-        self.plain = self.tags = self.links = self.landmarks = 0
+        self.plain = self.linked = self.tags = 0
 
-    def _where(self) -> tuple[bool, int]:
-        return self.stack[-1][1:] if self.stack else (False, 0)
+    def _here(self) -> _Open:
+        return self.stack[-1] if self.stack else _Open("", False, False, 0)
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            hidden, landmark = self._where()
-            self.lines.append((text, self.plain, self.tags, hidden, landmark))
+            here = self._here()
+            heading = any(self.open[tag] for tag in HEADINGS)
+            self.lines.append(Line(text, self.plain, self.linked, self.tags, here.furniture, here.landmark, here.place, heading))
             self.tags = 0
-        self.parts, self.plain = [], 0
+        self.parts, self.plain, self.linked = [], 0, 0
 
     def _pop_to(self, at: int) -> None:
-        if any(tag in BLOCKS for tag, _, _ in self.stack[at:]):
+        if any(e.tag in BLOCKS for e in self.stack[at:]):
             self.flush()
-        self.links -= sum(tag == "a" for tag, _, _ in self.stack[at:])
+        self.open.subtract(e.tag for e in self.stack[at:])
         del self.stack[at:]
 
+    def _close(self, tags: set[str], within: set[str]) -> None:
+        """Close the innermost of ``tags`` that is open inside ``within``."""
+        if not any(self.open[tag] for tag in tags):
+            return
+        for at in range(len(self.stack) - 1, -1, -1):
+            if self.stack[at].tag in tags:
+                self._pop_to(at)
+                return
+            if self.stack[at].tag in within:
+                return
+
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             self.flush()
-            for at in range(len(self.stack) - 1, -1, -1):  # an open paragraph ends here
-                if self.stack[at][0] == "p":
-                    self._pop_to(at)
-                    break
-                if self.stack[at][0] in BLOCKS:
-                    break
+            self._close({"p"}, NOT_P)
         if tag in CLOSES:
-            closes, within = CLOSES[tag]
-            for at in range(len(self.stack) - 1, -1, -1):
-                if self.stack[at][0] in closes:
-                    self._pop_to(at)
-                    break
-                if self.stack[at][0] in within:
-                    break
+            self._close(*CLOSES[tag])
         self.tags += 1
         if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
             return
-        hidden, landmark = self._where()
-        furniture = self._furniture(tag, attrs, landmark)
-        if furniture != hidden and furniture:
+        here = self._here()
+        furniture = here.furniture or _is_furniture(tag, attrs, here.landmark)
+        if furniture != here.furniture:
             self.flush()
-        if tag in LANDMARKS and not hidden and not furniture:
-            self.landmarks += 1
-            landmark = self.landmarks if not landmark else landmark
-        self.stack.append((tag, hidden or furniture, landmark))
-        self.links += tag == "a"
-
-    def _furniture(self, tag: str, attrs, landmark: int) -> bool:
-        if tag in ("html", "body") or tag in LANDMARKS:
-            return False
-        if tag in NEVER or tag == "header" and not landmark:
-            return True
-        for key, value in attrs:
-            if key == "hidden" or key == "aria-hidden" and value == "true":
-                return True
-            if key == "role" and value in ROLES:
-                return True
-            if key in ("class", "id") and value:
-                words = _SPLIT.split(value.lower())
-                if not WORDS.isdisjoint(words) or "header" in words and not landmark:
-                    return True
-        return False
+        place = here.place
+        if tag in BLOCKS and tag not in LEAVES:
+            place = len(self.parents)
+            self.parents.append(here.place)
+        self.stack.append(_Open(tag, furniture, here.landmark or tag in LANDMARKS and not furniture, place))
+        self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -142,31 +182,56 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                if self.stack[at][1] != (self.stack[at - 1][1] if at else False):
-                    self.flush()
-                self._pop_to(at)
-                return
-        if tag in BLOCKS:
+        if not self.open[tag]:
+            if tag in BLOCKS:
+                self.flush()
+            return
+        at = len(self.stack) - 1
+        while self.stack[at].tag != tag:
+            at -= 1
+        if self.stack[at].furniture != (self.stack[at - 1].furniture if at else False):
             self.flush()
+        self._pop_to(at)
 
     def handle_data(self, data):
-        if self.stack and self.stack[-1][1]:
-            self.parts.append(data)
-            return
         self.parts.append(data)
-        if not self.links:
+        if self.open["a"]:
+            self.linked += len(data.strip())
+        else:
             self.plain += len(data.strip())
 
 
-def lines_of(html: str) -> list[tuple[str, int, int, bool, int]]:
+def _is_furniture(tag: str, attrs, landmark: bool) -> bool:
+    if tag in ("html", "body") or tag in LANDMARKS:
+        return False
+    if tag in NEVER or tag == "header" and not landmark:
+        return True
+    for key, value in attrs:
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in ROLES:
+            return True
+        if key in ("class", "id") and value:
+            for name in value.lower().split():
+                words = set(filter(None, _SPLIT.split(name)))
+                telling = words & WORDS if landmark else words & (WORDS | {"header"})
+                if telling and words <= telling | PLACES:
+                    return True
+    return False
+
+
+def lines_of(html: str) -> tuple[list[Line], list[int]]:
+    """A page's lines, and the parents of its elements."""
     parser = _Lines()
     for at in range(0, len(html), PIECE):
         parser.feed(html[at : at + PIECE])
     parser.close()
     parser.flush()
-    return parser.lines
+    return parser.lines, parser.parents
+
+
+def ratio(line: Line) -> float:
+    """The weighed text-to-tag ratio."""
+    weight = 0.0 if line.furniture else RAISED if line.landmark else 1.0
+    return weight * line.plain / max(1, line.tags)
 
 
 def smoothed(ratios: list[float], sigma: float = SIGMA) -> list[float]:
@@ -181,24 +246,52 @@ def smoothed(ratios: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
-def main_text(html: str | None) -> str:
-    """The main text of one page."""
-    lines = lines_of(html or "")
-    ratios = [0.0 if hidden else plain / max(1, tags) for _, plain, tags, hidden, _ in lines]
-    smooth = smoothed(ratios)
-    if not smooth:
-        return ""
+def upper_cluster(lines: list[Line]) -> list[bool]:
+    """Whether each line's smoothed ratio reaches the threshold; furniture never does."""
+    smooth = smoothed([ratio(line) for line in lines])
+    if not smooth or max(smooth) == 0:
+        return [False] * len(lines)
     mean = sum(smooth) / len(smooth)
     threshold = min(math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth)), max(smooth))
-    content = [i for i, (x, r) in enumerate(zip(smooth, ratios)) if x >= threshold and r > 0]
-    if not content:
+    return [x >= threshold and not line.furniture for x, line in zip(smooth, lines)]
+
+
+def region_of(lines: list[Line], parents: list[int], upper: list[bool]) -> list[bool]:
+    """Whether each element lies in the region that the upper cluster chooses."""
+    mass, furniture = [0] * len(parents), [0] * len(parents)
+    for line, up in zip(lines, upper):
+        mass[line.place] += up * max(1, line.plain)
+        furniture[line.place] += line.furniture
+    for place in range(len(parents) - 1, 0, -1):  # an element is numbered after its parent
+        mass[parents[place]] += mass[place]
+        furniture[parents[place]] += furniture[place]
+    root = max(place for place in range(len(parents)) if mass[place] >= HELD * mass[0])
+    while root and furniture[parents[root]] == furniture[root]:
+        root = parents[root]
+    inside = [False] * len(parents)
+    for place in range(root, len(parents)):
+        inside[place] = place == root or parents[place] >= 0 and inside[parents[place]]
+    return inside
+
+
+def main_text(html: str | None) -> str:
+    """The main text of one page."""
+    lines, parents = lines_of(html or "")
+    upper = upper_cluster(lines)
+    if not any(upper):
         return ""
-    landmarks = {lines[i][4] for i in content} - {0}
-    if landmarks:
-        chosen = [line[0] for line in lines if line[4] in landmarks and not line[3]]
-    else:
-        chosen = [line[0] for line in lines[content[0] : content[-1] + 1] if not line[3]]
-    return "\n".join(chosen)
+    inside = region_of(lines, parents, upper)
+    region = [inside[line.place] and not line.furniture for line in lines]
+    kept = [r and (up or not line.of_links) for r, up, line in zip(region, upper, lines)]
+    for order in (range(1, len(lines)), range(len(lines) - 2, -1, -1)):
+        for i in order:
+            kept[i] = kept[i] or upper[i] and kept[i - order.step]
+    for order in (range(len(lines)), range(len(lines) - 1, -1, -1)):
+        for i in order:
+            if kept[i] and not lines[i].of_links:
+                break
+            kept[i] = False
+    return "\n".join(line.text for line, k in zip(lines, kept) if k)
 
 
 def _extract(batches):

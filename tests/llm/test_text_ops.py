@@ -304,6 +304,66 @@ def test_pages():
     assert text("<article><p>cut off in the mid") == "cut off in the mid"
 
 
+PROSE = "A sentence of the article that goes on for a while, as sentences do. "
+
+
+def test_clusters_decide_without_landmarks(spark):
+    html = [r.html or "" for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    whole = [html_extract.main_text(h) for h in html]
+    assert all(whole)
+    for plain in (("<div>", "</div>"), ("<section class=x1>", "</section>"), ("", "")):
+        bare = [html_extract.main_text(h.replace("<article>", plain[0]).replace("</article>", plain[1])) for h in html]
+        assert sum(map(len, bare)) >= 0.95 * sum(map(len, whole))
+        assert sum(a == b for a, b in zip(whole, bare)) >= 0.95 * len(whole)
+
+
+def test_elements_without_known_names():
+    text = html_extract.main_text
+    links = "<div class=x9>" + "".join(f"<a href={i}>Elsewhere {i}</a> " for i in range(9)) + "</div>"
+    body = f"<div><h2>Head</h2><p>{PROSE * 5}</p><p>{PROSE * 3}</p><p>Short end.</p></div>"
+    expected = "Head\n" + "\n".join([(PROSE * 5).strip(), (PROSE * 3).strip(), "Short end."])
+    assert text(f"<body><nav><a>m</a></nav>{links}{body}{links}<footer>f</footer></body>") == expected
+    parts = f"<div><h1>Top</h1><section><h2>One</h2><p>{PROSE * 5}</p></section><section><h2>Two</h2><p>{PROSE * 4}</p><p>End.</p></section></div>"
+    got = text(f"<body><nav><a>m</a></nav>{links}{parts}<footer>f</footer></body>").split("\n")
+    assert (got[0], got[1], got[3], got[-1]) == ("Top", "One", "Two", "End.")
+    assert text(f"<article><p>{PROSE}</p><p><a href=x>Linked line</a></p><p>{PROSE}</p></article>").split("\n")[1] == "Linked line"
+
+
+def test_class_names_count_as_a_whole():
+    page = f'<body><article><p class="share-price">12.30</p><section id="related-work"><p>{PROSE}</p></section><p>{PROSE}</p><p class="comment-list">No</p><div class="x ads">No</div></article></body>'
+    assert html_extract.main_text(page) == "\n".join(["12.30", PROSE.strip(), PROSE.strip()])
+
+
+def test_ratios_smoothing_threshold_against_brute_force():
+    rng = random.Random(5)
+    for _ in range(200):
+        lines = [
+            html_extract.Line("x", rng.choice([0, 3, 40, 900]), 0, rng.randint(0, 6), rng.random() < 0.2, rng.random() < 0.5, 0)
+            for _ in range(rng.randint(1, 30))
+        ]
+        weighed = []
+        for line in lines:
+            r = line.plain / (line.tags or 1)
+            weighed.append(0 if line.furniture else 2 * r if line.landmark else r)
+        smooth = []
+        for i in range(len(lines)):
+            near = [j for j in range(len(lines)) if abs(i - j) <= 3]
+            bells = [2.718281828459045 ** (-((i - j) ** 2) / 2) for j in near]
+            smooth.append(sum(w * weighed[j] for w, j in zip(bells, near)) / sum(bells))
+        mean = sum(smooth) / len(smooth)
+        spread = (sum((x - mean) ** 2 for x in smooth) / len(smooth)) ** 0.5
+        if any(abs(x - spread) < 1e-9 for x in smooth):
+            continue
+        expected = [max(smooth) > 0 and x >= min(spread, max(smooth)) and not line.furniture for x, line in zip(smooth, lines)]
+        assert html_extract.upper_cluster(lines) == expected
+
+
+def test_deep_and_stray_tags():
+    deep = "<b>" * 20000 + "".join("<p>ab</p></i></u>" for _ in range(20000))
+    assert html_extract.main_text(deep) == "\n".join(["ab"] * 20000)
+    assert html_extract.main_text("<div>" * 20000 + PROSE) == PROSE.strip()
+
+
 def test_extract_keeps_columns(spark):
     pages = spark.createDataFrame([(1, None, "<article><p>a b</p></article>", "own"), (2, "u", None, "own")], "page_id long, url string, html string, text string")
     got = {r.page_id: (r.url, r.text) for r in html_extract.extract(pages).collect()}
