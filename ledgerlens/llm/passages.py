@@ -10,8 +10,9 @@ token is and in how a bucket compares windows.
   strings in one chunk only those of the smallest document travel; the others are
   known to be repeats at once.  A passage that a third of all documents share
   therefore sends one string per chunk to its bucket, not one per document.
-* ``resolve`` in the bucket drops seeds of a single document, settles strings that
-  are equal as a whole, and hands only the rest to the operator window by window.
+* ``resolve`` in the bucket drops seeds of a single document and strings whose seed has
+  no equal context in another document, settles strings that are equal as a whole, and
+  hands only the rest to the operator window by window.
 * Spans travel to the partition of their document as packed arrays and are merged
   there with the texts, chunk by chunk.
 
@@ -141,8 +142,10 @@ class Method:
     cut: Callable
     #: (packed bytes, offsets of the strings) -> (token values, first token of each string)
     read: Callable
-    #: token values -> seed name at each of the given token positions
-    seed: Callable
+    #: tokens of a seed
+    size: int
+    #: token values -> seed name from each token on (without the last ones, which are too short)
+    seeds: Callable
     #: (token values, first token, windows, owner ids, seed) -> least id per window
     least: Callable
 
@@ -214,9 +217,12 @@ def _resolve_part(method: Method, n_parts: int):
                 raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
                 values, first = method.read(raw, np.concatenate([[0], np.cumsum(size, dtype=np.int64)]))
                 first, length = first[:-1], windows.astype(np.int64) + method.window - 1
-                names = [K.slice_names(_as_values(values, w), first, first + length, w) for w in (0, 1)]
+                seeds = method.seeds(values)
+                seed = seeds[first + at]
+                names, contexts = _names(method, values, first, length, at)
+                several = np.add.reduceat(seeds == np.repeat(seed, length)[: len(seeds)], first, dtype=np.int32) > 1
                 held.append((values, first, windows))
-                known.append((ids, tags, starts, windows, at, method.seed(values, first + at), *names))
+                known.append((ids, tags, starts, windows, at, seed, *names, *contexts, several))
             if len(ready) > 256:
                 yield _rows(ready)
                 ready = []
@@ -224,7 +230,7 @@ def _resolve_part(method: Method, n_parts: int):
             yield _rows(ready)
         if not held:
             return
-        *whose, seed, name, other = (np.concatenate(c) for c in zip(*known))
+        *whose, seed, name, other, left, right, several = (np.concatenate(c) for c in zip(*known))
         del known
         s = Strings(*whose)
         number = np.cumsum([0] + [len(h[1]) for h in held])
@@ -236,7 +242,7 @@ def _resolve_part(method: Method, n_parts: int):
                 [h[0][K.ragged(h[1][at], h[2][at].astype(np.int64) + method.window - 1)] for h, low, a, b in zip(held, number, cuts, cuts[1:]) for at in [wanted[a:b] - low]]
             )
 
-        for found in _resolve(method, s, tokens, seed, name, other):
+        for found in _resolve(method, s, tokens, seed, name, other, left, right, several):
             for i in range(0, len(found[0]), 1 << 20):
                 rows = _span_rows(*(f[i : i + (1 << 20)] for f in found), n_parts)
                 if rows:
@@ -245,12 +251,51 @@ def _resolve_part(method: Method, n_parts: int):
     return run
 
 
+#: The context of a seed that is too near the string's end to have one.
+_SHORT = np.uint64(0)
+
+
+def _names(method: Method, values: np.ndarray, first: np.ndarray, length: np.ndarray, at: np.ndarray):
+    """Two names of each string, and the names of its seed's context to the left and right.
+
+    A window leaves ``window - size`` tokens around its seed, so on one side at least
+    ``reach``, half of them.  Equal windows therefore agree in ``reach`` tokens on a side.
+    """
+    reach, n = (method.window - method.size + 1) // 2, len(first)
+    begin = first + at
+    after = begin + method.size
+    low = np.concatenate([first, np.maximum(begin - reach, first), after])
+    high = np.concatenate([first + length, begin, np.minimum(after + reach, first + length)])
+    one, left, right = np.split(K.slice_names(_as_values(values, 0), low, high), [n, 2 * n])
+    two = K.slice_names(_as_values(values, 1), first, first + length, 1)
+    return (one, two), (np.where(at >= reach, left | np.uint64(1), _SHORT), np.where(at + method.size + reach <= length, right | np.uint64(1), _SHORT))
+
+
+def _meets(seed: np.ndarray, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether a string of another document has the same seed with the same context."""
+    out = np.zeros(len(seed), bool)
+    rows = np.flatnonzero(context != _SHORT)
+    if not len(rows):
+        return out
+    key = K.mix(K.mix(seed[rows]) + context[rows])
+    order = np.argsort(key)
+    at = np.flatnonzero(K.group_starts(key[order]))
+    who = ids[rows][order]
+    low, high = np.minimum.reduceat(who, at), np.maximum.reduceat(who, at)
+    out[rows[order]] = np.repeat(low != high, np.diff(np.append(at, len(order))))
+    return out
+
+
 def _as_values(values: np.ndarray, which: int) -> np.ndarray:
     return K.BYTE_NAMES[which][values] if values.dtype == np.uint8 else values
 
 
-def _resolve(method: Method, s: Strings, tokens, seed, name, other):
-    """Spans (ids, tags, starts, stops) of the windows that a smaller id has too."""
+def _resolve(method: Method, s: Strings, tokens, seed, name, other, left, right, several):
+    """Spans (ids, tags, starts, stops) of the windows that a smaller id has too.
+
+    ``several``: strings that hold their seed more than once.  Which of its places stands
+    for a window is then a matter of chance, so all strings of such a seed are compared.
+    """
     cover = method.window - 1
     # 1. seeds of one document only repeat nothing
     order = np.argsort(seed, kind="stable")
@@ -260,7 +305,13 @@ def _resolve(method: Method, s: Strings, tokens, seed, name, other):
     alive = order[np.repeat(low != high, np.diff(np.append(at, len(order))))]
     if not len(alive):
         return
-    # 2. strings that are equal as a whole
+    # 2. strings whose seed has no equal context in another document repeat nothing either
+    at = np.flatnonzero(K.group_starts(seed[alive]))
+    unclear = np.repeat(np.logical_or.reduceat(several[alive], at), np.diff(np.append(at, len(alive))))
+    alive = alive[unclear | _meets(seed[alive], left[alive], s.id[alive]) | _meets(seed[alive], right[alive], s.id[alive])]
+    if not len(alive):
+        return
+    # 3. strings that are equal as a whole
     least, group = _least_of_groups((seed[alive], name[alive], other[alive]), s.id[alive])
     whole = s.id[alive] > least
     w = s.take(alive[whole])
@@ -277,7 +328,7 @@ def _resolve(method: Method, s: Strings, tokens, seed, name, other):
     stands = stands[open_]
     if not len(stands):
         return
-    # 3. window by window, some seeds at a time; every string takes its group's windows
+    # 4. window by window, some seeds at a time; every string takes its group's windows
     number = np.full(int(group.max()) + 1, -1)
     number[group[group_first[open_]]] = np.arange(len(stands))
     which = number[group]

@@ -9,8 +9,9 @@ offsets until it is unique or ``h`` has passed the threshold (50 bytes):
    travels with the stretch of windows it stands for, so the windows need no rows of
    their own.  Equal windows have equal least ranks and always meet.
 2. *Unique ranks end.*  In the partition, positions are sorted by rank; ranks of a
-   single document are dropped (most of them), stretches that are equal as a whole
-   are settled at once.
+   single document are dropped (most of them), then positions whose rank is unique once
+   it takes in the half window before or after them; stretches that are equal as a
+   whole are settled at once.
 3. *Growing offsets.*  The windows left are ranked by (rank of the first ``h`` bytes,
    name of the following bytes) with ``h`` = 16, 32, ... up to the threshold; each round
    sorts the pairs, gives new ranks and drops positions whose rank has become unique.
@@ -66,11 +67,8 @@ def _read(raw, offsets):
     return raw, offsets
 
 
-def _seed(raw, at):
-    x = np.zeros(len(at), np.uint64)
-    for k in range(SEED):
-        x = (x << np.uint64(8)) | raw[at + k]
-    return x
+def _seeds(raw):
+    return _eights(raw)[: max(0, len(raw) - SEED + 1)]
 
 
 def _least(window: int):
@@ -129,7 +127,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if not 24 <= window <= 63 + SEED:
         raise ValueError(f"window must be 24 to {63 + SEED} bytes")
-    method = P.Method(window, _cut(window), _read, _seed, _least(window))
+    method = P.Method(window, _cut(window), _read, SEED, _seeds, _least(window))
 
     def finish(buf, offsets, cover):
         mask = cover(offsets)

@@ -53,8 +53,8 @@ def _read(raw, offsets):
     return K.token_names(raw, starts, ends), base
 
 
-def _seed(names, at):
-    return K.slice_names(names, at, at + SEED)
+def _seeds(names):
+    return K.window_names(names, SEED)
 
 
 def _least(window: int):
@@ -77,7 +77,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if not SEED < window <= 63 + SEED:
         raise ValueError(f"window must be {SEED + 1} to {63 + SEED} words")
-    method = P.Method(window, _cut(window), _read, _seed, _least(window))
+    method = P.Method(window, _cut(window), _read, SEED, _seeds, _least(window))
 
     def finish(buf, offsets, cover):
         _, joined, at, base = _words(buf, offsets)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -68,9 +69,30 @@ def test_bytes_against_brute_force(messy, window):
     assert got == expected(ROWS, lambda t: list(t.encode()), window, bytes)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_periodic_texts_against_brute_force(spark, workers, seed):
+    """A seed that stands in a window more than once, at other places in other documents."""
+    rng = random.Random(seed)
+    motifs = ["".join(rng.choices("ab c", k=n)) for n in (1, 2, 3, 5, 7, 9, 12)] + ["ab cd ef gh "]
+    rows = []
+    for i in range(40):
+        text = ""
+        for _ in range(rng.randint(1, 6)):
+            motif, phase = rng.choice(motifs), rng.randrange(12)
+            text += (motif * 40)[phase : phase + rng.randint(1, 120)] + "".join(rng.choices("xyz ", k=rng.randint(0, 9)))
+        rows.append((rng.choice([i, i, 7]), text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for window in (24, 50):
+        got = found(suffix_dedup.repeated_bytes(docs, window=window), "n_bytes", "spans", "kept")
+        assert got == expected(rows, lambda t: list(t.encode()), window, bytes)
+    for window in (5, 13):
+        got = found(superkmer.repeated_words(docs, window=window), "n_words", "spans", "kept")
+        assert got == expected(rows, WORD.findall, window, " ".join)
+
+
 def test_small_batches_of_windows_agree(messy, monkeypatch):
     whole = found(suffix_dedup.repeated_bytes(messy), "n_bytes", "spans")
-    method = passages.Method(50, suffix_dedup._cut(50), suffix_dedup._read, suffix_dedup._seed, suffix_dedup._least(50))
+    method = passages.Method(50, suffix_dedup._cut(50), suffix_dedup._read, suffix_dedup.SEED, suffix_dedup._seeds, suffix_dedup._least(50))
     import pyarrow as pa
 
     rows = [(order(i), k, t or "") for k, (i, t) in enumerate(ROWS)]
