@@ -690,6 +690,7 @@ SELECT word, count, row_number() OVER (ORDER BY count DESC, word) AS rank
 FROM (SELECT word, COUNT(*) AS count FROM (SELECT unnest(words) AS word FROM strip) GROUP BY word)
 """
 ORACLES["top_words_sketched"] = ORACLES["top_words"]
+ORACLES["star_join_stored"] = ORACLES["star_join"]
 ORACLES["preview_one_pass"] = ORACLES["preview_with_count"]
 
 ORACLES["retail_loaded"] = _with(RETAIL_CTE, """

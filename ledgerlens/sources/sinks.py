@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import materialize
+from ledgerlens.session import materialize, own_path
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, null_value: str | None = None,
@@ -48,6 +48,33 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "ove
     writer.saveAsTable(name)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str, mode: str = "error") -> DataFrame:
+    """Save as a catalog table dealt into ``buckets`` by ``keys``, sorted by them, and read it back (K3).
+
+    Tables with equal keys and numbers of buckets join on the keys without a shuffle, as
+    often as they are read.  The rows are shuffled once here, to one task and one file a
+    bucket; choose ``buckets`` so that one holds 100 to 200 MB.  All rows of a key lie in
+    its bucket, so the keys should be ones without hot values, as an order's number is.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def co_partitioned(frames: list[DataFrame], keys: list[str], label: str, buckets: int | None = None) -> list[DataFrame]:
+    """The frames, stored with ``write_bucketed`` under names of their own in the shared folder.
+
+    ``buckets``: by default the session's shuffle partitions, which should suit the largest frame.
+    """
+    out = []
+    for frame in frames:
+        spark = frame.sparkSession
+        path = own_path(spark, "tables", label)
+        name = path.rsplit("/", 1)[-1].replace("-", "_")
+        out.append(write_bucketed(frame, name, keys, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), path))
+    return out
+
+
 def write_ranked_csv(df: DataFrame, path: str, order: list[tuple[str, bool]], header: bool = True) -> None:
     """Write a CSV whose part files, in the order of their numbers, are one sorted list (K5, K6).
 

@@ -64,6 +64,29 @@ def test_star_join_shuffles_the_fact_twice(spark, no_broadcasts):
     assert plan.count("SortMergeJoin") == 4
 
 
+def test_stored_star_join_shuffles_the_fact_once(spark, no_broadcasts):
+    stored = QUERIES["star_join_stored"](spark, SF_SMALL)
+    plan = plan_of(stored)
+    # lines and orders join as they lie; the lines and the parts move by product
+    assert plan.count("SortMergeJoin") == 2
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len(moved) == 2 and not any("order_id" in line for line in moved)
+    again = QUERIES["star_join_stored"](spark, SF_SMALL)  # a second call leaves the first one's result alone
+    assert rows(stored) == rows(again) == rows(QUERIES["star_join"](spark, SF_SMALL))
+
+
+def test_co_partitioned_keeps_nulls_repeats_and_empty_tables(spark, no_broadcasts):
+    from ledgerlens.sources import sinks
+
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (2, None)], "k int, x string")
+    right = spark.createDataFrame([(1, 10), (None, 20)], "k int, y int")
+    one, two, none = sinks.co_partitioned([left, right, left.limit(0)], ["k"], "pair", buckets=3)
+    assert (rows(one), rows(two), rows(none)) == (rows(left), rows(right), [])
+    joined = one.join(two, "k", "left")
+    assert "hashpartitioning" not in plan_of(joined)
+    assert rows(joined) == rows(left.join(right, "k", "left"))
+
+
 def test_hot_customer_is_split_by_the_final_plan(spark, no_broadcasts):
     from pyspark.sql import functions as F
 
