@@ -28,21 +28,25 @@ _PART = ["file", "doc_id", "part"]
 # ---------------------------------------------------------------------------
 
 
-def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+def placed_lines(spark: SparkSession, path: str, words: Column | None = None) -> DataFrame:
     """The lines of text files with their places: (doc_id, file, part, seq, line).
 
     ``doc_id`` is the file's path, ``file`` the number in its name where that is a part of a
     written table (0 elsewhere; files are ordered by it, then by path), ``part`` the
     byte at which its split begins, and ``seq`` grows with the lines of a split.  Reads
-    the files once and stores the lines (a job).
+    the files once and stores the lines (a job).  With ``words``, a word list made from
+    ``line``, that list is stored instead of the line, so it is made once however many
+    branches read it: (doc_id, file, part, seq, words).
     """
     name = F.col("_metadata.file_name")
     number = F.coalesce(F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"), F.lit(0))
-    return materialize(
-        spark.read.text(path).select(
-            F.col("_metadata.file_path").alias("doc_id"), number.alias("file"), F.col("_metadata.file_block_start").alias("part"),
-            F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"),
-        ), "lines")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("doc_id"), number.alias("file"), F.col("_metadata.file_block_start").alias("part"),
+        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"),
+    )
+    if words is None:
+        return materialize(lines, "lines")
+    return materialize(lines.select("doc_id", "file", "part", "seq", words.alias("words")), "words")
 
 
 def _in_order(whole: bool):
@@ -101,13 +105,16 @@ def adjacent_pairs(rows: DataFrame, words: str = "words", whole: bool = False) -
     ``rows``: (doc_id, file, part, seq, <words>), a word list per line.  Pairs inside a line
     come from its list; pairs across lines from the last word of the line before, of the
     same part, that has words; and pairs across parts from a table with the first and
-    last word of each part, so parts without words are skipped.
+    last word of each part, so parts without words are skipped.  The lines' ends are
+    shuffled once: a part's own come from the lines that have none before or after them.
     """
     inner = rows.select(F.explode_outer(T.adjacent_pairs(F.col(words))).alias("b")).where("b is not null").select("b.w1", "b.w2")
     ends = rows.where(F.size(words) > 0).select(*_PART, "seq", F.element_at(words, 1).alias("w_first"), F.element_at(words, -1).alias("w_last"))
     line = Window.partitionBy(*_PART).orderBy("seq")
-    lines = ends.select(F.lag("w_last").over(line).alias("w1"), F.col("w_first").alias("w2"))
-    borders = ends.groupBy(*_PART).agg(F.min_by("w_first", "seq").alias("w_first"), F.max_by("w_last", "seq").alias("w_last"))
+    around = ends.withColumns({"w_before": F.lag("w_last").over(line), "w_after": F.lead("w_first").over(line)})
+    lines = around.select(F.col("w_before").alias("w1"), F.col("w_first").alias("w2"))
+    outer = around.where("w_before is null or w_after is null")
+    borders = outer.groupBy(*_PART).agg(F.min_by("w_first", "seq").alias("w_first"), F.max_by("w_last", "seq").alias("w_last"))
     parts = borders.select(F.lag("w_last").over(_in_order(whole)).alias("w1"), F.col("w_first").alias("w2"))
     return inner.unionByName(lines.unionByName(parts).where("w1 is not null"))
 

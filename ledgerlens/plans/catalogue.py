@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import ordered as O
@@ -546,12 +546,12 @@ def corpus_file(spark, d) -> str:
     """The lines of all documents, by ascending id, as text files that follow one another."""
     path = own_path(spark, "exports", "lines")
     docs = _docs(spark, d).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    docs.select(F.explode(T.lines_of(F.col("text"))).alias("line")).write.text(path)
+    X.explode_values(docs, T.lines_of(F.col("text")), "line").write.text(path)
     return path
 
 
-def _corpus_lines(spark, d) -> DataFrame:
-    return O.placed_lines(spark, corpus_file(spark, d))
+def _corpus_lines(spark, d, words: Column | None = None) -> DataFrame:
+    return O.placed_lines(spark, corpus_file(spark, d), words)
 
 
 @query("lines_numbered")
@@ -563,7 +563,7 @@ def q_lines_numbered(spark, d):
 def q_lines_top_bigrams(spark, d):
     # pairs of kept words over the whole text, across lines and files
     words = T.without_stopwords(T.alpha_words(F.col("line"), lower=True), T.NOTEBOOK_STOPWORDS, 2)
-    counts = O.bigram_counts(_corpus_lines(spark, d).withColumn("words", words), whole=True)
+    counts = O.bigram_counts(_corpus_lines(spark, d, words), whole=True)
     top = X.top_counts(counts, 15, ["w1", "w2"])
     return top.select("w1", "w2", F.concat_ws(" ", "w1", "w2").alias("bigram"), "count")
 

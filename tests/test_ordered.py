@@ -18,6 +18,7 @@ from ledgerlens.operators import ordered as O
 from ledgerlens.operators import retail as R
 from ledgerlens.operators import text as X
 from ledgerlens.operators.cleaning import type_profile
+from ledgerlens.plans.catalogue import QUERIES
 from ledgerlens.sources import read_table, sinks
 
 WORD = re.compile("[A-Za-z']+")
@@ -80,6 +81,18 @@ def test_pairs_cross_lines_and_splits(spark, small_splits, tmp_path, files):
     assert {(r.w1, r.w2): r["count"] for r in O.bigram_counts(kept).collect()} == apart
 
 
+def test_words_of_lines_are_made_and_their_ends_shuffled_once(spark, small_splits, tmp_path):
+    texts = {3: "Alpha beta\r\nthe of\n\nGAMMA it's", 1: "x one\rTwo of\n", 2: None, 4: "", 5: "alpha Beta\n\n", 7: "ÄIß two \u212a one"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    counts = QUERIES["lines_top_bigrams"](spark, str(tmp_path))
+    got = [(r.w1, r.w2, r["count"]) for r in counts.collect()]
+    words = [w for k in sorted(texts) for w in WORD.findall(texts[k] or "") if len(w) > 1]
+    kept = [w.lower() for w in words if w.lower() not in T.NOTEBOOK_STOPWORDS]
+    assert got == sorted(((*p, n) for p, n in Counter(zip(kept, kept[1:])).items()), key=lambda r: (-r[2], r[0], r[1]))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan and "ReusedExchange" in plan
+
+
 def test_sentences_cross_lines_and_splits(spark, small_splits, tmp_path, files):
     placed = O.placed_lines(spark, write_files(tmp_path, files))
     every = sentences_of([line for name in sorted(files) for line in files[name]])
